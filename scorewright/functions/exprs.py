@@ -81,3 +81,20 @@ def psi_bin(p: Column | str, n_bins: int = 10) -> Column:
 
 def date_lit(d: dt.date) -> Column:
     return F.lit(d).cast("date")
+
+
+def ratio_half_up(num: Column | str, den: Column | str, digits: int = 4) -> Column:
+    """``round(num / den, digits)`` half-up for non-negative integer counts, computed exactly in integer arithmetic
+    (``floor((2 num 10^d + den) / (2 den)) / 10^d``), so no float representation decides a tie."""
+    scale = 10**digits
+    n = _col(num).cast("long")
+    d = _col(den).cast("long")
+    a = n * F.lit(2 * scale) + d
+    b = d * F.lit(2)
+    quotient = ((a - F.pmod(a, b)) / b).cast("long")  # exact: a - a mod b is a multiple of b
+    return quotient.cast("double") / F.lit(float(scale))
+
+
+def ts_lit(value: dt.datetime) -> Column:
+    """A wall-clock UTC timestamp literal (``timestamp_ntz``)."""
+    return F.lit(value).cast("timestamp_ntz")

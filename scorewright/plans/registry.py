@@ -1,25 +1,36 @@
-"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per inventory operator.
+"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per inventory operator.
 
-Every query reads the driver's tables (through the adapter) over their whole extent. Double outputs are rounded
-half-to-even to 4 decimals where sums of doubles would otherwise depend on the order of addition.
+Every query reads the driver's tables (through the adapter) over their whole extent; the run history, request
+lists and written tables are derived from them by Spark. Double outputs that come from sums of doubles are rounded
+half-to-even so both engines agree regardless of addition order.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorewright.config import JobConfig
-from scorewright.functions.exprs import round_half_even
-from scorewright.operators import etl
-from scorewright.sources import adapter
+from scorewright.config import CATEGORICAL_FEATURES, ID_COL, TARGET_COL, JobConfig
+from scorewright.functions.exprs import category_text, round_half_even
+from scorewright.operators import etl, features as FE, model as M, monitor, quality, scoring, store
+from scorewright.plans import history as H, runs as RN
+from scorewright.session import checkpoint_dir
+from scorewright.sources import adapter, sinks, tables
 
 CFG = JobConfig()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+LOOKUP_CUSTOMER = "42"  # W8 parameter
+REQUEST_WINDOW_DAYS = 120  # bulk request: ids pasted from the orders of the last 120 days before the reference date
+PAGE, PAGE_SIZE = 2, 2  # W5 parameters
+HIST_RUN_A, HIST_RUN_B = RN.RUNS[0].run_id, RN.RUNS[3].run_id
+
 
 def query(name: str):
     def deco(fn):
@@ -39,7 +50,12 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-# ---------------------------------------------------------------- sources and ETL
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's checkpoint dir (shared storage on a cluster)."""
+    return os.path.join(checkpoint_dir(spark), "warehouse", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# ---------------------------------------------------------------- shared plans
 
 
 def raw_tables(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG):
@@ -54,6 +70,133 @@ def customers(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG) -> DataFra
     return etl.build_customers(lab, mem, tx, cfg.reference_date)
 
 
+def matrix_and_encoders(spark, sf_dir):
+    c = customers(spark, sf_dir)
+    _, enc = FE.training_frame(c)
+    return c, enc, FE.feature_matrix(c, enc)
+
+
+def history(spark, sf_dir) -> H.History:
+    return H.build(customers(spark, sf_dir))
+
+
+def request_lines(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG) -> DataFrame:
+    """A pasted id list derived from orders: one line per order in the window before the reference date, in order
+    (date, order key). Open orders give blank lines, low-priority orders paste the order key by mistake (mostly not
+    a customer), the rest paste the customer key, all with stray spaces."""
+    o = tables.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+                                                    "o_orderpriority"])
+    start = dt.datetime.combine(cfg.reference_date - dt.timedelta(days=REQUEST_WINDOW_DAYS), dt.time())
+    end = dt.datetime.combine(cfg.reference_date + dt.timedelta(days=1), dt.time())
+    typ = o.schema["o_orderdate"].dataType
+    o = o.filter((F.col("o_orderdate") >= F.lit(start).cast(typ)) & (F.col("o_orderdate") < F.lit(end).cast(typ)))
+    text = (
+        F.when(F.col("o_orderstatus") == "O", F.lit("   "))
+        .when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit(" "), F.col("o_orderkey").cast("string")))
+        .otherwise(F.concat(F.lit("  "), F.col("o_custkey").cast("string"), F.lit(" ")))
+    )
+    return o.select(F.col("o_orderdate").alias("line_date"), F.col("o_orderkey").alias("line_key"), text.alias("line"))
+
+
+def request_ids(spark, sf_dir) -> DataFrame:
+    parsed = store.parse_id_lines(request_lines(spark, sf_dir), "line", ["line_date", "line_key"])
+    return store.dedupe_ids(parsed, ["line_date", "line_key"])
+
+
+# ---------------------------------------------------------------- S: sources and sinks
+
+
+@query("s1_csv_transactions")
+def q_s1(spark, sf_dir):
+    """Transactions exported as CSV (int yyyymmdd dates) and read back with the declared schema."""
+    tx = adapter.transactions(spark, sf_dir)
+    export = tx.select(
+        *[
+            F.date_format(c, "yyyyMMdd").cast("int").alias(c) if c in ("transaction_date", "membership_expire_date")
+            else F.col(c)
+            for c in tx.columns
+        ]
+    )
+    path = scratch(spark, "transactions_csv")
+    sinks.write_csv(export, path)
+    return tables.read_csv(spark, path, "transactions")
+
+
+@query("s3_parquet_roundtrip")
+def q_s3(spark, sf_dir):
+    """S3 then S2: the customer table written as snappy Parquet (no coalesce) and scanned back."""
+    path = scratch(spark, "customers")
+    sinks.write_parquet(customers(spark, sf_dir), path)
+    return rounded(spark.read.parquet(path))
+
+
+@query("s2b_pruned_scan")
+def q_s2b(spark, sf_dir):
+    """Scored output written, then only the probability column read back (ReadSchema has one column)."""
+    _, _, m = matrix_and_encoders(spark, sf_dir)
+    path = scratch(spark, "scored")
+    sinks.write_parquet(scoring.score_scorecard(m), path)
+    return spark.read.parquet(path).select("churn_probability")
+
+
+@query("s4_predictions")
+def q_s4(spark, sf_dir):
+    return history(spark, sf_dir).predictions
+
+
+@query("s4_predictions_partitioned_write")
+def q_s4w(spark, sf_dir):
+    """S4 as stored: appended under run_id partitions, read back with a run filter (partition pruning)."""
+    path = scratch(spark, "predictions")
+    store.write_predictions(history(spark, sf_dir).predictions, path)
+    return spark.read.parquet(path).filter(F.col("run_id") == HIST_RUN_B).select(*store.PREDICTION_COLUMNS)
+
+
+@query("s5_register_runs")
+def q_s5(spark, sf_dir):
+    ev = history(spark, sf_dir).events
+    regs = ev.filter(F.col("event") == "register")
+    return store.register_runs(ev.limit(0), regs).select("run_id", "seq", "model_version", "started_at", "status")
+
+
+@query("s6_run_state")
+def q_s6(spark, sf_dir):
+    return rounded(history(spark, sf_dir).runs)
+
+
+@query("s7_first_n_customers")
+def q_s7(spark, sf_dir):
+    lab, mem, tx = raw_tables(spark, sf_dir)
+    return rounded(etl.build_customers(lab, mem, tx, CFG.reference_date, limit=500))
+
+
+@query("s10_input_precheck")
+def q_s10(spark, sf_dir):
+    return etl.input_precheck(customers(spark, sf_dir), 1000)
+
+
+# ---------------------------------------------------------------- P, A: ETL
+
+
+@query("p1_registration_dates")
+def q_p1(spark, sf_dir):
+    m = adapter.members(spark, sf_dir)
+    reg = etl.prepare_members(m, CFG.reference_date)
+    from scorewright.functions.exprs import parse_yyyymmdd
+
+    return m.select(ID_COL, "registration_init_time", parse_yyyymmdd("registration_init_time").alias("registration_date")).join(
+        reg.select(ID_COL, "registration_days"), ID_COL
+    )
+
+
+@query("p2_cutoff_transactions")
+def q_p2(spark, sf_dir):
+    tx = adapter.transactions(spark, sf_dir, cutoff=CFG.reference_date)
+    return tx.filter(F.col("transaction_date") <= F.lit(CFG.reference_date)).select(
+        ID_COL, "transaction_id", "transaction_date", "membership_expire_date"
+    )
+
+
 @query("a4_transaction_features")
 def q_a4(spark, sf_dir):
     tx = adapter.transactions(spark, sf_dir, cutoff=CFG.reference_date)
@@ -65,5 +208,368 @@ def q_e1(spark, sf_dir):
     return rounded(customers(spark, sf_dir))
 
 
+@query("a8_label_base_rate")
+def q_a8(spark, sf_dir):
+    return quality.positive_rate(customers(spark, sf_dir), TARGET_COL)
+
+
+# ---------------------------------------------------------------- features
+
+
+@query("p8_p10_engineered")
+def q_p8(spark, sf_dir):
+    eng = FE.engineer(customers(spark, sf_dir))
+    return rounded(
+        eng.select(ID_COL, "bd", "discount_rate", "paid_per_txn", "cancel_rate", "autorenew_rate", "is_expired",
+                   "never_autorenew", "has_cancelled")
+    )
+
+
+@query("p11_category_text")
+def q_p11(spark, sf_dir):
+    c = customers(spark, sf_dir)
+    return c.select(ID_COL, *[category_text(x).alias(x) for x in CATEGORICAL_FEATURES])
+
+
+@query("m1_vocabulary")
+def q_m1(spark, sf_dir):
+    return FE.vocabulary(FE.engineer(customers(spark, sf_dir)))
+
+
+@query("m2_encoded_categoricals")
+def q_m2(spark, sf_dir):
+    c = customers(spark, sf_dir)
+    eng = FE.engineer(c)
+    enc = FE.fit_encoders(eng)
+    return FE.apply_encoders(eng, enc).select(ID_COL, *CATEGORICAL_FEATURES)
+
+
+@query("m3_feature_matrix")
+def q_m3(spark, sf_dir):
+    return matrix_and_encoders(spark, sf_dir)[2]
+
+
+@query("m11_train_serve_parity")
+def q_m11(spark, sf_dir):
+    return FE.parity(customers(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- scoring
+
+
+@query("m10_scored")
+def q_m10(spark, sf_dir):
+    return scoring.score_scorecard(matrix_and_encoders(spark, sf_dir)[2])
+
+
+@query("m12_pandas_hook_scores")
+def q_m12(spark, sf_dir):
+    """M9 hook + M12: the numpy scorecard through mapInPandas; must equal the expression scorecard."""
+    return scoring.score_pandas_model(matrix_and_encoders(spark, sf_dir)[2], scoring.PandasScorecard())
+
+
+@query("p16_lineage")
+def q_p16(spark, sf_dir):
+    r = RN.RUNS[0]
+    scored = scoring.score_scorecard(matrix_and_encoders(spark, sf_dir)[2], r.card)
+    from scorewright.functions.exprs import ts_lit
+
+    return scored.select("*", F.lit(r.run_id).alias("run_id"), F.lit(r.model_version).alias("model_version"),
+                         ts_lit(r.scored_at).alias("scored_at"))
+
+
+@query("p20_constraint_rejects")
+def q_p20(spark, sf_dir):
+    scored = history(spark, sf_dir).scored
+    bad = scoring.constraint_violation()
+    return scored.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(bad, 1)).alias("n_rejected")
+    )
+
+
+@query("a6_row_counts")
+def q_a6(spark, sf_dir):
+    return history(spark, sf_dir).gates.select("run_id", "n_read", "n_scored", "n_failed")
+
+
+@query("a5_score_stats")
+def q_a5(spark, sf_dir):
+    return history(spark, sf_dir).stats
+
+
+@query("v1_v6_gates")
+def q_v(spark, sf_dir):
+    return history(spark, sf_dir).gates.drop("errors", "warnings")
+
+
+# ---------------------------------------------------------------- store queries
+
+
+@query("w14_run_summary")
+def q_w14(spark, sf_dir):
+    return rounded(history(spark, sf_dir).summary)
+
+
+@query("w1_latest_scores")
+def q_w1(spark, sf_dir):
+    return store.latest_scores(history(spark, sf_dir).predictions)
+
+
+@query("w8_score_by_customer")
+def q_w8(spark, sf_dir):
+    return store.score_for(history(spark, sf_dir).predictions, LOOKUP_CUSTOMER)
+
+
+@query("w15_high_risk")
+def q_w15(spark, sf_dir):
+    return store.high_risk(history(spark, sf_dir).predictions)
+
+
+@query("p21_parse_request_ids")
+def q_p21(spark, sf_dir):
+    return store.parse_id_lines(request_lines(spark, sf_dir), "line", ["line_date", "line_key"])
+
+
+@query("w11_dedupe_request_ids")
+def q_w11(spark, sf_dir):
+    return request_ids(spark, sf_dir)
+
+
+@query("j3_bulk_found")
+def q_j3(spark, sf_dir):
+    latest = store.latest_scores(history(spark, sf_dir).predictions)
+    return store.bulk_found(request_ids(spark, sf_dir), latest)
+
+
+@query("j4_bulk_not_found")
+def q_j4(spark, sf_dir):
+    latest = store.latest_scores(history(spark, sf_dir).predictions)
+    return store.bulk_not_found(request_ids(spark, sf_dir), latest)
+
+
+@query("j8_bulk_summary")
+def q_j8(spark, sf_dir):
+    latest = store.latest_scores(history(spark, sf_dir).predictions)
+    return store.bulk_summary(request_ids(spark, sf_dir), latest)
+
+
+@query("w5_runs_page")
+def q_w5(spark, sf_dir):
+    return rounded(store.runs_page(history(spark, sf_dir).summary, PAGE, PAGE_SIZE))
+
+
+@query("a16_runs_total_validated")
+def q_a16(spark, sf_dir):
+    return store.runs_total(history(spark, sf_dir).runs, "validated")
+
+
+@query("w6_latest_completed_run")
+def q_w6(spark, sf_dir):
+    return rounded(store.latest_completed(history(spark, sf_dir).summary))
+
+
+@query("w7_run_by_id")
+def q_w7(spark, sf_dir):
+    return rounded(history(spark, sf_dir).summary.filter(F.col("run_id") == RN.RUNS[2].run_id))
+
+
+@query("w13_health")
+def q_w13(spark, sf_dir):
+    return store.health(history(spark, sf_dir).runs)
+
+
+@query("a7_pipeline_totals")
+def q_a7(spark, sf_dir):
+    h = history(spark, sf_dir)
+    return store.pipeline_totals(h.runs, h.predictions)
+
+
+@query("w12_score_trend")
+def q_w12(spark, sf_dir):
+    return store.trend(history(spark, sf_dir).summary)
+
+
+# ---------------------------------------------------------------- monitor
+
+
+@query("a9_score_histogram")
+def q_a9(spark, sf_dir):
+    return monitor.histogram(history(spark, sf_dir).predictions, CFG.psi_n_bins)
+
+
+@query("w9_run_distribution")
+def q_w9(spark, sf_dir):
+    return monitor.run_distribution(history(spark, sf_dir).predictions, HIST_RUN_B, CFG.psi_n_bins)
+
+
+@query("a13_tier_totals")
+def q_a13(spark, sf_dir):
+    return monitor.tier_totals(monitor.histogram(history(spark, sf_dir).predictions, CFG.psi_n_bins))
+
+
+@query("p23_bin_tiers")
+def q_p23(spark, sf_dir):
+    return monitor.bin_tier(monitor.histogram(history(spark, sf_dir).predictions, CFG.psi_n_bins))
+
+
+@query("j7_two_run_histograms")
+def q_j7(spark, sf_dir):
+    hist = monitor.histogram(history(spark, sf_dir).predictions, CFG.psi_n_bins)
+    return monitor.side_by_side(hist, HIST_RUN_A, HIST_RUN_B)
+
+
+@query("a10_psi_distribution")
+def q_a10(spark, sf_dir):
+    pred = history(spark, sf_dir).predictions
+    d = monitor.psi_distribution(monitor.psi_counts(pred, CFG.psi_n_bins), CFG.psi_n_bins, CFG.psi_epsilon)
+    return d.select("run_id", "bin", "count", "n", round_half_even("fraction", 8).alias("fraction"))
+
+
+@query("a12_psi_breakdown")
+def q_a12(spark, sf_dir):
+    return rounded(history(spark, sf_dir).psi_breakdown, 6)
+
+
+@query("a11_psi")
+def q_a11(spark, sf_dir):
+    return rounded(history(spark, sf_dir).psi, 6)
+
+
+@query("w3_previous_run")
+def q_w3(spark, sf_dir):
+    return monitor.previous_run(history(spark, sf_dir).runs, RN.RUNS[3].run_id)
+
+
+@query("w4_psi_history")
+def q_w4(spark, sf_dir):
+    return rounded(monitor.psi_history(history(spark, sf_dir).runs, 10), 6)
+
+
+@query("x1_sampled_reference")
+def q_x1(spark, sf_dir):
+    return monitor.sampled_reference(history(spark, sf_dir).predictions, HIST_RUN_A, 0.2, CFG.seed)
+
+
+# ---------------------------------------------------------------- model
+
+
+def split_frame(spark, sf_dir):
+    c, enc, m = matrix_and_encoders(spark, sf_dir)
+    labelled = m.join(c.select(ID_COL, TARGET_COL), ID_COL)
+    return M.assign_split(labelled, CFG)
+
+
+@query("m4_stratified_split")
+def q_m4(spark, sf_dir):
+    return split_frame(spark, sf_dir).select(ID_COL, TARGET_COL, "split")
+
+
+@query("m5b_class_weights")
+def q_m5b(spark, sf_dir):
+    return rounded(M.class_weights(split_frame(spark, sf_dir).filter(F.col("split") == "train")), 6)
+
+
+def scorecard_eval_frame(spark, sf_dir):
+    s = split_frame(spark, sf_dir)
+    return s.select(ID_COL, TARGET_COL, "split", scoring.DEFAULT_SCORECARD.probability().alias("p"))
+
+
+@query("m6_auc_roc")
+def q_m6(spark, sf_dir):
+    return M.auc_roc(scorecard_eval_frame(spark, sf_dir))
+
+
+@query("m7_average_precision")
+def q_m7(spark, sf_dir):
+    return M.average_precision(scorecard_eval_frame(spark, sf_dir))
+
+
+@query("m8_split_metrics")
+def q_m8(spark, sf_dir):
+    s = scorecard_eval_frame(spark, sf_dir).withColumn("pred", F.col("p") >= CFG.label_threshold)
+    return M.split_metrics(s)
+
+
+def gbt_model(spark, sf_dir):
+    s = split_frame(spark, sf_dir)
+    return s, M.train_gbt(s.filter(F.col("split") != "test"), CFG, max_iter=30, max_depth=4)
+
+
+@query("m5_gbt_evaluation")
+def q_m5(spark, sf_dir):
+    """M5: GBT trained with class weights and a validation split; evaluated per split (rows-only check)."""
+    from pyspark.ml.functions import vector_to_array
+
+    s, mdl = gbt_model(spark, sf_dir)
+    scored = mdl.transform(M.assemble(s)).select(ID_COL, TARGET_COL, "split",
+                                                  vector_to_array("probability")[1].alias("p"))
+    return M.evaluation(scored)
+
+
+@query("m9_gbt_scores")
+def q_m9(spark, sf_dir):
+    s, mdl = gbt_model(spark, sf_dir)
+    return scoring.score_spark_model(s.drop(TARGET_COL, "split"), mdl)
+
+
+@query("w16_feature_importances")
+def q_w16(spark, sf_dir):
+    _, mdl = gbt_model(spark, sf_dir)
+    rows = [(i + 1, f, float(v)) for i, (f, v) in enumerate(M.importances(mdl, top=15))]
+    return spark.createDataFrame(rows, "rank int, feature string, importance double")
+
+
+@query("s9_training_report")
+def q_s9(spark, sf_dir):
+    """Evaluation report written as JSON (one row per split) and read back."""
+    from pyspark.ml.functions import vector_to_array
+
+    s, mdl = gbt_model(spark, sf_dir)
+    scored = mdl.transform(M.assemble(s)).select(ID_COL, TARGET_COL, "split",
+                                                  vector_to_array("probability")[1].alias("p"))
+    report = M.evaluation(scored).select(F.lit(CFG.model_version).alias("model_version"), "*")
+    path = scratch(spark, "training_report")
+    report.write.mode("overwrite").json(path)
+    return spark.read.schema(report.schema).json(path)
+
+
+# ---------------------------------------------------------------- job metrics (timings: rows-only checks)
+
+
+def timed_metrics(spark, sf_dir) -> DataFrame:
+    """M13 + S8: scoring timed at several slice sizes per engine into the noop sink, warm-up discarded."""
+    from scorewright.plans import bench_jobs
+
+    return bench_jobs.timed_scoring(spark, sf_dir, run_id="bench-" + RN.RUNS[3].run_id)
+
+
+@query("m13_timed_scoring")
+def q_m13(spark, sf_dir):
+    return timed_metrics(spark, sf_dir)
+
+
+@query("a14_engine_size_pivot")
+def q_a14(spark, sf_dir):
+    from scorewright.plans import bench_jobs
+
+    return bench_jobs.engine_pivot(timed_metrics(spark, sf_dir))
+
+
+@query("a15_speedup")
+def q_a15(spark, sf_dir):
+    from scorewright.plans import bench_jobs
+
+    return bench_jobs.speedup(timed_metrics(spark, sf_dir))
+
+
+@query("w10_latest_timing_set")
+def q_w10(spark, sf_dir):
+    from scorewright.plans import bench_jobs
+
+    return bench_jobs.latest_set(timed_metrics(spark, sf_dir))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_e1(spark, sf_dir)
+    """Customers -> features -> scorecard -> scored batch."""
+    return q_m10(spark, sf_dir)
+
