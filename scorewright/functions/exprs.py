@@ -55,8 +55,9 @@ def category_text(c: Column | str) -> Column:
 
 
 def decile(p: Column | str) -> Column:
-    """``clip(ceil(10 p), 1, 10)`` on the unrounded probability."""
-    return F.least(F.greatest(F.ceil(_col(p) * 10).cast("int"), F.lit(1)), F.lit(10))
+    """``clip(ceil(10 p), 1, 10)`` on the unrounded probability; NULL stays NULL (``least`` would skip it)."""
+    p = _col(p)
+    return F.when(p.isNotNull(), F.least(F.greatest(F.ceil(p * 10).cast("int"), F.lit(1)), F.lit(10)))
 
 
 def risk_tier(p: Column | str, high: float = 0.70, medium: float = 0.40) -> Column:
@@ -75,8 +76,9 @@ def hist_bin(p: Column | str, n_bins: int = 10) -> Column:
 
 
 def psi_bin(p: Column | str, n_bins: int = 10) -> Column:
-    """PSI bin 1..n: equal width with the last bin closed, ``least(floor(p n) + 1, n)``."""
-    return F.least(F.floor(_col(p) * n_bins).cast("int") + 1, F.lit(n_bins))
+    """PSI bin 1..n: equal width with the last bin closed, ``least(floor(p n) + 1, n)``; NULL stays NULL."""
+    p = _col(p)
+    return F.when(p.isNotNull(), F.least(F.floor(p * n_bins).cast("int") + 1, F.lit(n_bins)))
 
 
 def date_lit(d: dt.date) -> Column:

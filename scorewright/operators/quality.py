@@ -17,11 +17,16 @@ PERCENTILES = [0.10, 0.25, 0.50, 0.75, 0.90]
 
 
 def score_stats(scored: DataFrame, group: list[str] = (), col: str = "churn_probability") -> DataFrame:
-    """A5: mean, population std and p10/p25/p50/p75/p90 (linear interpolation, as numpy), 4 decimals."""
+    """A5: mean, population std and p10/p25/p50/p75/p90 (linear interpolation, as numpy), 4 decimals.
+
+    The mean is an exact decimal sum of the 4-decimal scores over the count, so the order of addition across tasks
+    cannot move a rounding tie."""
     p = F.col(col)
     q = F.percentile(p, PERCENTILES)
     agg = scored.groupBy(*group).agg(
-        F.avg(p).alias("mean"), F.stddev_pop(p).alias("std"), q.alias("q")
+        (F.sum(p.cast("decimal(12,4)")).cast("double") / F.count(p)).alias("mean"),
+        F.stddev_pop(p).alias("std"),
+        q.alias("q"),
     )
     names = ["p10", "p25", "p50", "p75", "p90"]
     return agg.select(
