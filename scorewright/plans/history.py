@@ -25,6 +25,7 @@ from scorewright.config import JobConfig
 from scorewright.functions.exprs import ts_lit
 from scorewright.operators import monitor, quality, store
 from scorewright.plans import runs as R
+from scorewright.session import cut_lineage
 
 RETRY_DELAY = dt.timedelta(hours=1)
 
@@ -56,10 +57,14 @@ def _event(df: DataFrame, seq: int, name: str, fields: dict[str, Column]) -> Dat
 
 
 def build(customers: DataFrame, runs: list[R.RunSpec] = R.RUNS, cfg: JobConfig = JobConfig()) -> History:
+    """Lineage is cut (reliable checkpoints in the session's checkpoint dir) after the ETL, after scoring and after
+    the per-run aggregates: the many small per-run tables below all reuse materialised data instead of re-running
+    the ETL once per branch."""
     spark = customers.sparkSession
-    scored = R.scored_runs(customers, runs, cfg)
-    gates = R.run_gates(scored, customers, cfg)
-    stats = quality.score_stats(scored, ["run_id"])
+    customers = cut_lineage(customers)
+    scored = cut_lineage(R.scored_runs(customers, runs, cfg))
+    gates = cut_lineage(R.run_gates(scored, customers, cfg))
+    stats = cut_lineage(quality.score_stats(scored, ["run_id"]))
     pred = R.predictions(scored, gates)
     specs = R.run_specs(spark, runs)
 
@@ -69,6 +74,7 @@ def build(customers: DataFrame, runs: list[R.RunSpec] = R.RUNS, cfg: JobConfig =
     pairs = order.filter(F.col("ref_run_id").isNotNull())
     dist = monitor.psi_distribution(monitor.psi_counts(pred, cfg.psi_n_bins), cfg.psi_n_bins, cfg.psi_epsilon)
     breakdown = monitor.psi_breakdown(dist, pairs, cfg.psi_n_bins)
+    breakdown = cut_lineage(breakdown)
     psi = monitor.psi(breakdown, cfg.psi_threshold)
 
     info = specs.join(gates, "run_id").join(stats, "run_id")
@@ -113,9 +119,4 @@ def build(customers: DataFrame, runs: list[R.RunSpec] = R.RUNS, cfg: JobConfig =
     return History(scored, gates, stats, pred, pairs, breakdown, psi, events, folded, store.run_summary(folded))
 
 
-def predictions_only(customers: DataFrame, runs: list[R.RunSpec] = R.RUNS, cfg: JobConfig = JobConfig()) -> DataFrame:
-    scored = R.scored_runs(customers, runs, cfg)
-    return R.predictions(scored, R.run_gates(scored, customers, cfg))
-
-
-__all__ = ["History", "build", "predictions_only", "ts_lit"]
+__all__ = ["History", "build", "ts_lit"]

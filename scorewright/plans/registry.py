@@ -20,7 +20,7 @@ from scorewright.config import CATEGORICAL_FEATURES, ID_COL, TARGET_COL, JobConf
 from scorewright.functions.exprs import category_text, round_half_even
 from scorewright.operators import etl, features as FE, model as M, monitor, quality, scoring, store
 from scorewright.plans import history as H, runs as RN
-from scorewright.session import checkpoint_dir
+from scorewright.session import checkpoint_dir, cut_lineage
 from scorewright.sources import adapter, sinks, tables
 
 CFG = JobConfig()
@@ -71,7 +71,9 @@ def customers(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG) -> DataFra
 
 
 def matrix_and_encoders(spark, sf_dir):
-    c = customers(spark, sf_dir)
+    """Customers (lineage cut once, so fitting the vocabulary and scoring do not both re-run the ETL), fitted
+    encoders and the feature matrix."""
+    c = cut_lineage(customers(spark, sf_dir))
     _, enc = FE.training_frame(c)
     return c, enc, FE.feature_matrix(c, enc)
 
