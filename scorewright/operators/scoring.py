@@ -10,6 +10,7 @@ No step repartitions or coalesces: scoring keeps the input's parallelism.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -110,15 +111,17 @@ def score_pandas_model(
     """
     import numpy as np
     import pandas as pd
+    from pyspark import cloudpickle
 
-    bc = matrix.sparkSession.sparkContext.broadcast(model)
+    bc = matrix.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    bc_id = uuid.uuid4().hex  # cache key for the deserialised model on each worker
     threshold = cfg.label_threshold if cfg else 0.5
     high = cfg.tier_high if cfg else 0.70
     medium = cfg.tier_medium if cfg else 0.40
     cols = list(feature_cols)
 
     def predict(batches):
-        m = bc.value
+        m = _load_model(bc_id, bc)
         for pdf in batches:
             if pdf.empty:
                 yield pd.DataFrame({f.name: pd.Series(dtype="object") for f in SCORED_SCHEMA.fields})
@@ -138,6 +141,20 @@ def score_pandas_model(
     return matrix.select(ID_COL, *cols).mapInPandas(predict, schema=SCORED_SCHEMA)
 
 
+_MODELS: dict = {}
+
+
+def _load_model(key, bc):
+    """Deserialise a broadcast model once per Python worker process, not once per batch or task."""
+    m = _MODELS.get(key)
+    if m is None:
+        from pyspark import cloudpickle
+
+        m = cloudpickle.loads(bc.value)
+        _MODELS[key] = m
+    return m
+
+
 class PandasScorecard:
     """The expression scorecard as a foreign (numpy) model, for the M9 hook and the M12 agreement check."""
 
