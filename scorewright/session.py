@@ -6,7 +6,9 @@ fill in what is unset, so local tests get sane values and a real cluster keeps i
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder; survives executor loss (never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    This cuts the lineage like a reliable checkpoint (files on shared storage survive executor loss; never
+    ``localCheckpoint``), but computes the plan once (an RDD checkpoint without persist computes it twice) and keeps
+    the data columnar, so later scans prune columns and push filters.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

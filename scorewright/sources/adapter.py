@@ -54,14 +54,20 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cents(c: str) -> F.Column:
+    """A 2-decimal money column as exact integer cents (long arithmetic: no BigDecimal, fixed-width buffers)."""
+    return F.round(F.col(c) * F.lit(100)).cast("long")
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-order line totals. Aggregated before the join so the big side shuffles one row per order (partial agg)."""
+    """Per-order line totals. Aggregated before the join so the big side shuffles one row per order (partial agg).
+    Amounts are exact: list price in cents, paid in 1/10 000 units (cents x discount percent), summed as longs."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount", "l_quantity"])
-    price = F.col("l_extendedprice").cast("decimal(15,2)")
-    paid = price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    price = _cents("l_extendedprice")
+    paid = price * (F.lit(100) - _cents("l_discount"))
     return li.groupBy("l_orderkey").agg(
-        F.sum(price).alias("list_price"),
-        F.sum(paid).alias("paid"),
+        F.sum(price).alias("list_cents"),
+        F.sum(paid).alias("paid_units"),
         F.sum(F.col("l_quantity").cast("int")).alias("qty"),
     )
 
@@ -82,9 +88,13 @@ def transactions(spark: SparkSession, sf_dir: str, cutoff: dt.date | None = None
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderkey").alias("transaction_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_method_id"),
-        F.coalesce(F.col("list_price"), F.lit(0)).cast(MONEY).alias("plan_list_price"),
+        (F.coalesce(F.col("list_cents"), F.lit(0)).cast("decimal(18,0)") / 100).cast(MONEY).alias("plan_list_price"),
         days.alias("payment_plan_days"),
-        F.coalesce(F.round(F.col("paid"), 2), F.lit(0)).cast(MONEY).alias("actual_amount_paid"),
+        # half-up to cents: (units + 50) div 100 on non-negative amounts, exact
+        (
+            ((F.coalesce(F.col("paid_units"), F.lit(0)) + 50) - F.pmod(F.coalesce(F.col("paid_units"), F.lit(0)) + 50, F.lit(100)))
+            .cast("decimal(20,0)") / 10000
+        ).cast(MONEY).alias("actual_amount_paid"),
         (F.col("o_orderstatus") == "P").cast("int").alias("is_auto_renew"),
         (F.col("o_orderstatus") == "F").cast("int").alias("is_cancel"),
         tdate.alias("transaction_date"),
