@@ -543,6 +543,10 @@ oracle(
 )
 oracle("a6_row_counts", "gates", "SELECT run_id, n_read, n_scored, n_failed FROM gates")
 oracle("a5_score_stats", "stats", "SELECT * FROM stats")
+oracle(
+    "a8_predicted_rate", "predictions",
+    f"SELECT run_id, {r4('avg(CAST(churn_label AS DOUBLE))')} AS positive_rate FROM predictions GROUP BY run_id",
+)
 oracle("v1_v6_gates", "gates", "SELECT * FROM gates")
 
 # store

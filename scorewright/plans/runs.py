@@ -103,3 +103,12 @@ def predictions(scored: DataFrame, gates: DataFrame) -> DataFrame:
     so the semi join broadcasts a table bounded by the number of runs."""
     passed = gates.filter(F.col("validation_passed")).select("run_id")
     return scored.join(F.broadcast(passed), "run_id", "left_semi")
+
+
+def new_run_id(prefix: str = "run", now: dt.datetime | None = None) -> str:
+    """``prefix-yyyymmdd-HHMMSS-xxxxxxxx`` (UTC time plus 8 hex digits of a random UUID), made on the driver
+    once per job and passed to every task as a literal."""
+    import uuid
+
+    now = now or dt.datetime.now(dt.timezone.utc)
+    return f"{prefix}-{now:%Y%m%d-%H%M%S}-{uuid.uuid4().hex[:8]}"

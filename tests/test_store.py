@@ -97,3 +97,13 @@ def test_runs_page_and_totals(spark):
     assert store.runs_total(runs, "validated").first()["total"] == 2
     assert store.health(runs).first()["latest_run_id"] == "r4"
     assert store.latest_completed(runs).first()["run_id"] == "r3"
+
+
+def test_run_id_format():
+    import re
+
+    from scorewright.plans.runs import new_run_id
+
+    rid = new_run_id("run", dt.datetime(2024, 1, 2, 3, 4, 5))
+    assert re.fullmatch(r"run-20240102-030405-[0-9a-f]{8}", rid)
+    assert new_run_id() != new_run_id()
