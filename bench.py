@@ -78,7 +78,7 @@ def main() -> None:
 
     timed("w1_latest_scores", lambda: noop(latest))
     timed("w8_score_by_customer", lambda: store.score_for(pred, R.LOOKUP_CUSTOMER).collect())
-    timed("j3_bulk_found", lambda: store.bulk_found(R.request_ids(spark, sf_dir), latest).collect())
+    timed("j3_bulk_found", lambda: store.bulk_found(R.request_ids(spark, sf_dir), pred).collect())
     timed("a9_score_histogram", lambda: monitor.histogram(pred).collect())
     timed("a11_psi", psi_pair)
     timed("w14_run_summary", lambda: store.run_summary(runs).collect())

@@ -1,7 +1,8 @@
 """Stored tables and the queries over them.
 
 Storage model:
-    predictions  append-only Parquet partitioned by ``run_id`` (a run is one partition: run filters prune files)
+    predictions  Parquet partitioned by ``run_id`` (one directory per run: run filters prune files; a re-run
+                 night replaces only its own directory)
     run_events   append-only log of partial run updates; the run table is a fold of it (no row updates needed)
 
 Latest score per customer is a ``max_by`` aggregate keyed by customer: mergeable, so a customer present in every
@@ -63,8 +64,18 @@ RUN_EVENT_SCHEMA = T.StructType(
 
 
 def write_predictions(pred: DataFrame, path: str) -> None:
-    """Append a run's rows, one directory per run id. Partition files stay as parallel as the scoring was."""
-    pred.select(*PREDICTION_COLUMNS).write.mode("append").partitionBy("run_id").parquet(path)
+    """Write a run's rows under its own ``run_id=`` directory, as parallel as the scoring was.
+
+    Dynamic partition overwrite replaces only the run directories present in ``pred``: other runs stay, and a
+    retried or re-run night replaces its own partition instead of appending a second copy (idempotent publish).
+    """
+    (
+        pred.select(*PREDICTION_COLUMNS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(path)
+    )
 
 
 def register_runs(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -157,22 +168,27 @@ def dedupe_ids(ids: DataFrame, order_cols: list[str]) -> DataFrame:
     return first.select(ID_COL, *[F.col(f"o.{c}").alias(c) for c in order_cols])
 
 
-def bulk_found(request: DataFrame, latest: DataFrame) -> DataFrame:
-    """Requested ids that have a score. The request is at most 500 rows, so it is the broadcast side."""
-    return latest.join(F.broadcast(request.select(ID_COL)), ID_COL, "inner")
+def _requested(request: DataFrame, pred: DataFrame) -> DataFrame:
+    """Prediction rows of the requested ids only: the request (at most 500 rows after P21) is the broadcast side of
+    a semi join applied at the scan, so the latest-score aggregate shuffles just those customers' rows."""
+    return pred.join(F.broadcast(request.select(ID_COL)), ID_COL, "left_semi")
 
 
-def bulk_not_found(request: DataFrame, latest: DataFrame) -> DataFrame:
-    """Requested ids without a score, kept with their request order."""
-    return request.join(latest.select(ID_COL), ID_COL, "left_anti")
+def bulk_found(request: DataFrame, pred: DataFrame) -> DataFrame:
+    """Latest score of each requested id that has one."""
+    return latest_scores(_requested(request, pred))
 
 
-def bulk_summary(request: DataFrame, latest: DataFrame) -> DataFrame:
+def bulk_not_found(request: DataFrame, pred: DataFrame) -> DataFrame:
+    """Requested ids without a score, kept with their request order columns."""
+    return request.join(_requested(request, pred).select(ID_COL).distinct(), ID_COL, "left_anti")
+
+
+def bulk_summary(request: DataFrame, pred: DataFrame) -> DataFrame:
     """Requested and found counts."""
-    j = request.select(ID_COL).join(latest.select(ID_COL, F.col("churn_probability").alias("_p")), ID_COL, "left")
-    return j.agg(
-        F.count(F.lit(1)).alias("total_requested"), F.count("_p").alias("total_found")
-    )
+    found = _requested(request, pred).select(ID_COL).distinct().withColumn("_found", F.lit(1))
+    j = request.select(ID_COL).join(found, ID_COL, "left")
+    return j.agg(F.count(F.lit(1)).alias("total_requested"), F.count("_found").alias("total_found"))
 
 
 # ---------------------------------------------------------------- run listings
@@ -228,11 +244,10 @@ def pipeline_totals(runs: DataFrame, pred: DataFrame) -> DataFrame:
             )
         ).alias("avg_records_per_second"),
     )
-    p = pred.agg(F.count(F.lit(1)).alias("total_predictions"))
-    # two one-row aggregates side by side: a join on a constant key, both sides exactly one row
-    return r.withColumn("_k", F.lit(1)).join(p.withColumn("_k", F.lit(1)), "_k").select(
+    total_predictions = pred.agg(F.count(F.lit(1))).scalar()  # scalar subquery, planned once
+    return r.select(
         "total_batch_runs",
-        "total_predictions",
+        total_predictions.alias("total_predictions"),
         "latest_run_id",
         "latest_run_completed_at",
         "latest_model_version",

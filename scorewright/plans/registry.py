@@ -371,20 +371,17 @@ def q_w11(spark, sf_dir):
 
 @query("j3_bulk_found")
 def q_j3(spark, sf_dir):
-    latest = store.latest_scores(history(spark, sf_dir).predictions)
-    return store.bulk_found(request_ids(spark, sf_dir), latest)
+    return store.bulk_found(request_ids(spark, sf_dir), history(spark, sf_dir).predictions)
 
 
 @query("j4_bulk_not_found")
 def q_j4(spark, sf_dir):
-    latest = store.latest_scores(history(spark, sf_dir).predictions)
-    return store.bulk_not_found(request_ids(spark, sf_dir), latest)
+    return store.bulk_not_found(request_ids(spark, sf_dir), history(spark, sf_dir).predictions)
 
 
 @query("j8_bulk_summary")
 def q_j8(spark, sf_dir):
-    latest = store.latest_scores(history(spark, sf_dir).predictions)
-    return store.bulk_summary(request_ids(spark, sf_dir), latest)
+    return store.bulk_summary(request_ids(spark, sf_dir), history(spark, sf_dir).predictions)
 
 
 @query("w5_runs_page")
@@ -525,8 +522,13 @@ def q_m8(spark, sf_dir):
 
 
 def gbt_model(spark, sf_dir):
-    s = split_frame(spark, sf_dir)
-    return s, M.train_gbt(s.filter(F.col("split") != "test"), CFG, max_iter=30, max_depth=4)
+    """The split frame and a GBT trained on its train/val rows (trained once per session and sf dir)."""
+
+    def build():
+        s = split_frame(spark, sf_dir)
+        return s, M.train_gbt(s.filter(F.col("split") != "test"), CFG, max_iter=30, max_depth=4)
+
+    return _memo(spark, sf_dir, "gbt", build)
 
 
 @query("m5_gbt_evaluation")

@@ -26,3 +26,13 @@ def test_three_nights(spark):
     # partition pruning: a run filter reads one directory
     plan = pred.filter(F.col("run_id") == "n2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan
+
+
+def test_rerun_of_a_night_replaces_its_partition(spark):
+    wh = tempfile.mkdtemp(prefix="scorewright-test-wh-")
+    nightly.run_nightly(spark, SF_SMALL, wh, "r1")
+    first = nightly.run_nightly(spark, SF_SMALL, wh, "r2")
+    again = nightly.run_nightly(spark, SF_SMALL, wh, "r2")  # the same night run again
+    pred = spark.read.parquet(wh + "/predictions")
+    counts = {r["run_id"]: r["count"] for r in pred.groupBy("run_id").count().collect()}
+    assert counts == {"r1": first.records_scored, "r2": again.records_scored}

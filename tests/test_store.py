@@ -74,10 +74,10 @@ def test_bulk_lookup_parse_dedupe_and_split(spark):
     assert [r["customer_id"] for r in ids.orderBy("pos").collect()] == ["c2", "c1", "zz", "c2"]
     req = store.dedupe_ids(ids, ["pos"])
     assert [r["customer_id"] for r in req.orderBy("pos").collect()] == ["c2", "c1", "zz"]
-    latest = store.latest_scores(_pred(spark))
-    assert sorted(r["customer_id"] for r in store.bulk_found(req, latest).collect()) == ["c1", "c2"]
-    assert [r["customer_id"] for r in store.bulk_not_found(req, latest).collect()] == ["zz"]
-    s = store.bulk_summary(req, latest).first()
+    found = {r["customer_id"]: r["run_id"] for r in store.bulk_found(req, _pred(spark)).collect()}
+    assert found == {"c1": "r2", "c2": "r1"}  # the latest run of each requested customer
+    assert [r["customer_id"] for r in store.bulk_not_found(req, _pred(spark)).collect()] == ["zz"]
+    s = store.bulk_summary(req, _pred(spark)).first()
     assert (s["total_requested"], s["total_found"]) == (3, 2)
 
 
