@@ -98,5 +98,5 @@ def ratio_half_up(num: Column | str, den: Column | str, digits: int = 4) -> Colu
 
 
 def ts_lit(value: dt.datetime) -> Column:
-    """A wall-clock UTC timestamp literal (``timestamp_ntz``)."""
-    return F.lit(value).cast("timestamp_ntz")
+    """A wall-clock timestamp literal (``timestamp_ntz``), built from text so no time zone touches it."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorewright.config import FEATURE_COLUMNS, ID_COL
-from scorewright.functions.exprs import decile, risk_tier, round_half_even
+from scorewright.functions.exprs import decile, risk_tier, round_half_even, ts_lit
 
 SCORED_SCHEMA = T.StructType(
     [
@@ -179,7 +179,7 @@ def with_lineage(scored: DataFrame, run_id: str, model_version: str, scored_at:
         "*",
         F.lit(run_id).alias("run_id"),
         F.lit(model_version).alias("model_version"),
-        F.lit(scored_at).cast("timestamp").alias("scored_at"),
+        ts_lit(scored_at).alias("scored_at"),
     )
 
 

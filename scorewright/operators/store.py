@@ -107,7 +107,7 @@ def fold_runs(events: DataFrame) -> DataFrame:
 def run_summary(runs: DataFrame) -> DataFrame:
     """The run summary view: selected fields, rate = round(scored / nullif(secs, 0)), wall-clock secs."""
     rate = F.round(F.try_divide(F.col("records_scored").cast("double"), F.col("spark_duration_secs")), 0)
-    wall = F.unix_micros(F.col("completed_at").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))
+    wall = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("completed_at"))  # wall clock, no time zone
     return runs.select(
         "run_id",
         "model_version",

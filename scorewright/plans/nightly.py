@@ -2,7 +2,7 @@
 
     raw tables --ETL--> customers --features/score--> staging (Parquet, counts observed in the same job)
     staging --one aggregate--> gates --fail--> 'failed' events, nothing published
-                                     --pass--> append to predictions/run_id=<id>, events, PSI vs previous run
+                                     --pass--> predictions/run_id=<id> (replaced if re-run), events, PSI
 
 Every stage after scoring reads the previous stage's written files, never the lineage: the big ETL runs exactly
 once, and a lost executor only re-runs tasks of the current stage. Writers keep the scoring parallelism (no
@@ -46,12 +46,6 @@ def _paths(warehouse: str) -> dict[str, str]:
     }
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _append_events(spark: SparkSession, path: str, run_id: str, seq: int, name: str, fields: dict) -> None:
     one = spark.range(1).select(F.lit(run_id).alias("run_id"))
     ev = H._event(one, seq, name, {k: (v if hasattr(v, "_jc") else F.lit(v)) for k, v in fields.items()})
@@ -89,9 +83,7 @@ def run_nightly(
     customers = spark.read.parquet(paths["customers"])
     _, enc = FE.training_frame(customers)
     scored = scoring.score_scorecard(FE.feature_matrix(customers, enc), card, cfg)
-    scored = scoring.with_lineage(scored, run_id, card.version, started_at).withColumn(
-        "scored_at", F.col("scored_at").cast("timestamp_ntz")
-    )
+    scored = scoring.with_lineage(scored, run_id, card.version, started_at)
     observed, obs = scoring.observed_counts(scored)
     stage = os.path.join(paths["staging"], f"run_id={run_id}")
     sinks.write_parquet(observed.drop("run_id"), stage)
@@ -115,7 +107,7 @@ def run_nightly(
         _append_events(spark, paths["run_events"], run_id, 4, "failure", {"status": "failed"})
         return NightlyResult(run_id, n_read, n_scored, False, gate["validation_notes"], None, t)
 
-    # Publish, appended under the run's partition
+    # Publish under the run's own partition (dynamic overwrite: a re-run replaces it)
     t0 = time.perf_counter()
     pub = spark.read.parquet(stage).withColumn("run_id", F.lit(run_id))
     store.write_predictions(pub, paths["predictions"])

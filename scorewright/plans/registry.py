@@ -107,10 +107,13 @@ def request_lines(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG) -> Dat
     a customer), the rest paste the customer key, all with stray spaces."""
     o = tables.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                                     "o_orderpriority"])
-    start = dt.datetime.combine(cfg.reference_date - dt.timedelta(days=REQUEST_WINDOW_DAYS), dt.time())
-    end = dt.datetime.combine(cfg.reference_date + dt.timedelta(days=1), dt.time())
+    start = cfg.reference_date - dt.timedelta(days=REQUEST_WINDOW_DAYS)
+    end = cfg.reference_date + dt.timedelta(days=1)
     typ = o.schema["o_orderdate"].dataType
-    o = o.filter((F.col("o_orderdate") >= F.lit(start).cast(typ)) & (F.col("o_orderdate") < F.lit(end).cast(typ)))
+    o = o.filter(
+        (F.col("o_orderdate") >= F.lit(f"{start} 00:00:00").cast(typ))
+        & (F.col("o_orderdate") < F.lit(f"{end} 00:00:00").cast(typ))
+    )
     text = (
         F.when(F.col("o_orderstatus") == "O", F.lit("   "))
         .when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit(" "), F.col("o_orderkey").cast("string")))

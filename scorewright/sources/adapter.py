@@ -36,7 +36,7 @@ def _next_day_ts(d: dt.date, df: DataFrame, column: str) -> F.Column:
     """Start of the day after ``d`` as a literal of the column's own timestamp type, so a cutoff on it stays a
     plain range predicate that the Parquet scan receives as a pushed filter."""
     nxt = d + dt.timedelta(days=1)
-    return F.lit(dt.datetime(nxt.year, nxt.month, nxt.day)).cast(df.schema[column].dataType)
+    return F.lit(f"{nxt:%Y-%m-%d} 00:00:00").cast(df.schema[column].dataType)
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
