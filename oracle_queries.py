@@ -284,7 +284,7 @@ cte(
     f"""
     SELECT t.run_id, b.bin, coalesce(c.cnt, 0) AS count, t.n,
            (coalesce(c.cnt, 0) + {flt(1e-6)}) / (t.n + {flt(10 * 1e-6)}) AS fraction
-    FROM (SELECT run_id, sum(cnt) AS n FROM psi_counts GROUP BY run_id) t
+    FROM (SELECT run_id, CAST(sum(cnt) AS BIGINT) AS n FROM psi_counts GROUP BY run_id) t
     CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 11)) b
     LEFT JOIN psi_counts c ON c.run_id = t.run_id AND c.bin = b.bin""",
 )

@@ -1,8 +1,10 @@
 """The nightly scoring job (E1 -> E2 -> E4 of the reference, as one Spark application).
 
     raw tables --ETL--> customers --features/score--> staging (Parquet, counts observed in the same job)
-    staging --one aggregate--> gates --fail--> 'failed' events, nothing published
-                                     --pass--> predictions/run_id=<id> (replaced if re-run), events, PSI
+    staging --one aggregate each--> gates, statistics, PSI bin counts (run_bins)
+                                     --fail--> 'failed' events, nothing published
+                                     --pass--> predictions/run_id=<id> (replaced if re-run), events,
+                                               PSI from the stored bin counts of this and the previous run
 
 Every stage after scoring reads the previous stage's written files, never the lineage: the big ETL runs exactly
 once, and a lost executor only re-runs tasks of the current stage. Writers keep the scoring parallelism (no
@@ -43,6 +45,7 @@ def _paths(warehouse: str) -> dict[str, str]:
         "staging": os.path.join(warehouse, "staging"),
         "predictions": os.path.join(warehouse, "predictions"),
         "run_events": os.path.join(warehouse, "run_events"),
+        "run_bins": os.path.join(warehouse, "run_bins"),
     }
 
 
@@ -97,6 +100,11 @@ def run_nightly(
     staged = spark.read.parquet(stage).select("churn_probability", "churn_label")
     gate = quality.gate_frame(staged, n_read, cfg.gates).first()
     stats = quality.score_stats(staged).first()
+    # PSI bin counts of this run (at most n_bins + 1 rows), kept so later drift checks never rescan predictions
+    bins = monitor.psi_counts(staged.withColumn("run_id", F.lit(run_id)), cfg.psi_n_bins)
+    bins.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(
+        paths["run_bins"]
+    )
     t["gate"] = time.perf_counter() - t0
     _append_events(spark, paths["run_events"], run_id, 2, "spark_result",
                    {"records_read": n_read, "records_scored": n_scored, "records_failed": n_read - n_scored,
@@ -117,14 +125,14 @@ def run_nightly(
                    {"status": "completed", "completed_at": ts_lit(completed),
                     "total_duration_secs": round(sum(t.values()), 2)})
 
-    # PSI against the newest earlier completed/validated run (reads two run partitions only)
+    # PSI against the newest earlier completed/validated run, from the two runs' stored bin counts
     t0 = time.perf_counter()
     runs = store.fold_runs(spark.read.parquet(paths["run_events"]))
     prev = monitor.previous_run(runs, run_id).select("run_id").first()
     psi_value, drift = None, False
     if prev is not None:
-        pred = spark.read.parquet(paths["predictions"]).filter(F.col("run_id").isin(prev["run_id"], run_id))
-        dist = monitor.psi_distribution(monitor.psi_counts(pred, cfg.psi_n_bins), cfg.psi_n_bins, cfg.psi_epsilon)
+        counts = spark.read.parquet(paths["run_bins"]).filter(F.col("run_id").isin(prev["run_id"], run_id))
+        dist = monitor.psi_distribution(counts.select("run_id", "bin", "count"), cfg.psi_n_bins, cfg.psi_epsilon)
         pairs = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(prev["run_id"]).alias("ref_run_id"))
         row = monitor.psi(monitor.psi_breakdown(dist, pairs, cfg.psi_n_bins), cfg.psi_threshold).first()
         psi_value, drift = float(row["psi"]), bool(row["drift_flagged"])

@@ -1 +1,6 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The reference is a bounded nightly batch: it has no stream sources, watermarks, windows over event time or state
+stores, so nothing here re-expresses it. The nightly job (``scorewright.plans.nightly``) is the unit of work; its
+stages read and write files, so an orchestrator can re-run a night idempotently.
+"""

@@ -23,6 +23,12 @@ def test_three_nights(spark):
     runs = {r["run_id"]: r for r in store.fold_runs(spark.read.parquet(wh + "/run_events")).collect()}
     assert runs["n1"]["status"] == "validated" and runs["n3"]["status"] == "failed"
     assert runs["n2"]["psi_vs_previous"] == r2.psi and runs["n1"]["psi_vs_previous"] is None
+    # PSI from the stored bin counts equals PSI recomputed from the published predictions
+    from scorewright.operators import monitor
+
+    dist = monitor.psi_distribution(monitor.psi_counts(pred.filter(F.col("run_id").isin("n1", "n2"))))
+    pairs = spark.createDataFrame([("n2", "n1")], "run_id string, ref_run_id string")
+    assert abs(monitor.psi(monitor.psi_breakdown(dist, pairs)).first()["psi"] - r2.psi) < 1e-12
     # partition pruning: a run filter reads one directory
     plan = pred.filter(F.col("run_id") == "n2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan
