@@ -69,3 +69,40 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# Target sizes for partitions at scale: scan splits and post-shuffle partitions of ~256 MB fit comfortably in an
+# executor task's memory share and keep task counts manageable on 100 TB inputs.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the input files, read from file-system metadata on the driver (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_partitions(spark: SparkSession, total_bytes: int) -> dict[str, str]:
+    """Set scan split size, the initial shuffle partition count and AQE's advisory size from the input size, but
+    only for settings the launcher did not set explicitly. AQE then coalesces small shuffle partitions and splits
+    skewed ones at run time. Returns the settings applied."""
+    launched = spark.sparkContext.getConf()
+    parallelism = spark.sparkContext.defaultParallelism
+    n = max(parallelism, min(MAX_SHUFFLE_PARTITIONS, -(-total_bytes // TARGET_PARTITION_BYTES)))
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES // 4),
+    }
+    applied = {}
+    for k, v in wanted.items():
+        if not launched.contains(k):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied

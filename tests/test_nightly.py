@@ -42,3 +42,15 @@ def test_rerun_of_a_night_replaces_its_partition(spark):
     pred = spark.read.parquet(wh + "/predictions")
     counts = {r["run_id"]: r["count"] for r in pred.groupBy("run_id").count().collect()}
     assert counts == {"r1": first.records_scored, "r2": again.records_scored}
+
+
+def test_partition_sizing_respects_launcher_settings(spark):
+    from scorewright.session import input_bytes, size_partitions
+
+    n = input_bytes(spark, [SF_SMALL + "/lineitem.parquet"])
+    assert n > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    applied = size_partitions(spark, 10 * 1024**4)  # 10 TB
+    assert "spark.sql.shuffle.partitions" not in applied  # set explicitly by the test session builder
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
