@@ -7,7 +7,8 @@ Measured the way the system runs:
                    (latest score, lookup, bulk lookup, histogram, PSI, run summary, totals, high-risk list)
     scoring_*      throughput of feature building + scoring at the reference's 970 960 rows: the sf customer rows
                    repeated to that count, written once, then engineered, encoded and scored into ``noop`` (the
-                   reference's ~95 K rows/s pandas figure also times feature building + prediction only)
+                   reference's ~95 K rows/s pandas figure also times feature building + prediction only); one
+                   warm-up run is discarded, as the reference's benchmark does, and its time is reported too
 ``value`` is the sum of all timed steps in ``queries``.
 """
 
@@ -97,8 +98,12 @@ def main() -> None:
     big = spark.read.parquet(staged)
     n_scale = big.count()
     _, enc = FE.training_frame(customers)  # fitted encoders are a model artifact, fitted once
+    plan = scoring.score_scorecard(FE.feature_matrix(big, enc))
     t0 = time.perf_counter()
-    noop(scoring.score_scorecard(FE.feature_matrix(big, enc)))
+    noop(plan)  # first run: includes code generation and JIT warm-up (reported, not the throughput basis)
+    cold_secs = time.perf_counter() - t0
+    t0 = time.perf_counter()
+    noop(plan)
     score_secs = time.perf_counter() - t0
     times["scoring_970k_rows"] = round(score_secs, 3)
 
@@ -114,6 +119,7 @@ def main() -> None:
         "runs_published": sum(1 for r in results if r.validation_passed),
         "scoring_rows": n_scale,
         "scoring_rows_per_sec": round(n_scale / score_secs, 1) if score_secs > 0 else None,
+        "scoring_cold_secs": round(cold_secs, 3),
         "baseline_rows_per_sec": REFERENCE_ROWS_PER_SEC,
     }
     print(json.dumps(out), flush=True)

@@ -5,9 +5,11 @@ except fitting the vocabulary, which is one small aggregate.
 
 Encoders: the vocabulary is the sorted distinct text of each categorical column, coded 0..k-1 (M1). It is a fitted
 model artifact like a ``StringIndexerModel``: bounded by the number of distinct categories, not by rows. Applying it
-(M2) is a map lookup inside the projection when the vocabulary is within ``MAP_LOOKUP_MAX`` entries (checked);
-larger vocabularies are applied by a join per column, which Spark plans as a broadcast or a shuffle by size (AQE).
-Unseen values get code 0 (the first class), not a new index.
+(M2) is a lookup inside the projection for columns with at most ``INLINE_MAX`` values (integer columns look up by
+their integer value, so no per-row text cast); Spark scans a literal map linearly, so larger vocabularies are
+applied by a hash join per column, planned as a broadcast or a shuffle by measured size (AQE). The whole vocabulary
+is brought to the driver only when it is within ``MAP_LOOKUP_MAX`` entries (checked). Unseen values get code 0
+(the first class), not a new index.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorewright.config import CATEGORICAL_FEATURES, FEATURE_COLUMNS, ID_COL, TARGET_COL
 from scorewright.functions.exprs import category_text, flag, round_half_even
 
 MAP_LOOKUP_MAX = 50_000
+INLINE_MAX = 64
 
 
 def engineer(df: DataFrame) -> DataFrame:
@@ -74,7 +78,22 @@ def fit_encoders(df: DataFrame, columns: list[str] = CATEGORICAL_FEATURES) -> En
     return Encoders(table=table, maps=maps)
 
 
-def _map_lookup(column: str, mapping: dict[str, int]) -> Column:
+def _inline_lookup(column: str, mapping: dict[str, int], dtype: T.DataType) -> Column:
+    unknown = mapping.get("unknown", 0)
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        # an integer's text is its canonical decimal form, so the lookup can use the integer itself
+        keys = {}
+        for k, v in mapping.items():
+            if k.lstrip("-").isdigit() and str(int(k)) == k:
+                keys[int(k)] = v
+        items = []
+        for k in sorted(keys):
+            items += [F.lit(k).cast(dtype), F.lit(keys[k])]
+        m = F.create_map(*items) if items else F.create_map().cast(f"map<{dtype.simpleString()},int>")
+        col = F.col(column)
+        return F.when(col.isNull(), F.lit(unknown)).otherwise(
+            F.coalesce(F.try_element_at(m, col), F.lit(0))
+        ).alias(column)
     items = []
     for k in sorted(mapping):
         items += [F.lit(k), F.lit(mapping[k])]
@@ -82,22 +101,28 @@ def _map_lookup(column: str, mapping: dict[str, int]) -> Column:
     return F.coalesce(F.try_element_at(m, category_text(column)), F.lit(0)).alias(column)
 
 
+def _join_lookup(df: DataFrame, table: DataFrame, c: str) -> DataFrame:
+    v = table.filter(F.col("feature") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__c_{c}"))
+    return (
+        df.withColumn(f"__t_{c}", category_text(c))
+        .join(v, F.col(f"__t_{c}") == F.col(f"__v_{c}"), "left")
+        .withColumn(c, F.coalesce(F.col(f"__c_{c}"), F.lit(0)))
+        .drop(f"__c_{c}", f"__t_{c}", f"__v_{c}")
+    )
+
+
 def apply_encoders(df: DataFrame, enc: Encoders, columns: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """Text category to its code, unseen to 0."""
+    """Category to its code, unseen to 0."""
     present = [c for c in columns if c in df.columns]
-    if enc.maps is not None:
-        return df.select(
-            *[_map_lookup(c, enc.maps.get(c, {})) if c in present else F.col(c) for c in df.columns]
-        )
-    out = df
+    maps = enc.maps or {}
+    inline = {c for c in present if enc.maps is not None and len(maps.get(c, {})) <= INLINE_MAX}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = df.select(
+        *[_inline_lookup(c, maps.get(c, {}), types[c]) if c in inline else F.col(c) for c in df.columns]
+    )
     for c in present:
-        v = enc.table.filter(F.col("feature") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code"))
-        out = (
-            out.withColumn(f"__t_{c}", category_text(c))
-            .join(v, F.col(f"__t_{c}") == F.col(f"__v_{c}"), "left")
-            .withColumn(c, F.coalesce(F.col("code"), F.lit(0)))
-            .drop("code", f"__t_{c}", f"__v_{c}")
-        )
+        if c not in inline:
+            out = _join_lookup(out, enc.table, c)
     return out.select(*df.columns)
 
 

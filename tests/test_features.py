@@ -109,3 +109,11 @@ def test_pandas_hook_with_stub_model(spark):
     m = FE.feature_matrix(_raw(spark), enc).coalesce(1)  # one Arrow batch, so the stub sees both rows
     out = scoring.score_pandas_model(m, Stub()).collect()
     assert sorted(r["risk_tier"] for r in out) == ["high", "low"]
+
+
+def test_mixed_inline_and_join_lookup(spark, monkeypatch):
+    _, enc = FE.training_frame(_raw(spark))
+    want = FE.apply_encoders(FE.engineer(_raw(spark)), enc).orderBy("customer_id").collect()
+    monkeypatch.setattr(FE, "INLINE_MAX", 1)  # city/gender/... have 2 values: joined; single-value ones inline
+    got = FE.apply_encoders(FE.engineer(_raw(spark)), enc).orderBy("customer_id").collect()
+    assert got == want
