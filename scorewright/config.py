@@ -57,30 +57,43 @@ TX_COLUMNS = [
 UNKNOWN = "unknown"
 RUN_STATUSES = ["running", "completed", "failed", "validated"]
 RISK_TIERS = ["low", "medium", "high"]
+# Fixed values (continued): score derivation, drift bands and gate thresholds.
+LABEL_THRESHOLD = 0.5
+TIER_HIGH = 0.70
+TIER_MEDIUM = 0.40
+PSI_STABLE_BELOW = 0.10
+PSI_MODERATE_BELOW = 0.20
+PSI_THRESHOLD = 0.2
+PSI_N_BINS = 10
+PSI_EPSILON = 1e-6
+GATE_MIN_SCORED_FRACTION = 0.9
+GATE_MAX_NULL_SCORE_PCT = 0.001
+GATE_MIN_STD = 0.01
+GATE_CHURN_RATE_RANGE = (0.05, 0.60)
 
 
 @dataclass(frozen=True)
 class GateConfig:
     """Batch-quality thresholds (relative count gate of the pandas path; absolute one is optional)."""
 
-    min_scored_fraction: float = 0.9
+    min_scored_fraction: float = GATE_MIN_SCORED_FRACTION
     min_records_expected: int | None = None
-    max_null_score_pct: float = 0.001
+    max_null_score_pct: float = GATE_MAX_NULL_SCORE_PCT
     score_range: tuple[float, float] = (0.0, 1.0)
-    min_std: float = 0.01
-    churn_rate_range: tuple[float, float] = (0.05, 0.60)
+    min_std: float = GATE_MIN_STD
+    churn_rate_range: tuple[float, float] = GATE_CHURN_RATE_RANGE
 
 
 @dataclass(frozen=True)
 class JobConfig:
     reference_date: dt.date = dt.date(2000, 8, 1)
     model_version: str = "v1.0.0"
-    psi_n_bins: int = 10
-    psi_threshold: float = 0.2
-    psi_epsilon: float = 1e-6
-    label_threshold: float = 0.5
-    tier_high: float = 0.70
-    tier_medium: float = 0.40
+    psi_n_bins: int = PSI_N_BINS
+    psi_threshold: float = PSI_THRESHOLD
+    psi_epsilon: float = PSI_EPSILON
+    label_threshold: float = LABEL_THRESHOLD
+    tier_high: float = TIER_HIGH
+    tier_medium: float = TIER_MEDIUM
     seed: int = 42
     train_fraction: float = 0.70
     val_fraction: float = 0.15

@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorewright.config import PSI_MODERATE_BELOW, PSI_STABLE_BELOW, TIER_HIGH, TIER_MEDIUM
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -60,14 +62,18 @@ def decile(p: Column | str) -> Column:
     return F.when(p.isNotNull(), F.least(F.greatest(F.ceil(p * 10).cast("int"), F.lit(1)), F.lit(10)))
 
 
-def risk_tier(p: Column | str, high: float = 0.70, medium: float = 0.40) -> Column:
+def risk_tier(p: Column | str, high: float = TIER_HIGH, medium: float = TIER_MEDIUM) -> Column:
     p = _col(p)
     return F.when(p >= high, "high").when(p >= medium, "medium").otherwise("low")
 
 
 def psi_band(psi: Column | str) -> Column:
     psi = _col(psi)
-    return F.when(psi < 0.10, "stable").when(psi < 0.20, "moderate_change").otherwise("significant_shift")
+    return (
+        F.when(psi < PSI_STABLE_BELOW, "stable")
+        .when(psi < PSI_MODERATE_BELOW, "moderate_change")
+        .otherwise("significant_shift")
+    )
 
 
 def hist_bin(p: Column | str, n_bins: int = 10) -> Column:
