@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.config import JobConfig
-from scorewright.functions.exprs import ts_lit
 from scorewright.operators import monitor, quality, store
 from scorewright.plans import runs as R
 from scorewright.session import cut_lineage
@@ -56,13 +55,19 @@ def _event(df: DataFrame, seq: int, name: str, fields: dict[str, Column]) -> Dat
     return df.select(*cols)
 
 
-def build(customers: DataFrame, runs: list[R.RunSpec] = R.RUNS, cfg: JobConfig = JobConfig()) -> History:
+def build(
+    customers: DataFrame,
+    runs: list[R.RunSpec] = R.RUNS,
+    cfg: JobConfig = JobConfig(),
+    customers_materialized: bool = False,
+) -> History:
     """Lineage is cut (reliable checkpoints in the session's checkpoint dir) after the ETL, after scoring and after
     the per-run aggregates: the many small per-run tables below all reuse materialised data instead of re-running
     the ETL once per branch."""
     spark = customers.sparkSession
-    customers = cut_lineage(customers)
-    scored = cut_lineage(R.scored_runs(customers, runs, cfg))
+    if not customers_materialized:
+        customers = cut_lineage(customers, "customers")
+    scored = cut_lineage(R.scored_runs(customers, runs, cfg), "scored_runs")
     gates = cut_lineage(R.run_gates(scored, customers, cfg))
     stats = cut_lineage(quality.score_stats(scored, ["run_id"]))
     pred = R.predictions(scored, gates)
@@ -118,5 +123,3 @@ def build(customers: DataFrame, runs: list[R.RunSpec] = R.RUNS, cfg: JobConfig =
     folded = store.fold_runs(events)
     return History(scored, gates, stats, pred, pairs, breakdown, psi, events, folded, store.run_summary(folded))
 
-
-__all__ = ["History", "build", "ts_lit"]

@@ -98,7 +98,10 @@ def matrix_and_encoders(spark, sf_dir):
 
 
 def history(spark, sf_dir) -> H.History:
-    return _memo(spark, sf_dir, "history", lambda: H.build(matrix_and_encoders(spark, sf_dir)[0]))
+    return _memo(
+        spark, sf_dir, "history",
+        lambda: H.build(matrix_and_encoders(spark, sf_dir)[0], customers_materialized=True),
+    )
 
 
 def request_lines(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG) -> DataFrame:
