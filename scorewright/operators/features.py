@@ -68,7 +68,11 @@ def vocabulary(df: DataFrame, columns: list[str] = CATEGORICAL_FEATURES) -> Data
 
 
 def fit_encoders(df: DataFrame, columns: list[str] = CATEGORICAL_FEATURES) -> Encoders:
-    table = vocabulary(df, columns)
+    return encoders_from_table(vocabulary(df, columns))
+
+
+def encoders_from_table(table: DataFrame) -> Encoders:
+    """Encoders from a stored (feature, value, code) vocabulary, e.g. the one saved at training time."""
     head = table.limit(MAP_LOOKUP_MAX + 1).collect()
     maps = None
     if len(head) <= MAP_LOOKUP_MAX:

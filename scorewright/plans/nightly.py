@@ -47,9 +47,25 @@ def _paths(warehouse: str) -> dict[str, str]:
         "predictions": os.path.join(warehouse, "predictions"),
         "run_events": os.path.join(warehouse, "run_events"),
         "run_bins": os.path.join(warehouse, "run_bins"),
+        "vocabulary": os.path.join(warehouse, "model", "vocabulary"),
     }
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+
+
+def model_encoders(spark: SparkSession, path: str, customers) -> FE.Encoders:
+    """The encoders of the model artifact: the vocabulary stored at training time. When none is stored yet (first
+    run), it is fitted on these customers and stored, so later nights encode with the same codes (unseen -> 0)."""
+    if not _has_files(spark, path):
+        FE.vocabulary(FE.engineer(customers)).write.mode("overwrite").parquet(path)
+    return FE.encoders_from_table(spark.read.parquet(path))
+
+
 def _append_events(spark: SparkSession, path: str, run_id: str, seq: int, name: str, fields: dict) -> None:
     one = spark.range(1).select(F.lit(run_id).alias("run_id"))
     ev = H._event(one, seq, name, {k: (v if hasattr(v, "_jc") else F.lit(v)) for k, v in fields.items()})
@@ -87,7 +103,7 @@ def run_nightly(
     # Features + score -> staging, counts observed in the same job
     t0 = time.perf_counter()
     customers = spark.read.parquet(paths["customers"])
-    _, enc = FE.training_frame(customers)
+    enc = model_encoders(spark, paths["vocabulary"], customers)
     scored = scoring.score_scorecard(FE.feature_matrix(customers, enc), card, cfg)
     scored = scoring.with_lineage(scored, run_id, card.version, started_at)
     observed, obs = scoring.observed_counts(scored)

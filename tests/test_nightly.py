@@ -29,6 +29,8 @@ def test_three_nights(spark):
     dist = monitor.psi_distribution(monitor.psi_counts(pred.filter(F.col("run_id").isin("n1", "n2"))))
     pairs = spark.createDataFrame([("n2", "n1")], "run_id string, ref_run_id string")
     assert abs(monitor.psi(monitor.psi_breakdown(dist, pairs)).first()["psi"] - r2.psi) < 1e-12
+    # the vocabulary is the stored model artifact, written once by the first night
+    assert spark.read.parquet(wh + "/model/vocabulary").count() > 0
     # partition pruning: a run filter reads one directory
     plan = pred.filter(F.col("run_id") == "n2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan
