@@ -56,3 +56,17 @@ def test_partition_sizing_respects_launcher_settings(spark):
     assert "spark.sql.shuffle.partitions" not in applied  # set explicitly by the test session builder
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+
+
+def test_train_then_score_with_the_saved_model(spark):
+    from scorewright.plans import train
+
+    wh = tempfile.mkdtemp(prefix="scorewright-test-wh-")
+    out = train.run_training(spark, SF_SMALL, wh, max_iter=5, max_depth=3)
+    assert set(out["metrics"]) == {"train", "val", "test"}
+    paths = train.model_paths(wh)
+    assert spark.read.parquet(paths["importances"]).count() == 15
+    r = nightly.run_nightly(spark, SF_SMALL, wh, "g1", model_path=paths["gbt"], model_version="gbt-v1")
+    assert r.records_scored == r.records_read
+    runs = {x["run_id"]: x for x in store.fold_runs(spark.read.parquet(wh + "/run_events")).collect()}
+    assert runs["g1"]["model_version"] == "gbt-v1" and runs["g1"]["status"] in ("validated", "failed")
