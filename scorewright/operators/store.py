@@ -146,7 +146,7 @@ def score_for(pred: DataFrame, customer_id: str) -> DataFrame:
 
 
 def high_risk(pred: DataFrame) -> DataFrame:
-    """High-tier rows, newest first per customer."""
+    """The high-tier rows (the partial index of the reference becomes a pushed-down filter on the scan)."""
     return pred.filter(F.col("risk_tier") == "high").select(*PREDICTION_COLUMNS)
 
 
@@ -166,7 +166,7 @@ def parse_id_text(text: DataFrame, text_col: str, max_ids: int = 500) -> DataFra
 
 
 def dedupe_ids(ids: DataFrame, order_cols: list[str]) -> DataFrame:
-    """First occurrence of each id, in request order (``position`` = 0-based rank of that occurrence)."""
+    """Each id once, with the order columns of its first occurrence (so request order can be restored)."""
     first = ids.groupBy(ID_COL).agg(F.min(F.struct(*order_cols)).alias("o"))
     return first.select(ID_COL, *[F.col(f"o.{c}").alias(c) for c in order_cols])
 
