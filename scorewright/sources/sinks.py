@@ -22,3 +22,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def append_job_metrics(metrics: DataFrame, path: str) -> None:
     """One row per timed job, appended."""
     metrics.write.mode("append").parquet(path)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, partitions: int | None = None,
+               batch_size: int = 10_000) -> None:
+    """Predictions to a relational store, for users who keep one: batched inserts from every task in parallel
+    (``numPartitions`` caps concurrent connections). Not exercised here: no database may be started in this
+    environment; the Parquet tables are the primary store."""
+    w = df if partitions is None else df.repartition(partitions)
+    w.write.mode("append").option("batchsize", batch_size).jdbc(url, table, properties=properties)
