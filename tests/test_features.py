@@ -117,3 +117,13 @@ def test_mixed_inline_and_join_lookup(spark, monkeypatch):
     monkeypatch.setattr(FE, "INLINE_MAX", 1)  # city/gender/... have 2 values: joined; single-value ones inline
     got = FE.apply_encoders(FE.engineer(_raw(spark)), enc).orderBy("customer_id").collect()
     assert got == want
+
+
+def test_scoring_plan_is_one_codegen_projection(spark, tmp_path):
+    path = str(tmp_path / "customers")
+    _raw(spark).write.parquet(path)
+    c = spark.read.parquet(path)
+    _, enc = FE.training_frame(c)
+    plan = scoring.score_scorecard(FE.feature_matrix(c, enc))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    assert "WholeStageCodegen" in plan or "*(" in plan
