@@ -16,25 +16,30 @@ from scorewright.functions.exprs import round_half_even
 PERCENTILES = [0.10, 0.25, 0.50, 0.75, 0.90]
 
 
-def score_stats(scored: DataFrame, group: list[str] = (), col: str = "churn_probability") -> DataFrame:
-    """A5: mean, population std and p10/p25/p50/p75/p90 (linear interpolation, as numpy), 4 decimals.
+STAT_COLUMNS = ["score_mean", "score_std", "score_p10", "score_p25", "score_p50", "score_p75", "score_p90"]
 
-    The mean is an exact decimal sum of the 4-decimal scores over the count, so the order of addition across tasks
-    cannot move a rounding tie."""
-    p = F.col(col)
-    q = F.percentile(p, PERCENTILES)
-    agg = scored.groupBy(*group).agg(
-        (F.sum(p.cast("decimal(12,4)")).cast("double") / F.count(p)).alias("mean"),
-        F.stddev_pop(p).alias("std"),
-        q.alias("q"),
-    )
-    names = ["p10", "p25", "p50", "p75", "p90"]
-    return agg.select(
-        *group,
-        round_half_even("mean").alias("score_mean"),
-        round_half_even("std").alias("score_std"),
-        *[round_half_even(F.col("q")[i]).alias(f"score_{n}") for i, n in enumerate(names)],
-    )
+
+def _stats_aggs(p: Column) -> list[Column]:
+    # exact decimal sum of the 4-decimal scores over the count: addition order cannot move a rounding tie
+    return [
+        (F.sum(p.cast("decimal(12,4)")).cast("double") / F.count(p)).alias("_mean"),
+        F.stddev_pop(p).alias("_std"),
+        F.percentile(p, PERCENTILES).alias("_q"),
+    ]
+
+
+def _stats_select() -> list[Column]:
+    return [
+        round_half_even("_mean").alias("score_mean"),
+        round_half_even("_std").alias("score_std"),
+        *[round_half_even(F.col("_q")[i]).alias(STAT_COLUMNS[2 + i]) for i in range(len(PERCENTILES))],
+    ]
+
+
+def score_stats(scored: DataFrame, group: list[str] = (), col: str = "churn_probability") -> DataFrame:
+    """A5: mean, population std and p10/p25/p50/p75/p90 (linear interpolation, as numpy), 4 decimals."""
+    agg = scored.groupBy(*group).agg(*_stats_aggs(F.col(col)))
+    return agg.select(*group, *_stats_select())
 
 
 def positive_rate(df: DataFrame, col: str, group: list[str] = ()) -> DataFrame:
@@ -46,8 +51,17 @@ def _msg(cond: Column, text: Column | str) -> Column:
     return F.when(cond, text if isinstance(text, Column) else F.lit(text))
 
 
-def gate_frame(scored: DataFrame, n_read: Column | int, cfg: GateConfig = GateConfig(), group: list[str] = ()):
+def gate_frame(
+    scored: DataFrame,
+    n_read: Column | int,
+    cfg: GateConfig = GateConfig(),
+    group: list[str] = (),
+    with_stats: bool = False,
+    extra_aggs: list[Column] = (),
+):
     """V1-V6 in one aggregate. ``n_read`` is the input row count (a literal, or a column when grouped by run).
+    ``with_stats`` adds the A5 statistics and ``extra_aggs`` any further aggregates (kept under their aliases) to the
+    same pass over the rows.
 
     Output per group: counts, null rate, min/max, sample std, predicted rate, ``errors`` (hard failures), ``warnings``,
     ``validation_passed``, ``validation_notes`` and ``status`` ('failed' on any error, else 'completed').
@@ -61,7 +75,10 @@ def gate_frame(scored: DataFrame, n_read: Column | int, cfg: GateConfig = GateCo
         F.max(p).alias("score_max"),
         F.stddev_samp(p).alias("std_samp"),
         F.avg(F.col("churn_label").cast("double")).alias("churn_rate"),
+        *(_stats_aggs(p) if with_stats else []),
+        *extra_aggs,
     )
+    extra_names = [c for c in agg.columns if c not in group][6 + (3 if with_stats else 0):]
     n_read_col = F.lit(n_read) if isinstance(n_read, int) else n_read
     agg = agg.withColumn("n_read", n_read_col.cast("long"))
     null_rate = F.try_divide(F.col("n_scored") - F.col("n_nonnull"), F.col("n_scored"))
@@ -98,6 +115,8 @@ def gate_frame(scored: DataFrame, n_read: Column | int, cfg: GateConfig = GateCo
         round_half_even("churn_rate").alias("churn_rate"),
         errs.alias("errors"),
         warns.alias("warnings"),
+        *(_stats_select() if with_stats else []),
+        *extra_names,
     )
     notes = F.concat_ws("; ", F.concat(F.col("errors"), F.col("warnings")))
     return out.select(

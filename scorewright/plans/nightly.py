@@ -1,7 +1,7 @@
 """The nightly scoring job (E1 -> E2 -> E4 of the reference, as one Spark application).
 
     raw tables --ETL--> customers --features/score--> staging (Parquet, counts observed in the same job)
-    staging --one aggregate each--> gates, statistics, PSI bin counts (run_bins)
+    staging --one aggregate--> gates, statistics, PSI bin counts (run_bins)
                                      --fail--> 'failed' events, nothing published
                                      --pass--> predictions/run_id=<id> (replaced if re-run), events,
                                                PSI from the stored bin counts of this and the previous run
@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.config import JobConfig
-from scorewright.functions.exprs import ts_lit
+from scorewright.functions.exprs import psi_bin, ts_lit
 from scorewright.operators import etl, features as FE, monitor, quality, scoring, store
 from scorewright.plans import history as H
 from scorewright.session import input_bytes, size_partitions
@@ -66,9 +66,16 @@ def model_encoders(spark: SparkSession, path: str, customers) -> FE.Encoders:
     return FE.encoders_from_table(spark.read.parquet(path))
 
 
-def _append_events(spark: SparkSession, path: str, run_id: str, seq: int, name: str, fields: dict) -> None:
+def _append_events(spark: SparkSession, path: str, run_id: str, seq: int, name: str, fields: dict,
+                   more: list[tuple[int, str, dict]] = ()) -> None:
+    """Append one event (or several decided at the same moment) to the run event log, as one small write."""
     one = spark.range(1).select(F.lit(run_id).alias("run_id"))
-    ev = H._event(one, seq, name, {k: (v if hasattr(v, "_jc") else F.lit(v)) for k, v in fields.items()})
+    frames = []
+    for s, n, f in [(seq, name, fields), *more]:
+        frames.append(H._event(one, s, n, {k: (v if hasattr(v, "_jc") else F.lit(v)) for k, v in f.items()}))
+    ev = frames[0]
+    for fr in frames[1:]:
+        ev = ev.unionByName(fr)
     ev.write.mode("append").parquet(path)
 
 
@@ -131,20 +138,25 @@ def run_nightly(
 
     # V1-V6 + A5 over the staged rows: one aggregate each, pruned to the score columns
     t0 = time.perf_counter()
+    # gates (V1-V6), statistics (A5) and the run's PSI bin counts in ONE pass over the staged score column
     staged = spark.read.parquet(stage).select("churn_probability", "churn_label")
-    gate = quality.gate_frame(staged, n_read, cfg.gates).first()
-    stats = quality.score_stats(staged).first()
-    # PSI bin counts of this run (at most n_bins + 1 rows), kept so later drift checks never rescan predictions
-    bins = monitor.psi_counts(staged.withColumn("run_id", F.lit(run_id)), cfg.psi_n_bins)
-    bins.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(
-        paths["run_bins"]
-    )
+    pb = psi_bin("churn_probability", cfg.psi_n_bins)
+    bin_aggs = [F.count(F.when(pb == k, 1)).alias(f"_bin_{k}") for k in range(1, cfg.psi_n_bins + 1)]
+    bin_aggs.append(F.count(F.when(pb.isNull(), 1)).alias("_bin_null"))
+    gate = quality.gate_frame(staged, n_read, cfg.gates, with_stats=True, extra_aggs=bin_aggs).first()
+    # the bin counts (at most n_bins + 1 rows) are kept, so later drift checks never rescan predictions
+    bin_rows = [(run_id, k, int(gate[f"_bin_{k}"])) for k in range(1, cfg.psi_n_bins + 1) if gate[f"_bin_{k}"]]
+    if gate["_bin_null"]:
+        bin_rows.append((run_id, None, int(gate["_bin_null"])))
+    spark.createDataFrame(bin_rows, "run_id string, bin int, count bigint").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("run_id").parquet(paths["run_bins"])
     t["gate"] = time.perf_counter() - t0
     _append_events(spark, paths["run_events"], run_id, 2, "spark_result",
                    {"records_read": n_read, "records_scored": n_scored, "records_failed": n_read - n_scored,
-                    "spark_duration_secs": round(t["score"], 2), **{k: stats[k] for k in stats.asDict()}})
-    _append_events(spark, paths["run_events"], run_id, 3, "validation",
-                   {"validation_passed": gate["validation_passed"], "validation_notes": gate["validation_notes"]})
+                    "spark_duration_secs": round(t["score"], 2), **{k: gate[k] for k in quality.STAT_COLUMNS}},
+                   more=[(3, "validation", {"validation_passed": gate["validation_passed"],
+                                            "validation_notes": gate["validation_notes"]})])
     if not gate["validation_passed"]:
         _append_events(spark, paths["run_events"], run_id, 4, "failure", {"status": "failed"})
         return NightlyResult(run_id, n_read, n_scored, False, gate["validation_notes"], None, t)
