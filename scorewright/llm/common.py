@@ -22,7 +22,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lower_ascii(c: Column) -> Column:
-    return F.translate(c, A_Z, A_Z.lower())
+    """A-Z in lower case and nothing else; a text of ASCII alone may take the faster general function."""
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, A_Z, A_Z.lower()))
+
+
+def row_key(text: Column, doc_id: Column) -> list[Column]:
+    """96 bits, never null, that tell rows apart by doc_id and text. Rows alike in both have one result and one key."""
+    whole = [doc_id.isNull().cast("int"), doc_id, text.isNull().cast("int"), text]
+    return [F.xxhash64(*whole).alias("key1"), F.hash(*whole).alias("key2")]
+
+
+def replace_columns(df: DataFrame, **new: Column) -> DataFrame:
+    """``df`` with the columns ``new``; columns of these names, in any case, make way."""
+    names = {n.lower() for n in new}
+    kept = [df[f"`{c}`"] for c in df.columns if c.lower() not in names]
+    return df.select(*kept, *(c.alias(n) for n, c in new.items()))
 
 
 def words(c: Column) -> Column:

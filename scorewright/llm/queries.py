@@ -9,14 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, simhash, token_count
-from scorewright.llm.common import read
+from scorewright.llm import bpe, decontam, line_dedup, simhash, token_count
+from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
 COUNT_VOCABULARY = "byte_bpe_50k.json"
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
+LINE_MIN_CHARS = 1
+LINE_MIN_DOCS = 10
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
@@ -38,14 +40,65 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"),
+    )
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), SIMHASH_SHINGLE, SIMHASH_DISTANCE)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_frequent_lines(read(spark, sf_dir, "documents"), LINE_MIN_CHARS, LINE_MIN_DOCS)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = f"'{A_Z}', '{A_Z.lower()}'"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{WORD}')"
+
+ORACLE: dict[str, str] = {
+    "op5_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+ip AS (SELECT item_id, w, unnest(range(greatest(len(w) - 12, 1))) AS place FROM i WHERE len(w) > 0),
+grams AS (SELECT array_to_string(w[place + 1 : place + 13], ' ') AS gram, least(len(w), 13) AS len, item_id FROM ip),
+lens AS (SELECT DISTINCT len FROM grams),
+dp AS (SELECT doc_id, w, len, unnest(range(len(w) - len + 1)) AS place FROM d, lens WHERE len(w) >= len),
+hits AS (SELECT doc_id, place, p.len, item_id
+  FROM (SELECT doc_id, place, len, array_to_string(w[place + 1 : place + len], ' ') AS gram FROM dp) p
+  JOIN grams g ON p.gram = g.gram AND p.len = g.len),
+hit_words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(place, place + len)) AS pos FROM (SELECT DISTINCT doc_id, place, len FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op7_line_dedup": f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LOWER}) AS key FROM l),
+frequent AS (SELECT key, true AS gone FROM k WHERE length(key) >= {LINE_MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {LINE_MIN_DOCS})
+SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN frequent USING (key) GROUP BY doc_id
+""",
+}
