@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, decontam, line_dedup, simhash, token_count
+from scorewright.llm import bpe, decontam, license_scan, line_dedup, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -36,6 +36,24 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY), TOKEN_LIMIT)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """score: the largest share of a matched template's words that stand in place; 0 without a match."""
+    found = license_scan.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"].cast("long"))
+    labels = lambda m: F.array_join(F.array_sort(F.array_distinct(F.transform(m, lambda x: x["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"))
 
@@ -63,6 +81,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_license_scan": op3_license_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -72,7 +91,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = f"'{A_Z}', '{A_Z.lower()}'"
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{WORD}')"
 
+
+
+def _license_sql() -> str:
+    """Places of each template's phrases. Here every template has one mandatory phrase as long as itself or is
+    searched by its first; the longer notices are compared word by word."""
+    templates = (*license_scan.BASE, *license_scan.NOTICES)
+    rows = []
+    for i, t in enumerate(templates):
+        its = t.text.split()
+        spans = [next(k + 1 for k in range(len(its)) if its[k : k + len(m.split())] == m.split()) for m in t.mandatory]
+        ends = [a + len(m.split()) - 1 for a, m in zip(spans, t.mandatory)]
+        ok = " AND ".join(f"array_to_string(w[p + {a} : p + {b}], ' ') = '{m}'" for a, b, m in zip(spans, ends, t.mandatory))
+        same = " + ".join(f"CAST(w[p + {k + 1}] = '{x}' AS INTEGER)" for k, x in enumerate(its))
+        rare = its[spans[0] - 1]
+        rows.append(f"""SELECT doc_id, '{t.label}' AS label, {str(i < len(license_scan.BASE)).lower()} AS base, p AS start,
+  CAST({same} AS DOUBLE) / {len(its)} AS share FROM (SELECT doc_id, w, unnest(range(len(w) - {len(its) - 1})) AS p FROM d
+  WHERE len(w) >= {len(its)} AND list_contains(w, '{rare}')) WHERE {ok}""")
+    return f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+m AS ({" UNION ALL ".join(rows)}),
+b AS (SELECT doc_id, count(*) AS n, min(start) AS lo, max(start) AS hi FROM m WHERE base GROUP BY doc_id),
+bl AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS ls FROM (SELECT DISTINCT doc_id, label FROM m WHERE base) GROUP BY doc_id),
+al AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS ls FROM (SELECT DISTINCT doc_id, label FROM m) GROUP BY doc_id),
+sc AS (SELECT doc_id, max(share) AS score FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
+  CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word, coalesce(bl.ls, '') AS base_labels,
+  coalesce(al.ls, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN bl USING (doc_id) LEFT JOIN al USING (doc_id) LEFT JOIN sc USING (doc_id)
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op3_license_scan": _license_sql(),
     "op5_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
