@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, decontam, license_scan, line_dedup, simhash, token_count
+from scorewright.llm import bpe, decontam, license_scan, line_dedup, pii, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -19,6 +19,7 @@ SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
 LINE_MIN_CHARS = 1
 LINE_MIN_DOCS = 10
+PSEUDONYM_KEY = "scorewright demonstration key"
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
@@ -79,6 +80,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read(spark, sf_dir, "documents"), PSEUDONYM_KEY).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_license_scan": op3_license_scan,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
 
 _LOWER = f"'{A_Z}', '{A_Z.lower()}'"
