@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, decontam, license_scan, line_dedup, pii, simhash, token_count
+from scorewright.llm import bpe, decontam, fingerprint, license_scan, line_dedup, pii, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -80,6 +80,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read(spark, sf_dir, "documents"), PSEUDONYM_KEY).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
 
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op9_document_fingerprints": op9_document_fingerprints,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
 
