@@ -6,10 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, decontam, fingerprint, license_scan, line_dedup, pii, simhash, token_count
+from scorewright.llm import bpe, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -33,6 +33,17 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def _remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = lang_id.learn(docs, _remainder(3) != 1)
+    found = lang_id.label_languages(docs, model)
+    return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY), TOKEN_LIMIT)
 
@@ -89,6 +100,7 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
     "op3_license_scan": op3_license_scan,
     "op4_byte_bpe": op4_byte_bpe,
