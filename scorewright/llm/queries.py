@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, simhash, token_count
+from scorewright.llm import bpe, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, quality, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -19,6 +19,7 @@ SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
 LINE_MIN_CHARS = 1
 LINE_MIN_DOCS = 10
+QUALITY_THRESHOLD = 0.3
 PSEUDONYM_KEY = "scorewright demonstration key"
 
 
@@ -91,6 +92,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with their score by a model of the learnable labels of the whole table."""
+    model = quality.learn(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), _remainder(5) != 0)
+    return quality.score(docs, model)
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(spark, read(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(read(spark, sf_dir, "documents"))
 
@@ -107,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
