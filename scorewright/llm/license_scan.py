@@ -57,10 +57,20 @@ def document_counts(docs: DataFrame, vocabulary: list[str], text: str = "text")
     return {r.word: r.n for r in each.join(known, "word").groupBy("word").agg(F.count("*").alias("n")).collect()}
 
 
+def spans(template: Template) -> list[tuple[int, int]]:
+    """First word and length of each mandatory phrase."""
+    its, out = template.text.split(), []
+    for phrase in template.mandatory:
+        p = phrase.split()
+        out.append((next(i for i in range(len(its)) if its[i : i + len(p)] == p), len(p)))
+    return out
+
+
 def anchors(template: Template, counts: dict[str, int]) -> list[int]:
-    """Places of the rarest words of a template, one place a word; ties go to the earlier word."""
+    """Places of the rarest words of the mandatory phrases, one place a word; ties go to the earlier word. What holds
+    the phrases has them all."""
     its = template.text.split()
-    first = {w: i for i, w in reversed(list(enumerate(its)))}
+    first = {its[i]: i for a, n in reversed(spans(template)) for i in reversed(range(a, a + n))}
     return sorted(sorted(first.values(), key=lambda i: (counts.get(its[i], 0), i))[:ANCHORS])
 
 
@@ -70,13 +80,9 @@ def index(docs: DataFrame, templates: tuple[Template, ...], base: int, text: str
     rows = []
     for number, t in enumerate(templates):
         its = t.text.split()
-        spans = []
-        for phrase in t.mandatory:
-            p = phrase.split()
-            spans.append((next(i for i in range(len(its)) if its[i : i + len(p)] == p), len(p)))
-        spans = (spans * 2)[:2]
+        first, second = (spans(t) * 2)[:2]
         chosen = anchors(t, counts)
-        rows += [(its[i], number, t.label, number < base, i, len(chosen), its, *spans[0], *spans[1]) for i in chosen]
+        rows += [(its[i], number, t.label, number < base, i, len(chosen), its, *first, *second) for i in chosen]
     schema = "word string, template int, label string, base boolean, offset int, need int, its array<string>, at1 int, n1 int, at2 int, n2 int"
     return docs.sparkSession.createDataFrame(rows, schema)
 
