@@ -20,15 +20,17 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from scorewright.llm.common import bound_batches, stored, texts
+from scorewright.llm.common import bound_batches, row_key, stored, texts
 from scorewright.llm.components import components
 
 SEED = 42
 BITS = 64
 TOP = 16  # bits of a group that its histogram counts
+CELLS = 22  # bits of the presence map of a group's values
 CROWD = 64  # members from which a group value has a pivot
 STEP = 1 << 16  # shingles that are unpacked at once
 
@@ -51,17 +53,17 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(ones * 2 > len(first), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) for every row."""
+def fingerprints(docs: DataFrame, shingle: int, text: str = "text", ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``ids`` and fp (the fingerprint as a signed long) for every row."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(x, shingle) for x in texts(batch)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ids), pa.array(fps.view(np.int64))], [*ids, "fp"])
 
-    kept = docs.select("doc_id", F.col(text).alias("text"))
-    return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, fp long")
+    kept = docs.select(*ids, F.col(text).alias("text"))
+    return kept.mapInArrow(run, StructType([*(kept.schema[c] for c in ids), StructField("fp", LongType())]))
 
 
 def ball(width: int, radius: int) -> int:
@@ -193,6 +195,28 @@ def histograms(nodes: DataFrame, parts: list[list[int]]) -> list[np.ndarray]:
     return out
 
 
+def cell(v: np.ndarray) -> np.ndarray:
+    """Place of a value in its group's presence map; values of up to CELLS bits have their own."""
+    return (v ^ v >> CELLS) & ((1 << CELLS) - 1)
+
+
+def presence(nodes: DataFrame, parts: list[list[int]]) -> list[np.ndarray]:
+    """Which cells hold a value, as words of 64 bits: at most 65 536 words a group, whatever the input. A probe of an
+    empty cell can find nothing and need not be sent."""
+
+    def mark(fps: np.ndarray):
+        for g, bits in enumerate(parts):
+            c = np.unique(cell(values(fps, bits)))
+            word, at = np.unique(c >> 6, return_index=True)
+            ones = np.bitwise_or.reduceat(np.uint64(1) << (c & 63).astype(np.uint64), at) if len(c) else np.zeros(0, np.uint64)
+            yield np.full(len(word), g, np.int32), word, ones.view(np.int64)
+
+    out = [np.zeros(1 << (CELLS - 6), np.int64) for _ in parts]
+    for r in _arrow(nodes, mark, "g int, word long, ones long").groupBy("g", "word").agg(F.bit_or("ones").alias("ones")).toLocalIterator():
+        out[r.g][r.word] = r.ones
+    return [x.view(np.uint64) for x in out]
+
+
 def links(nodes: DataFrame, distance: int) -> DataFrame:
     """Edges (u, v) between distinct fingerprints that connect all that differ in at most ``distance`` bits.
 
@@ -202,47 +226,55 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
     n = nodes.count()
     parts = bit_groups(bit_agreement(nodes), groups_for(max(n, 1), distance))
     tables = [estimates(h, len(b), distance) for h, b in zip(histograms(nodes, parts), parts)]
-    shared = spark.sparkContext.broadcast(tables)  # groups x (distance + 1) x 65 536 numbers at most
-    flips = [[masks(len(b), d) for d in range(distance + 1)] for b in parts if len(b)]
+    shared = spark.sparkContext.broadcast((tables, presence(nodes, parts)))  # a few MB, whatever the input
+    flips = [[masks(len(b), d) for d in range(distance + 1)] for b in parts]
 
     def own(fps: np.ndarray):
         for g, bits in enumerate(parts):
             yield np.full(len(fps), g, np.int32), values(fps, bits), fps.view(np.int64)
 
     def probe(fps: np.ndarray):
+        near, there = shared.value
         mine = [values(fps, bits) for bits in parts]
         costs = []
         for g, bits in enumerate(parts):
-            near = shared.value[g][:, mine[g] & ((1 << min(len(bits), TOP)) - 1)]
-            costs.append([np.zeros(len(fps)), *(near[t] + ball(len(bits), t) for t in range(distance + 1))])
+            some = near[g][:, mine[g] & ((1 << min(len(bits), TOP)) - 1)]
+            costs.append([np.zeros(len(fps)), *(some[t] + ball(len(bits), t) for t in range(distance + 1))])
         chosen = allocate(costs, distance)
         for g in range(len(parts)):
             for d in range(distance + 1):
-                who = np.flatnonzero(chosen[:, g] >= d)
-                step = max(1, (1 << 18) // len(flips[g][d])) if len(flips[g][d]) else 1
-                for i in range(0, len(who) if len(flips[g][d]) else 0, step):
-                    some = who[i : i + step]
-                    v = mine[g][some][:, None] ^ flips[g][d][None, :]
-                    yield np.full(v.size, g, np.int32), v.ravel(), np.repeat(fps[some].view(np.int64), v.shape[1])
+                who, flip = np.flatnonzero(chosen[:, g] >= d), flips[g][d]
+                step = max(1, (1 << 18) // max(1, len(flip)))
+                for i in range(0, len(who), step):
+                    v = (mine[g][who[i : i + step]][:, None] ^ flip[None, :]).ravel()
+                    fp = np.repeat(fps[who[i : i + step]].view(np.int64), len(flip))
+                    c = cell(v)
+                    kept = (there[g][c >> 6] >> (c & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+                    yield np.full(kept.sum(), g, np.int32), v[kept], fp[kept]
 
     schema = "g int, v long, fp long"
     index = stored(_arrow(nodes, own, schema), "index")
     probes = _arrow(nodes, probe, schema).withColumnRenamed("fp", "q")
     apart = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
     crowds = stored(index.groupBy("g", "v").agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).where(F.col("n") >= CROWD).drop("n"), "crowds")
+    # Side 0: members far from their crowd's pivot, and those of no crowd; 1: members near it; 2: the pivot itself.
+    side = lambda c: F.when(apart(c, "pivot") <= distance, 1).otherwise(0)
     if crowds.isEmpty():
-        found = probes.join(index, ["g", "v"]).where((F.col("q") < F.col("fp")) & (apart("q", "fp") <= distance))
-        return found.select(F.col("q").alias("u"), F.col("fp").alias("v")).distinct()
-    near = lambda c: F.coalesce(apart(c, "pivot") <= distance, F.lit(False))
-    probes = stored(probes.join(crowds, ["g", "v"], "left").withColumn("near", near("q")), "probes")
-    index = index.join(crowds, ["g", "v"], "left").withColumn("side", near("fp")).select("g", "v", "side", "fp")
-    pivots = probes.where("near and q != pivot").select(F.col("q").alias("u"), F.col("pivot").alias("v"))
-    sides = F.explode(F.when(F.col("near"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
-    wanted = probes.select("g", "v", "q", "near", sides.alias("side"))
-    # A pair of one near and one far member is met from whichever of the two probes.
-    found = wanted.join(index, ["g", "v", "side"]).where((F.col("q") != F.col("fp")) & (apart("q", "fp") <= distance))
-    found = found.select(F.least("q", "fp").alias("u"), F.greatest("q", "fp").alias("v"))
-    return found.unionByName(pivots).distinct()
+        index, probes = index.withColumn("side", F.lit(0)), probes.withColumn("side", F.lit(0))
+    else:
+        index = index.join(crowds, ["g", "v"], "left").select("g", "v", side("fp").alias("side"), "fp")
+        index = index.unionByName(crowds.select("g", "v", F.lit(2).alias("side"), F.col("pivot").alias("fp")))
+        sides = F.when(F.col("pivot").isNull(), F.array(F.lit(0))).when(side("q") == 1, F.array(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
+        probes = probes.join(crowds, ["g", "v"], "left").select("g", "v", F.explode(sides).alias("side"), "q")
+    found = probes.join(index, ["g", "v", "side"]).where((F.col("q") != F.col("fp")) & (apart("q", "fp") <= distance))
+    return found.select(F.least("q", "fp").alias("u"), F.greatest("q", "fp").alias("v")).distinct()
+
+
+def classes(prints: DataFrame, distance: int, first: Column) -> DataFrame:
+    """fp, root and first for each distinct fingerprint: the component it is in and its least value of ``first``."""
+    nodes = stored(prints.groupBy("fp").agg(F.min(first).alias("first")), "nodes")
+    roots = components(links(nodes, distance)).withColumnRenamed("node", "fp")
+    return stored(nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"), "classes")
 
 
 def near_duplicates(docs: DataFrame, shingle: int, distance: int, text: str = "text") -> DataFrame:
@@ -254,11 +286,25 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, text: str = "t
     left out, whatever their names. An empty table gives an empty result.
     """
     prints = stored(fingerprints(docs, shingle, text), "prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    roots = components(links(nodes, distance)).withColumnRenamed("node", "fp")
-    linked = stored(nodes.join(roots, "fp").select("fp", "root", "low"), "linked")
-    lowest = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    moved = linked.join(lowest, "root").select("fp", "component_id")
-    labels = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    named = prints.join(labels, "fp")
-    return named.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = classes(prints, distance, F.col("doc_id"))
+    lowest = found.groupBy("root").agg(F.min("first").alias("component_id"))
+    labels = found.join(lowest, "root").select("fp", "component_id")
+    return prints.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int, distance: int, text: str = "text") -> DataFrame:
+    """One row of ``docs`` from each group of near-duplicates: that with the smallest doc_id.
+
+    Rows without doc_id come after those with one; of rows that share a doc_id the one with the least hash stays, and
+    of rows alike in doc_id and text the first met. All columns of ``docs`` stay, but for any named key1 or key2.
+    """
+    kept = [f"`{c}`" for c in docs.columns if c.lower() not in ("key1", "key2")]
+    keyed = docs.select(*kept, *row_key(F.col(text), F.col("doc_id")))
+    prints = stored(fingerprints(keyed, shingle, text, ("doc_id", "key1", "key2")), "prints")
+    found = classes(prints, distance, F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key1", "key2"))
+    stay = found.groupBy("root").agg(F.min("first").alias("first")).select("first.key1", "first.key2")
+    rows = prints.groupBy("key1", "key2").agg(F.count("*").alias("n"))
+    out = keyed.join(stored(rows.join(stay, ["key1", "key2"], "left_anti").drop("n"), "copies"), ["key1", "key2"], "left_anti")
+    if not rows.where("n > 1").join(stay, ["key1", "key2"], "left_semi").isEmpty():
+        out = out.dropDuplicates(["key1", "key2"])
+    return out.select(*kept)
