@@ -213,7 +213,7 @@ def label(items: list[str], model: Model) -> tuple[list[str], list[float], list[
     turn = np.flatnonzero(np.append(True, (np.diff(found) != 0) | (np.diff(w.owner) != 0))[: len(found)])
     base = np.cumsum(np.fromiter(map(len, items), np.int64, len(items)) + 1)
     base = np.append(0, base[:-1]) if len(items) else base
-    last = np.append(turn[1:], len(found)) - 1
+    last = np.append(turn[1:], len(found))[: len(turn)] - 1
     owner = w.owner[turn]
     start, stop = w.place[turn] - base[owner], w.place[last] + w.size[last] - base[owner]
     spans: list[list[dict]] = [[] for _ in items]

@@ -210,7 +210,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     Each row is worked on by itself: nothing is shuffled. Cards must pass the Luhn check, addresses and dates must
     exist (dates from 1900 to 2100-02-19), social security numbers must be assignable; what is not valid stays. Null
-    texts stay null and empty ones empty, with counts 0; columns of ``docs`` named like a count are replaced.
+    texts stay null and empty ones empty, with counts 0; columns of ``docs`` named like a count are replaced, and one
+    named _matches is left out.
     """
     found = replace_columns(docs, _matches=F.when(F.col(text).rlike(HINT), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))))
     # The matches become pseudonyms in one projection and enter the text in the next, so that each is made once.
@@ -220,5 +221,5 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     kinds = F.array_compact(F.transform("_matches", lambda p: p["kind"]))
     counts = {f"n_{k}": (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in KINDS}
     whole = replace_columns(made, **{text: F.when(F.size("_matches") > 0, joined).otherwise(F.col(text))}, **counts).drop("_matches")
-    names = [c for c in docs.columns if c.lower() not in counts]
+    names = [c for c in docs.columns if c.lower() not in (*counts, "_matches")]
     return whole.select(*(f"`{c}`" for c in names), *counts)
