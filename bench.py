@@ -32,8 +32,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from pyspark.sql import functions as F
 
-    from scorewright.config import ID_COL, TARGET_COL
+    from scorewright.config import ID_COL, TARGET_COL, JobConfig
     from scorewright.operators import features as FE, model as M, monitor, scoring, store
+    from scorewright.operators.quality import GateFailure
     from scorewright.plans import nightly, registry as R, runs as RN
     from scorewright.session import get_spark
 
@@ -55,16 +56,24 @@ def main() -> None:
     # sibling scale factor, so JIT and code generation are not charged to the first timed run
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
-        nightly.run_nightly(spark, warm_dir, R.scratch(spark, "bench-warmup"), "warmup", RN.RUNS[0].card)
+        warm = R.scratch(spark, "bench-warmup")
+        nightly.store_vocabulary(spark, warm_dir, warm)
+        nightly.run_nightly(spark, warm_dir, warm, "warmup", RN.RUNS[0].card)
 
     # ---- nightly job, once per run of the history (the third run fails its gate and publishes nothing)
     wh = R.scratch(spark, "bench")
-    results = []
+    timed("store_vocabulary", lambda: nightly.store_vocabulary(spark, sf_dir, wh))
+    published = 0
+
+    def night(r):
+        try:
+            nightly.run_nightly(spark, sf_dir, wh, r.run_id, r.card, started_at=r.started_at)
+        except GateFailure:
+            return 0
+        return 1
+
     for i, r in enumerate(RN.RUNS, start=1):
-        results.append(
-            timed(f"nightly_run_{i}", lambda r=r: nightly.run_nightly(spark, sf_dir, wh, r.run_id, r.card,
-                                                                        started_at=r.started_at))
-        )
+        published += timed(f"nightly_run_{i}", lambda r=r: night(r))
 
     # ---- analytics over the stored tables
     pred = spark.read.parquet(os.path.join(wh, "predictions"))
@@ -79,9 +88,8 @@ def main() -> None:
         return monitor.psi(monitor.psi_breakdown(dist, pairs)).collect()
 
     def metrics():
-        ev = M.assign_split(customers).select(ID_COL, TARGET_COL, "split")
-        _, enc = FE.training_frame(customers)
-        m = FE.feature_matrix(customers, enc).join(ev, ID_COL)
+        enc = FE.encoders_from_table(spark.read.parquet(os.path.join(wh, "model", "vocabulary")))
+        m = M.assign_split(FE.feature_matrix(customers, enc, keep=(ID_COL, TARGET_COL)))
         return M.evaluation(m.select(ID_COL, TARGET_COL, "split", scoring.DEFAULT_SCORECARD.probability().alias("p"))).collect()
 
     timed("w1_latest_scores", lambda: noop(latest))
@@ -114,8 +122,9 @@ def main() -> None:
     score_secs = time.perf_counter() - t0
     times["scoring_970k_rows"] = round(score_secs, 3)
 
-    # ---- training at the reference's row count (reported apart from the query total): GBT, 50 trees of depth 5,
-    # balanced class weights, validation split; the reference reports 24.21 s for 500 LightGBM trees
+    # ---- training at the reference's row count (reported apart from the query total): GBT of BENCH_TREES trees, here
+    # fewer than the job's default, balanced class weights, validation split; the reference reports 24.21 s for 500
+    # LightGBM trees
     train_frame, _ = FE.training_frame(customers)
     tbig = train_frame.select("*", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("_copy"))
     tbig = tbig.withColumn(ID_COL, F.concat_ws("-", F.col(ID_COL), F.col("_copy").cast("string"))).drop("_copy")
@@ -125,8 +134,14 @@ def main() -> None:
     tdata = spark.read.parquet(tstaged).filter(F.col("split") != "test")
     n_train = split_sizes.get("train", 0) + split_sizes.get("val", 0)
     t0 = time.perf_counter()
-    gbt = M.train_gbt(tdata, max_iter=50, max_depth=5)
+    gbt = M.train_gbt(tdata, JobConfig(n_trees=int(os.environ.get("BENCH_TREES", "50"))))
     train_secs = time.perf_counter() - t0
+    gbt_plan = scoring.score_spark_model(FE.feature_matrix(big, enc), gbt)  # all 24 columns
+    noop(gbt_plan)
+    t0 = time.perf_counter()
+    noop(gbt_plan)
+    gbt_secs = time.perf_counter() - t0
+    times["scoring_970k_rows_gbt"] = round(gbt_secs, 3)
 
     total = round(sum(times.values()), 3)
     out = {
@@ -137,7 +152,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")),
         "cpus": cpus,
         "customers": n_base,
-        "runs_published": sum(1 for r in results if r.validation_passed),
+        "runs_published": published,
         "scoring_rows": n_scale,
         "scoring_rows_per_sec": round(n_scale / score_secs, 1) if score_secs > 0 else None,
         "scoring_cold_secs": round(cold_secs, 3),
@@ -147,6 +162,8 @@ def main() -> None:
         "baseline_split_sizes": {"train": 679_672, "val": 145_644, "test": 145_644},
         "training_trees": gbt.getNumTrees,
         "training_secs": round(train_secs, 2),
+        "training_secs_per_tree": round(train_secs / max(1, gbt.getNumTrees), 3),
+        "gbt_scoring_rows_per_sec": round(n_scale / gbt_secs, 1),
         "baseline_training_secs": 24.21,
         "baseline_training_trees": 500,
     }

@@ -179,11 +179,15 @@ cte(
 # ---------------------------------------------------------------- scoring and runs
 
 
-def prob(card) -> str:
+def logit(card) -> str:
     z = flt(card.intercept)
     for f, w in card.weights.items():
         z = f"({z} + {flt(w)} * coalesce(CAST({f} AS DOUBLE), 0.0e0))"
-    return f"(1.0e0 / (1.0e0 + exp(-({z}))))"
+    return z
+
+
+def prob(card) -> str:
+    return f"(1.0e0 / (1.0e0 + exp(-({logit(card)}))))"
 
 
 def outputs(p: str) -> str:
@@ -359,32 +363,19 @@ cte(
 )
 
 
-def _request_window():
-    import datetime as dt
-
-    from scorewright.plans.registry import REQUEST_WINDOW_DAYS
-
-    ref = dt.date(2000, 8, 1)
-    start = ref - dt.timedelta(days=REQUEST_WINDOW_DAYS)
-    end = ref + dt.timedelta(days=1)
-    return start, end
-
-
-_ws, _we = _request_window()
 cte(
     "req_lines",
-    f"""
+    """
     SELECT o_orderdate AS line_date, o_orderkey AS line_key,
            CASE WHEN o_orderstatus = 'O' THEN '   '
                 WHEN o_orderpriority = '5-LOW' THEN ' ' || CAST(o_orderkey AS VARCHAR)
                 ELSE '  ' || CAST(o_custkey AS VARCHAR) || ' ' END AS line
-    FROM orders WHERE o_orderdate >= TIMESTAMP '{_ws} 00:00:00' AND o_orderdate < TIMESTAMP '{_we} 00:00:00'""",
+    FROM orders""",
 )
 cte(
     "req_parsed",
     """
-    SELECT line_date, line_key, trim(line) AS customer_id FROM req_lines WHERE trim(line) <> ''
-    ORDER BY line_date, line_key LIMIT 500""",
+    SELECT line_date, line_key, trim(line) AS customer_id FROM req_lines WHERE trim(line) <> ''""",
 )
 cte(
     "req_ids",
@@ -413,11 +404,8 @@ cte(
           FROM (SELECT m.customer_id, c.is_churn FROM matrix m JOIN customers c ON m.customer_id = c.customer_id)) c
     JOIN matrix m ON m.customer_id = c.customer_id""",
 )
-cte("ev", f"SELECT customer_id, is_churn, split, {prob(_card())} AS p FROM split")
-cte(
-    "sg",
-    f"SELECT split, {r4('p')} AS score, sum(is_churn) AS pos, sum(1 - is_churn) AS neg FROM ev GROUP BY ALL",
-)
+cte("ev", f"SELECT customer_id, is_churn, split, {logit(_card())} AS z, {prob(_card())} AS p FROM split")
+cte("sg", "SELECT split, z AS score, sum(is_churn) AS pos, sum(1 - is_churn) AS neg FROM ev GROUP BY ALL")
 
 
 def with_ctes(select: str, upto: str) -> str:
@@ -457,7 +445,7 @@ RUNS_ = _runs()
 oracle(
     "s1_csv_transactions",
     "transactions",
-    """SELECT customer_id, transaction_id, payment_method_id, plan_list_price, payment_plan_days, actual_amount_paid,
+    """SELECT customer_id, payment_method_id, plan_list_price, payment_plan_days, actual_amount_paid,
        is_auto_renew, is_cancel, CAST(strftime(transaction_date, '%Y%m%d') AS INTEGER) AS transaction_date,
        CAST(strftime(membership_expire_date, '%Y%m%d') AS INTEGER) AS membership_expire_date FROM transactions""",
 )
@@ -468,11 +456,17 @@ oracle(
     "s4_predictions_partitioned_write", "predictions",
     f"SELECT {PRED_COLS} FROM predictions WHERE run_id = '{RUNS_[3].run_id}'",
 )
+ORACLE["s5_register_runs"] = """
+SELECT run_id, seq, status FROM (
+  SELECT 'run-' || strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS run_id, CAST(o_orderkey AS BIGINT) AS seq, o_orderstatus AS status,
+         row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn
+  FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1995-01-01') WHERE rn = 1"""
+oracle("s6_run_state", "runs", f"SELECT {all_r(RUN_COLS, RUN_DOUBLES)} FROM runs")
 oracle(
-    "s5_register_runs", "specs",
-    "SELECT run_id, CAST(1 AS BIGINT) AS seq, model_version, started_at, 'running' AS status FROM specs",
+    "s6_run_state_after_rerun", "runs",
+    f"""SELECT {all_r(RUN_COLS, RUN_DOUBLES)} FROM (SELECT * FROM runs WHERE run_id <> '{RUNS_[1].run_id}' UNION ALL
+       SELECT * REPLACE ('{RUNS_[1].run_id}' AS run_id) FROM runs WHERE run_id = '{RUNS_[2].run_id}')""",
 )
-oracle("s6_run_state", "runs", f"SELECT {all_r(RUN_COLS, RUN_DOUBLES)} FROM runs")
 ORACLE["s7_first_n_customers"] = with_ctes(
     f"SELECT {all_r(CUSTOMER_COLS, CUSTOMER_DOUBLES)} FROM customers", "customers"
 ).replace("FROM labels lb LEFT JOIN", "FROM (SELECT * FROM labels ORDER BY customer_id LIMIT 500) lb LEFT JOIN")
@@ -498,6 +492,9 @@ oracle(
        {r4('avg_plan_days')} AS avg_plan_days, n_auto_renew, n_cancels, payment_method_id, last_is_auto_renew,
        last_is_cancel, {r4('total_discount')} AS total_discount, membership_tenure_days, days_to_expire FROM tx_agg""",
 )
+ORACLE["e1_customers_from_csv"] = with_ctes(
+    f"SELECT {all_r(CUSTOMER_COLS, CUSTOMER_DOUBLES)} FROM customers", "customers"
+).replace("ORDER BY transaction_date DESC, transaction_id DESC", "ORDER BY transaction_date DESC, payment_method_id DESC, is_auto_renew DESC, is_cancel DESC")
 oracle("e1_customers", "customers", f"SELECT {all_r(CUSTOMER_COLS, CUSTOMER_DOUBLES)} FROM customers")
 oracle(
     "a8_label_base_rate", "customers",
@@ -518,11 +515,22 @@ oracle(
     "SELECT customer_id, " + ", ".join(f"{c}_code AS {c}" for c in CATS) + " FROM encoded",
 )
 oracle("m3_feature_matrix", "matrix", "SELECT * FROM matrix")
+def _serve_code(c: str) -> str:
+    """A category's code counted anew: how many values of its feature sort before it, 0 for an unseen one."""
+    value = cat("e." + c)
+    return (f"CASE WHEN {value} IN (SELECT value FROM cat_long WHERE feature = '{c}') THEN "
+            f"(SELECT count(DISTINCT value) FROM cat_long WHERE feature = '{c}' AND value < {value}) ELSE 0 END")
+
+
+cte(
+    "served",
+    "SELECT customer_id, " + ", ".join(f"CAST({_serve_code(c) if c in CATS else 'e.' + c} AS FLOAT) AS {c}" for c in FEATURES) + " FROM eng e",
+)
 oracle(
-    "m11_train_serve_parity", "matrix",
+    "m11_train_serve_parity", "served",
     """SELECT (SELECT count(*) FROM matrix) AS n_rows,
-       (SELECT count(*) FROM (SELECT * FROM matrix EXCEPT ALL SELECT * FROM matrix)) AS train_only,
-       (SELECT count(*) FROM (SELECT * FROM matrix EXCEPT ALL SELECT * FROM matrix)) AS serve_only""",
+       (SELECT count(*) FROM (SELECT * FROM matrix EXCEPT ALL SELECT * FROM served)) AS train_only,
+       (SELECT count(*) FROM (SELECT * FROM served EXCEPT ALL SELECT * FROM matrix)) AS serve_only""",
 )
 
 # scoring and gates
@@ -536,9 +544,7 @@ oracle(
 oracle(
     "p20_constraint_rejects", "scored_runs",
     """SELECT run_id, count(*) AS n_rows,
-       count(*) FILTER (WHERE NOT coalesce(churn_probability IS NOT NULL AND churn_probability BETWEEN 0 AND 1
-                        AND churn_decile IS NOT NULL AND churn_decile BETWEEN 1 AND 10
-                        AND risk_tier IN ('low', 'medium', 'high') AND churn_label IS NOT NULL, false)) AS n_rejected
+       count(*) FILTER (WHERE right(customer_id, 1) IN ('1', '2', '3', '4')) AS n_rejected
        FROM scored_runs GROUP BY run_id""",
 )
 oracle("a6_row_counts", "gates", "SELECT run_id, n_read, n_scored, n_failed FROM gates")
@@ -556,7 +562,7 @@ oracle("w8_score_by_customer", "latest", "SELECT * FROM latest WHERE customer_id
 oracle("w15_high_risk", "predictions", f"SELECT {PRED_COLS} FROM predictions WHERE risk_tier = 'high'")
 oracle("p21_parse_request_ids", "req_parsed", "SELECT line_date, line_key, customer_id FROM req_parsed")
 oracle("w11_dedupe_request_ids", "req_ids", "SELECT * FROM req_ids")
-oracle("j3_bulk_found", "req_ids", "SELECT l.* FROM latest l JOIN req_ids r ON l.customer_id = r.customer_id")
+oracle("j3_bulk_found", "req_ids", "SELECT l.*, r.line_date, r.line_key FROM latest l JOIN req_ids r ON l.customer_id = r.customer_id")
 oracle(
     "j4_bulk_not_found", "req_ids",
     "SELECT r.* FROM req_ids r WHERE r.customer_id NOT IN (SELECT customer_id FROM latest)",
@@ -598,7 +604,7 @@ oracle(
 )
 oracle(
     "w12_score_trend", "summary",
-    "SELECT run_id, CAST(started_at AS DATE) AS date, score_mean AS mean FROM summary WHERE score_mean IS NOT NULL",
+    "SELECT run_id, CAST(started_at AS DATE) AS date, score_mean AS mean, score_p50 AS p50, psi_vs_previous AS psi FROM summary WHERE score_mean IS NOT NULL",
 )
 
 # monitor
@@ -608,12 +614,9 @@ oracle(
     f"SELECT bin, bin_lower, bin_upper, count, fraction FROM hist WHERE run_id = '{RUNS_[3].run_id}'",
 )
 oracle(
-    "a13_tier_totals", "hist",
-    """SELECT run_id,
-       CAST(coalesce(sum(count) FILTER (WHERE bin_upper > 0.0 AND bin_upper <= 0.4), 0) AS BIGINT) AS low,
-       CAST(coalesce(sum(count) FILTER (WHERE bin_upper > 0.4 AND bin_upper <= 0.7), 0) AS BIGINT) AS medium,
-       CAST(coalesce(sum(count) FILTER (WHERE bin_upper > 0.7 AND bin_upper <= 1.0), 0) AS BIGINT) AS high
-       FROM hist GROUP BY run_id""",
+    "a13_tier_totals", "predictions",
+    """SELECT run_id, count(*) FILTER (WHERE risk_tier = 'low') AS low, count(*) FILTER (WHERE risk_tier = 'medium') AS medium,
+       count(*) FILTER (WHERE risk_tier = 'high') AS high FROM predictions GROUP BY run_id""",
 )
 oracle(
     "p23_bin_tiers", "hist",

@@ -54,9 +54,6 @@ TX_COLUMNS = [
     "membership_tenure_days",
     "days_to_expire",
 ]
-UNKNOWN = "unknown"
-RUN_STATUSES = ["running", "completed", "failed", "validated"]
-RISK_TIERS = ["low", "medium", "high"]
 # Fixed values (continued): score derivation, drift bands and gate thresholds.
 LABEL_THRESHOLD = 0.5
 TIER_HIGH = 0.70
@@ -66,6 +63,8 @@ PSI_MODERATE_BELOW = 0.20
 PSI_THRESHOLD = 0.2
 PSI_N_BINS = 10
 PSI_EPSILON = 1e-6
+GBT_TREES = 500
+GBT_LEARNING_RATE = 0.05
 GATE_MIN_SCORED_FRACTION = 0.9
 GATE_MAX_NULL_SCORE_PCT = 0.001
 GATE_MIN_STD = 0.01
@@ -97,4 +96,8 @@ class JobConfig:
     seed: int = 42
     train_fraction: float = 0.70
     val_fraction: float = 0.15
+    n_trees: int = GBT_TREES
+    learning_rate: float = GBT_LEARNING_RATE
+    max_depth: int = 5
+    max_training_rows: int | None = None  # about so many labelled rows are drawn for the fit; None: all
     gates: GateConfig = field(default_factory=GateConfig)

@@ -99,8 +99,7 @@ def ratio_half_up(num: Column | str, den: Column | str, digits: int = 4) -> Colu
     d = _col(den).cast("long")
     a = n * F.lit(2 * scale) + d
     b = d * F.lit(2)
-    quotient = ((a - F.pmod(a, b)) / b).cast("long")  # exact: a - a mod b is a multiple of b
-    return quotient.cast("double") / F.lit(float(scale))
+    return F.call_function("div", a, b).cast("double") / F.lit(float(scale))
 
 
 def ts_lit(value: dt.datetime) -> Column:

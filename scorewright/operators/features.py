@@ -5,25 +5,25 @@ except fitting the vocabulary, which is one small aggregate.
 
 Encoders: the vocabulary is the sorted distinct text of each categorical column, coded 0..k-1 (M1). It is a fitted
 model artifact like a ``StringIndexerModel``: bounded by the number of distinct categories, not by rows. Applying it
-(M2) is a lookup inside the projection for columns with at most ``INLINE_MAX`` values (integer columns look up by
-their integer value, so no per-row text cast); Spark scans a literal map linearly, so larger vocabularies are
-applied by a hash join per column, planned as a broadcast or a shuffle by measured size (AQE). The whole vocabulary
-is brought to the driver only when it is within ``MAP_LOOKUP_MAX`` entries (checked). Unseen values get code 0
-(the first class), not a new index.
+(M2) is decided per column: one with at most ``INLINE_MAX`` values is a lookup inside the projection (integer columns
+look up by their integer value, so no per-row text cast), and only such a column's values come to the driver. Spark
+scans a literal map linearly, so a larger vocabulary is applied by a join, planned as a broadcast or a shuffle by
+measured size (AQE). Both give the same codes. Unseen values get code 0 (the first class), not a new index.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorewright.config import CATEGORICAL_FEATURES, FEATURE_COLUMNS, ID_COL, TARGET_COL
 from scorewright.functions.exprs import category_text, flag, round_half_even
+from scorewright.operators.ranks import running_totals
+from scorewright.session import cut_lineage
 
-MAP_LOOKUP_MAX = 50_000
 INLINE_MAX = 64
 
 
@@ -49,36 +49,37 @@ def engineer(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Encoders:
-    """Fitted vocabulary. ``table`` has (feature, value, code); ``maps`` is set when it fits a map lookup."""
+    """Fitted vocabulary. ``table`` has (feature, value, code); ``maps`` holds the features that are looked up inline."""
 
     table: DataFrame
-    maps: dict[str, dict[str, int]] | None
+    maps: dict[str, dict[str, int]]
 
 
 def vocabulary(df: DataFrame, columns: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """M1: (feature, value, code) with code = rank of the text among the sorted distinct values, from 0.
 
-    The distinct step is an aggregate with map-side combine; the rank window runs per feature over distinct values.
+    The distinct step is an aggregate with map-side combine; the ranks are running counts over ranges of values, so a
+    feature of any number of values is ranked by many tasks.
     """
     present = [c for c in columns if c in df.columns]
     long = df.select(*[category_text(c).alias(c) for c in present]).unpivot([], present, "feature", "value")
-    distinct = long.select("feature", "value").distinct()
-    w = Window.partitionBy("feature").orderBy("value")
-    return distinct.select("feature", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))
+    distinct = long.select("feature", "value").distinct().withColumn("one", F.lit(1).cast("long"))
+    ranked = running_totals(distinct, ["feature"], [F.col("value")], {"one": "rank"})
+    return ranked.select("feature", "value", (F.col("rank") - 1).cast("int").alias("code"))
 
 
 def fit_encoders(df: DataFrame, columns: list[str] = CATEGORICAL_FEATURES) -> Encoders:
     return encoders_from_table(vocabulary(df, columns))
 
 
-def encoders_from_table(table: DataFrame) -> Encoders:
-    """Encoders from a stored (feature, value, code) vocabulary, e.g. the one saved at training time."""
-    head = table.limit(MAP_LOOKUP_MAX + 1).collect()
-    maps = None
-    if len(head) <= MAP_LOOKUP_MAX:
-        maps = {}
-        for r in head:
-            maps.setdefault(r["feature"], {})[r["value"]] = r["code"]
+def encoders_from_table(table: DataFrame, inline_max: int = INLINE_MAX) -> Encoders:
+    """Encoders from a stored (feature, value, code) vocabulary, e.g. the one saved at training time. The driver gets
+    the number of values of each feature and the values of those that have at most ``inline_max``."""
+    sizes = {r["feature"]: r["count"] for r in table.groupBy("feature").count().collect()}
+    maps: dict[str, dict[str, int]] = {f: {} for f, n in sizes.items() if n <= inline_max}
+    if maps:
+        for r in table.filter(F.col("feature").isin(*maps)).collect():
+            maps[r["feature"]][r["value"]] = r["code"]
     return Encoders(table=table, maps=maps)
 
 
@@ -118,8 +119,8 @@ def _join_lookup(df: DataFrame, table: DataFrame, c: str) -> DataFrame:
 def apply_encoders(df: DataFrame, enc: Encoders, columns: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """Category to its code, unseen to 0."""
     present = [c for c in columns if c in df.columns]
-    maps = enc.maps or {}
-    inline = {c for c in present if enc.maps is not None and len(maps.get(c, {})) <= INLINE_MAX}
+    maps = enc.maps
+    inline = {c for c in present if c in maps}
     types = {f.name: f.dataType for f in df.schema.fields}
     out = df.select(
         *[_inline_lookup(c, maps.get(c, {}), types[c]) if c in inline else F.col(c) for c in df.columns]
@@ -147,22 +148,29 @@ def training_frame(customers: DataFrame) -> tuple[DataFrame, Encoders]:
     return align(enc_df, keep=(ID_COL, TARGET_COL)), enc
 
 
-def feature_matrix(customers: DataFrame, enc: Encoders, feature_cols: list[str] = FEATURE_COLUMNS) -> DataFrame:
-    """M3, the scoring path: engineer -> encode with fitted encoders -> align. No Python on the data path."""
-    return align(apply_encoders(engineer(customers), enc), feature_cols)
+def feature_matrix(
+    customers: DataFrame, enc: Encoders, feature_cols: list[str] = FEATURE_COLUMNS, keep: list[str] = (ID_COL,)
+) -> DataFrame:
+    """M3, the scoring path: engineer -> encode with fitted encoders -> align. No Python on the data path. ``keep``
+    names columns that pass through, such as the label for an evaluation."""
+    return align(apply_encoders(engineer(customers), enc), feature_cols, keep)
 
 
 def parity(customers: DataFrame) -> DataFrame:
-    """Rows in the training matrix missing from the scoring matrix and the reverse (both must be 0)."""
-    train, enc = training_frame(customers)
-    train = train.drop(TARGET_COL)
-    serve = feature_matrix(customers.drop(TARGET_COL), enc)
+    """Rows in the training matrix missing from the scoring matrix and the reverse (both must be 0).
+
+    The training side fits the vocabulary, stores it and looks codes up inline; the scoring side reads the stored
+    vocabulary, gets the customers in another partitioning and applies every code by a join."""
+    stored = cut_lineage(vocabulary(engineer(customers)), "vocabulary")
+    train = feature_matrix(customers, encoders_from_table(stored))
+    scattered = customers.drop(TARGET_COL).repartition(7, "n_transactions")
+    serve = feature_matrix(scattered, encoders_from_table(stored, inline_max=0))
     # EXCEPT ALL both ways in one shuffle: count each distinct row on both sides, then sum the surpluses.
     cols = train.columns
-    tagged = train.withColumn("__t", F.lit(1)).withColumn("__s", F.lit(0)).unionByName(
-        serve.withColumn("__t", F.lit(0)).withColumn("__s", F.lit(1))
+    tagged = train.select("*", F.lit(1).alias("t"), F.lit(0).alias("s")).unionByName(
+        serve.select("*", F.lit(0).alias("t"), F.lit(1).alias("s"))
     )
-    per_row = tagged.groupBy(*cols).agg(F.sum("__t").alias("t"), F.sum("__s").alias("s"))
+    per_row = tagged.groupBy(*cols).agg(F.sum("t").alias("t"), F.sum("s").alias("s"))
     return per_row.agg(
         F.sum("t").alias("n_rows"),
         F.coalesce(F.sum(F.greatest(F.col("t") - F.col("s"), F.lit(0))), F.lit(0)).alias("train_only"),

@@ -4,9 +4,10 @@ Split: each row's split comes from an md5 of (id, label, seed) mapped to [0, 1):
 shuffle and no driver state; applying the 70/15/15 thresholds within each label keeps the class mix of every split
 close to the whole (sizes are approximate, not exact counts).
 
-Metrics are computed from score groups: rows are first aggregated per (split, 4-decimal score), which bounds the
-rows per split at 10 001, and only then ordered by a window per split. AUC counts ties as half (Mann-Whitney, equal
-to the ROC trapezoid); average precision is the step sum over thresholds (not Spark's trapezoid ``areaUnderPR``).
+Metrics come from one pass: rows are aggregated per (split, unrounded score) with the label and confusion counts, and
+running totals over ranges of scores give AUC and average precision; no window holds a whole split. AUC counts ties
+as half (Mann-Whitney, equal to the ROC trapezoid); average precision is the step sum over thresholds (not Spark's
+trapezoid ``areaUnderPR``).
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from scorewright.config import FEATURE_COLUMNS, ID_COL, TARGET_COL, JobConfig
 from scorewright.functions.exprs import round_half_even
+from scorewright.operators.ranks import running_totals
+from scorewright.session import cut_lineage
 
-NULL_SENTINEL = -1.0  # GBTClassifier rejects NaN; a fixed per-row sentinel keeps scores partition-independent
+NULL_SENTINEL = -1e9  # GBTClassifier rejects NaN; no feature takes this value, so a split can set NULLs apart
 
 
 def split_bucket(id_col: str = ID_COL, label_col: str = TARGET_COL, seed: int = 42) -> Column:
@@ -55,28 +58,37 @@ def assemble(matrix: DataFrame, out: str = "features", feature_cols: list[str] =
     return VectorAssembler(inputCols=list(feature_cols), outputCol=out).transform(filled)
 
 
-def train_gbt(train_val: DataFrame, cfg: JobConfig = JobConfig(), max_iter: int = 50, max_depth: int = 5):
+def train_gbt(train_val: DataFrame, cfg: JobConfig = JobConfig()):
     """M5: GBT on train rows with balanced class weights, validation rows for early stopping (by log loss on the
-    validation indicator, with tolerance; Spark has no round-count patience)."""
+    validation indicator, with tolerance; Spark has no round-count patience).
+
+    Trees, step and depth are ``cfg``'s; so is a bound on the rows of the fit, which draws them by the split's hash. The
+    assembled rows are written once: every level of every tree scans them."""
     from pyspark.ml.classification import GBTClassifier
 
+    if cfg.max_training_rows is not None:
+        n = max(train_val.count(), 1)
+        train_val = train_val.filter(split_bucket(seed=cfg.seed + 1) < cfg.max_training_rows / n)
     weights = class_weights(train_val.filter(F.col("split") == "train"))
-    data = assemble(train_val).join(F.broadcast(weights.select(TARGET_COL, "weight")), TARGET_COL)
-    data = data.withColumn("is_val", F.col("split") == "val").withColumn("label", F.col(TARGET_COL).cast("double"))
+    data = assemble(train_val).join(F.broadcast(weights.select(TARGET_COL, "weight")), TARGET_COL)  # a row a class
+    data = data.select("features", "weight", (F.col("split") == "val").alias("is_val"), F.col(TARGET_COL).cast("double").alias("label"))
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
         validationIndicatorCol="is_val",
-        maxIter=max_iter,
-        maxDepth=max_depth,
-        stepSize=0.1,
+        maxIter=cfg.n_trees,
+        maxDepth=cfg.max_depth,
+        stepSize=cfg.learning_rate,
         subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
         seed=cfg.seed,
         validationTol=0.001,
+        maxMemoryInMB=1024,
+        cacheNodeIds=True,
+        checkpointInterval=10,
     )
-    return gbt.fit(data)
+    return gbt.fit(cut_lineage(data, "training_input"))
 
 
 def importances(model, feature_cols: list[str] = FEATURE_COLUMNS, top: int = 15) -> list[tuple[str, float]]:
@@ -89,75 +101,68 @@ def importances(model, feature_cols: list[str] = FEATURE_COLUMNS, top: int = 15)
 # ---------------------------------------------------------------- metrics over score groups
 
 
-def score_groups(scored: DataFrame, score_col: str, label_col: str, group: list[str]) -> DataFrame:
-    s = round_half_even(F.col(score_col), 4)
-    y = F.col(label_col).cast("int")
-    return scored.groupBy(*group, s.alias("score")).agg(
-        F.sum(y).cast("long").alias("pos"), F.sum(1 - y).cast("long").alias("neg")
+def _confusion(y: Column, yhat: Column) -> list[Column]:
+    """Label and prediction counts of a group."""
+    return [
+        F.sum(y).cast("long").alias("pos"),
+        F.sum(1 - y).cast("long").alias("neg"),
+        F.sum(y * yhat).cast("long").alias("tp"),
+        F.sum((1 - y) * yhat).cast("long").alias("fp"),
+    ]
+
+
+def _thresholded() -> list[Column]:
+    """Accuracy, F1, precision, recall, actual and predicted positive rate from pos, neg, tp and fp."""
+    n, hits = F.col("pos") + F.col("neg"), F.col("tp") + F.col("fp")
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    values = {
+        "accuracy": (F.col("tp") + F.col("neg") - F.col("fp")) / n,
+        "f1": share(2 * F.col("tp"), F.col("pos") + hits),
+        "precision": share(F.col("tp"), hits),
+        "recall": share(F.col("tp"), F.col("pos")),
+        "churn_rate_actual": F.col("pos") / n,
+        "churn_rate_predicted": hits / n,
+    }
+    return [n.alias("n_samples"), *(round_half_even(v, 4).alias(k) for k, v in values.items())]
+
+
+def evaluation(
+    scored: DataFrame,
+    score_col: str = "p",
+    label_col: str = TARGET_COL,
+    threshold: float = 0.5,
+    pred_col: str | None = None,
+    group: tuple[str, ...] = ("split",),
+) -> DataFrame:
+    """Per-group report: sizes, AUC, AP and the thresholded metrics, from one aggregate over the scored rows.
+
+    ``pred_col`` holds the predicted label; without one it is ``score_col >= threshold``."""
+    yhat = F.col(pred_col).cast("int") if pred_col else (F.col(score_col) >= threshold).cast("int")
+    g = scored.groupBy(*group, F.col(score_col).alias("score")).agg(*_confusion(F.col(label_col).cast("int"), yhat))
+    c = running_totals(g, list(group), [F.col("score").desc_nulls_last()], {"pos": "pos_from", "neg": "neg_from"})
+    pairs = F.col("neg") * (F.col("pos_from") - F.col("pos") * 0.5)  # positives above a negative, ties as half
+    steps = F.col("pos") * F.col("pos_from") / (F.col("pos_from") + F.col("neg_from"))
+    sums = [F.sum(c).alias(c) for c in ("pos", "neg", "tp", "fp")]
+    total = c.groupBy(*group).agg(*sums, F.sum(pairs).alias("pairs"), F.sum(steps).alias("steps"))
+    return total.select(
+        *group,
+        *_thresholded(),
+        round_half_even(F.try_divide(F.col("pairs"), F.col("pos") * F.col("neg")), 4).alias("auc_roc"),
+        round_half_even(F.try_divide(F.col("steps"), F.col("pos")), 4).alias("avg_precision"),
     )
 
 
-def auc_roc(scored: DataFrame, score_col: str = "p", label_col: str = TARGET_COL, group: list[str] = ("split",)):
-    """M6: AUC-ROC per group = P(score_pos > score_neg) + 0.5 P(tie), from cumulative negatives below each score."""
-    g = score_groups(scored, score_col, label_col, list(group))
-    w = Window.partitionBy(*group).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    cum = g.select("*", F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("neg_below"))
-    agg = cum.groupBy(*group).agg(
-        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("u"),
-        F.sum("pos").alias("n_pos"),
-        F.sum("neg").alias("n_neg"),
-    )
-    return agg.select(*group, round_half_even(F.col("u") / (F.col("n_pos") * F.col("n_neg")), 4).alias("auc_roc"))
+def auc_roc(scored: DataFrame, score_col: str = "p", label_col: str = TARGET_COL, group=("split",)) -> DataFrame:
+    """M6: AUC-ROC per group = P(score_pos > score_neg) + 0.5 P(tie)."""
+    return evaluation(scored, score_col, label_col, group=tuple(group)).select(*group, "auc_roc")
 
 
-def average_precision(scored: DataFrame, score_col: str = "p", label_col: str = TARGET_COL, group=("split",)):
+def average_precision(scored: DataFrame, score_col: str = "p", label_col: str = TARGET_COL, group=("split",)) -> DataFrame:
     """M7: sum over thresholds (descending distinct scores) of (recall step) * precision."""
-    g = score_groups(scored, score_col, label_col, list(group))
-    w = Window.partitionBy(*group).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*group)
-    cum = g.select(
-        "*",
-        F.sum("pos").over(w).alias("tp"),
-        F.sum("neg").over(w).alias("fp"),
-        F.sum("pos").over(wall).alias("n_pos"),
-    )
-    agg = cum.groupBy(*group).agg(
-        F.sum((F.col("pos") / F.col("n_pos")) * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("ap")
-    )
-    return agg.select(*group, round_half_even("ap", 4).alias("avg_precision"))
+    return evaluation(scored, score_col, label_col, group=tuple(group)).select(*group, "avg_precision")
 
 
-def split_metrics(scored: DataFrame, pred_col: str = "pred", label_col: str = TARGET_COL, group=("split",)):
+def split_metrics(scored: DataFrame, pred_col: str = "pred", label_col: str = TARGET_COL, group=("split",)) -> DataFrame:
     """M8: accuracy, F1, precision, recall, actual and predicted positive rates per group (confusion counts)."""
-    y = F.col(label_col).cast("int")
-    yhat = F.col(pred_col).cast("int")
-    c = scored.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n_samples"),
-        F.sum(y * yhat).alias("tp"),
-        F.sum((1 - y) * yhat).alias("fp"),
-        F.sum(y * (1 - yhat)).alias("fn"),
-        F.sum((1 - y) * (1 - yhat)).alias("tn"),
-    )
-    prec = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
-    rec = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
-    f1 = F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), F.lit(0.0))
-    n = F.col("n_samples")
-    return c.select(
-        *group,
-        "n_samples",
-        round_half_even((F.col("tp") + F.col("tn")) / n, 4).alias("accuracy"),
-        round_half_even(f1, 4).alias("f1"),
-        round_half_even(prec, 4).alias("precision"),
-        round_half_even(rec, 4).alias("recall"),
-        round_half_even((F.col("tp") + F.col("fn")) / n, 4).alias("churn_rate_actual"),
-        round_half_even((F.col("tp") + F.col("fp")) / n, 4).alias("churn_rate_predicted"),
-    )
-
-
-def evaluation(scored: DataFrame, score_col: str = "p", label_col: str = TARGET_COL, threshold: float = 0.5):
-    """Per-split report rows: sizes, AUC, AP and the thresholded metrics, joined on the split key (3 rows each)."""
-    with_pred = scored.withColumn("pred", F.col(score_col) >= threshold)
-    m = split_metrics(with_pred, "pred", label_col)
-    auc = auc_roc(scored, score_col, label_col)
-    ap = average_precision(scored, score_col, label_col)
-    return m.join(auc, "split").join(ap, "split")
+    c = scored.groupBy(*group).agg(*_confusion(F.col(label_col).cast("int"), F.col(pred_col).cast("int")))
+    return c.select(*group, *_thresholded())

@@ -11,24 +11,27 @@ Two binnings, both documented:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.functions.exprs import hist_bin, psi_band, psi_bin, ratio_half_up
 
 
+def bin_edges(n_bins: int) -> list[Column]:
+    """Lower and upper edge of ``bin`` for any number of bins: one exact division, nothing to round."""
+    return [((F.col("bin") - 1 + i).cast("double") / float(n_bins)).alias(n) for i, n in enumerate(("bin_lower", "bin_upper"))]
+
+
 def histogram(pred: DataFrame, n_bins: int = 10) -> DataFrame:
     """A9 + W2: per run and bin: count, bin edges and the run-relative fraction (4 decimals, exact half-up)."""
     counts = pred.groupBy("run_id", hist_bin("churn_probability", n_bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("count")
     )
     w = Window.partitionBy("run_id")
-    width = 1.0 / n_bins
     return counts.select(
         "run_id",
         "bin",
-        F.round((F.col("bin") - 1) * F.lit(width), 1).alias("bin_lower"),
-        F.round(F.col("bin") * F.lit(width), 1).alias("bin_upper"),
+        *bin_edges(n_bins),
         "count",
         ratio_half_up(F.col("count"), F.sum("count").over(w), 4).alias("fraction"),
     )
@@ -39,17 +42,12 @@ def run_distribution(pred: DataFrame, run_id: str, n_bins: int = 10) -> DataFram
     return histogram(pred.filter(F.col("run_id") == run_id), n_bins).drop("run_id").orderBy("bin")
 
 
-def tier_totals(hist: DataFrame) -> DataFrame:
-    """low/medium/high totals from bins by upper edge: (0, .4], (.4, .7], (.7, 1.0]. A p = 1.0 bin (upper 1.1)
-    falls in none, as in the dashboard; ``risk_tier`` counts it."""
-    up = F.col("bin_upper")
+def tier_totals(pred: DataFrame) -> DataFrame:
+    """Rows of each risk tier per run, p = 1.0 included, as the stored tier has it."""
+    def tot(tier):
+        return F.count(F.when(F.col("risk_tier") == tier, 1)).alias(tier)
 
-    def tot(lo, hi):
-        return F.coalesce(F.sum(F.when((up > lo) & (up <= hi), F.col("count"))), F.lit(0)).cast("long")
-
-    return hist.groupBy("run_id").agg(
-        tot(0.0, 0.4).alias("low"), tot(0.4, 0.7).alias("medium"), tot(0.7, 1.0).alias("high")
-    )
+    return pred.groupBy("run_id").agg(tot("low"), tot("medium"), tot("high"))
 
 
 def bin_tier(hist: DataFrame) -> DataFrame:
@@ -95,13 +93,11 @@ def psi_breakdown(dist: DataFrame, pairs: DataFrame, n_bins: int = 10) -> DataFr
     cur = dist.select("run_id", "bin", F.col("fraction").alias("cur"))
     ref = dist.select(F.col("run_id").alias("ref_run_id"), "bin", F.col("fraction").alias("ref"))
     j = pairs.join(cur, "run_id").join(ref, ["ref_run_id", "bin"])
-    width = 1.0 / n_bins
     return j.select(
         "run_id",
         "ref_run_id",
         "bin",
-        F.round((F.col("bin") - 1) * F.lit(width), 1).alias("bin_lower"),
-        F.round(F.col("bin") * F.lit(width), 1).alias("bin_upper"),
+        *bin_edges(n_bins),
         "ref",
         "cur",
         ((F.col("cur") - F.col("ref")) * F.ln(F.col("cur") / F.col("ref"))).alias("psi"),
@@ -151,7 +147,7 @@ def psi_history(runs: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def sampled_reference(pred: DataFrame, run_id: str, fraction: float = 0.2, seed: int = 42, cap: int = 200_000):
-    """The sampled reference scores of the reference implementation: ~20 % of a run, at most ``cap`` rows.
-    Sampling is the feature here; the default PSI uses every row (binning is one cheap aggregate)."""
-    return pred.filter(F.col("run_id") == run_id).sample(fraction=fraction, seed=seed).limit(cap)
+def sampled_reference(pred: DataFrame, run_id: str, fraction: float = 0.2, seed: int = 42) -> DataFrame:
+    """The sampled reference scores: a uniform sample of about ``fraction`` of a run. Sampling is the feature
+    here; the default PSI uses every row (binning is one cheap aggregate)."""
+    return pred.filter(F.col("run_id") == run_id).sample(fraction=fraction, seed=seed)

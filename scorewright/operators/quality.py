@@ -127,9 +127,13 @@ def gate_frame(
     )
 
 
+class GateFailure(ValueError):
+    """A batch did not pass its gates; the message holds the notes."""
+
+
 def enforce(gates: DataFrame) -> None:
     """V6 on the driver: raise before anything is written when a gate failed (reads the one-row gate frame)."""
     rows = gates.select("validation_passed", "validation_notes").collect()
     failed = [r["validation_notes"] for r in rows if not r["validation_passed"]]
     if failed:
-        raise ValueError("Validation FAILED: " + " | ".join(failed))
+        raise GateFailure("; ".join(n or "" for n in failed))

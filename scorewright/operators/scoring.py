@@ -106,39 +106,26 @@ def score_pandas_model(
 ) -> DataFrame:
     """M9 hook: a foreign model with ``predict_proba`` on pandas frames, run per Arrow batch via ``mapInPandas``.
 
-    The model is broadcast once (read on the executor inside the function), never captured per task. An empty batch
-    yields the declared schema, not the input columns.
+    The model is broadcast once (read on the executor inside the function), never captured per task. Python yields
+    the probability alone: label, decile and tier have one definition, ``derive_outputs``.
     """
     import numpy as np
     import pandas as pd
     from pyspark import cloudpickle
 
-    bc = matrix.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
-    bc_id = uuid.uuid4().hex  # cache key for the deserialised model on each worker
-    threshold = cfg.label_threshold if cfg else 0.5
-    high = cfg.tier_high if cfg else 0.70
-    medium = cfg.tier_medium if cfg else 0.40
-    cols = list(feature_cols)
-
-    def predict(batches):
-        m = _load_model(bc_id, bc)
-        for pdf in batches:
-            if pdf.empty:
-                yield pd.DataFrame({f.name: pd.Series(dtype="object") for f in SCORED_SCHEMA.fields})
-                continue
-            x = pdf[cols].astype("float32")
-            p = np.asarray(m.predict_proba(x))[:, 1].astype("float64")
-            yield pd.DataFrame(
-                {
-                    ID_COL: pdf[ID_COL].to_numpy(),
-                    "churn_probability": np.rint(p * 1e4) / 1e4,
-                    "churn_label": p >= threshold,
-                    "churn_decile": np.clip(np.ceil(p * 10), 1, 10).astype("int32"),
-                    "risk_tier": np.where(p >= high, "high", np.where(p >= medium, "medium", "low")),
-                }
-            )
-
-    return matrix.select(ID_COL, *cols).mapInPandas(predict, schema=SCORED_SCHEMA)
+    shared = matrix.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    key = uuid.uuid4().hex  # of the deserialised model on each worker
+    inputs = list(feature_cols)
+
+    def probabilities(frames):
+        """Ids and the probability of the positive class; the JVM derives the rest."""
+        scorer = _load_model(key, shared)
+        for frame in frames:
+            p = np.zeros(0) if frame.empty else np.asarray(scorer.predict_proba(frame[inputs].astype("float32")))[:, 1]
+            yield pd.DataFrame({ID_COL: frame[ID_COL], "p": p.astype("float64")})
+
+    scored = matrix.select(ID_COL, *inputs).mapInPandas(probabilities, f"{ID_COL} string, p double")
+    return derive_outputs(scored, "p", cfg)
 
 
 _MODELS: dict = {}

@@ -55,6 +55,7 @@ RUN_FIELDS = [
 RUN_EVENT_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),
+        T.StructField("attempt", T.LongType(), False),
         T.StructField("seq", T.LongType(), False),
         T.StructField("event", T.StringType(), False),
         T.StructField("set_fields", T.ArrayType(T.StringType()), False),
@@ -68,12 +69,12 @@ def write_predictions(pred: DataFrame, path: str) -> None:
 
     Dynamic partition overwrite replaces only the run directories present in ``pred``: other runs stay, and a
     retried or re-run night replaces its own partition instead of appending a second copy (idempotent publish).
-    Rows are sorted by customer within each task (no shuffle), so every file's row groups cover narrow id ranges
-    and a point lookup skips all but one row group per file via Parquet min/max statistics (the index stand-in).
+    Rows are sorted by run and customer within each task (no shuffle), which is the order the partitioned writer asks
+    for, so it keeps it: every file's row groups cover narrow id ranges and a point lookup skips all but one row group per file via Parquet min/max statistics (the index stand-in).
     """
     (
         pred.select(*PREDICTION_COLUMNS)
-        .sortWithinPartitions(ID_COL)
+        .sortWithinPartitions("run_id", ID_COL)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
@@ -88,15 +89,24 @@ def register_runs(existing: DataFrame, new: DataFrame) -> DataFrame:
     return first.join(existing.select("run_id"), "run_id", "left_anti")
 
 
+def last_attempts(events: DataFrame) -> DataFrame:
+    """Events of each run's last attempt. A run that is done again begins a new attempt, which replaces the earlier
+    one in every field, also in those that it leaves unset."""
+    last = events.groupBy("run_id").agg(F.max("attempt").alias("attempt"))
+    return events.join(last, ["run_id", "attempt"], "left_semi")
+
+
 def effective_events(events: DataFrame) -> DataFrame:
-    """Events with S5 applied: only the first registration of a run counts."""
+    """Events of the last attempts with S5 applied: only the first registration of an attempt counts."""
+    events = last_attempts(events)
     regs = events.filter(F.col("event") == "register")
     kept = register_runs(events.limit(0), regs)
     return events.filter(F.col("event") != "register").unionByName(kept)
 
 
 def fold_runs(events: DataFrame) -> DataFrame:
-    """The run table as the fold of its event log: per field, the value of the newest event that set it.
+    """The run table as the fold of its event log: per field, the value of the last attempt's newest event that
+    set it. Events are ordered by (attempt, seq); an attempt writes each seq once.
 
     ``max_by`` over an ordering that is NULL where the event did not set the field acts as
     ``max_by(v, seq) FILTER (WHERE set)``; a newest explicit NULL wins.
@@ -140,6 +150,17 @@ def latest_scores(pred: DataFrame) -> DataFrame:
     )
 
 
+def merge_latest(latest: DataFrame, published: DataFrame) -> DataFrame:
+    """W1 kept up to date: the stored latest scores with one newly published run merged in. Only the two tables meet,
+    one row per customer each, whatever the length of the history."""
+    cols = PREDICTION_COLUMNS
+    old = latest.select(F.col(ID_COL), F.struct(*cols).alias("old"))
+    new = published.select(F.col(ID_COL), F.struct(*cols).alias("new"))
+    newer = F.col("old").isNull() | (F.struct("new.scored_at", "new.run_id") >= F.struct("old.scored_at", "old.run_id"))
+    both = old.join(new, ID_COL, "full")
+    return both.select(F.when(F.col("new").isNotNull() & newer, F.col("new")).otherwise(F.col("old")).alias("r")).select("r.*")
+
+
 def score_for(pred: DataFrame, customer_id: str) -> DataFrame:
     """Latest score of one customer; the id filter sits below the aggregate (pushed into the scan)."""
     return latest_scores(pred.filter(F.col(ID_COL) == customer_id))
@@ -153,16 +174,27 @@ def high_risk(pred: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- bulk lookup
 
 
-def parse_id_lines(lines: DataFrame, text_col: str, order_cols: list[str], max_ids: int = 500) -> DataFrame:
-    """Trim each line, drop blanks, keep the first ``max_ids`` by line order (a top-k, the request bound)."""
+MAX_REQUEST_IDS = 500  # fixed value: the longest bulk request that is answered
+
+
+def parse_id_lines(lines: DataFrame, text_col: str, order_cols: list[str]) -> DataFrame:
+    """Trim each line and drop blanks; the order columns keep the order of the lines."""
     t = lines.select(*order_cols, F.trim(F.col(text_col)).alias("customer_id"))
-    return t.filter(F.col("customer_id") != "").orderBy(*order_cols).limit(max_ids)
+    return t.filter(F.col("customer_id") != "")
 
 
-def parse_id_text(text: DataFrame, text_col: str, max_ids: int = 500) -> DataFrame:
-    """P21 on one pasted text: split by newline with positions, then as ``parse_id_lines``."""
+def parse_id_text(text: DataFrame, text_col: str) -> DataFrame:
+    """P21 on pasted texts: split by newline with positions, then as ``parse_id_lines``."""
     lines = text.select(F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    return parse_id_lines(lines, "line", ["pos"], max_ids)
+    return parse_id_lines(lines, "line", ["pos"])
+
+
+def checked_request(ids: DataFrame, max_ids: int = MAX_REQUEST_IDS) -> DataFrame:
+    """The request, if it has at most ``max_ids`` ids; a longer one is refused as a whole, never cut."""
+    n = ids.limit(max_ids + 1).count()
+    if n > max_ids:
+        raise ValueError(f"a request may hold {max_ids} ids")
+    return ids
 
 
 def dedupe_ids(ids: DataFrame, order_cols: list[str]) -> DataFrame:
@@ -172,19 +204,25 @@ def dedupe_ids(ids: DataFrame, order_cols: list[str]) -> DataFrame:
 
 
 def _requested(request: DataFrame, pred: DataFrame) -> DataFrame:
-    """Prediction rows of the requested ids only: the request (at most 500 rows after P21) is the broadcast side of
-    a semi join applied at the scan, so the latest-score aggregate shuffles just those customers' rows."""
-    return pred.join(F.broadcast(request.select(ID_COL)), ID_COL, "left_semi")
+    """Prediction rows of the requested ids only: a semi join at the scan, planned by the request's measured size, so
+    the latest-score aggregate shuffles just those customers' rows."""
+    return pred.join(request.select(ID_COL), ID_COL, "left_semi")
+
+
+def _order(request: DataFrame) -> list[str]:
+    return [c for c in request.columns if c != ID_COL]
 
 
 def bulk_found(request: DataFrame, pred: DataFrame) -> DataFrame:
-    """Latest score of each requested id that has one."""
-    return latest_scores(_requested(request, pred))
+    """Latest score of each requested id that has one, in request order, with the order columns."""
+    order = _order(request)
+    return latest_scores(_requested(request, pred)).join(request.select(ID_COL, *order), ID_COL).orderBy(*order, ID_COL)
 
 
 def bulk_not_found(request: DataFrame, pred: DataFrame) -> DataFrame:
-    """Requested ids without a score, kept with their request order columns."""
-    return request.join(_requested(request, pred).select(ID_COL).distinct(), ID_COL, "left_anti")
+    """Requested ids without a score, in request order, with the order columns."""
+    scored = _requested(request, pred).select(ID_COL).distinct()
+    return request.join(scored, ID_COL, "left_anti").orderBy(*_order(request), ID_COL)
 
 
 def bulk_summary(request: DataFrame, pred: DataFrame) -> DataFrame:
@@ -260,10 +298,17 @@ def pipeline_totals(runs: DataFrame, pred: DataFrame) -> DataFrame:
 
 
 def trend(summary: DataFrame) -> DataFrame:
-    """Runs with a mean score, oldest first, with the run date."""
+    """Runs with a mean score, oldest first: run date, mean, median and PSI."""
     return (
         summary.filter(F.col("score_mean").isNotNull())
-        .select("run_id", F.to_date("started_at").alias("date"), F.col("score_mean").alias("mean"), "started_at")
+        .select(
+            "run_id",
+            F.to_date("started_at").alias("date"),
+            F.col("score_mean").alias("mean"),
+            F.col("score_p50").alias("p50"),
+            F.col("psi_vs_previous").alias("psi"),
+            "started_at",
+        )
         .orderBy("started_at", "run_id")
         .drop("started_at")
     )

@@ -43,9 +43,10 @@ class History:
     summary: DataFrame  # run summary view
 
 
-def _event(df: DataFrame, seq: int, name: str, fields: dict[str, Column]) -> DataFrame:
+def event(df: DataFrame, seq: int, name: str, fields: dict[str, Column], attempt: int = 1) -> DataFrame:
     cols = [
         F.col("run_id"),
+        F.lit(attempt).cast("long").alias("attempt"),
         F.lit(seq).cast("long").alias("seq"),
         F.lit(name).alias("event"),
         F.array(*[F.lit(k) for k in fields]).cast("array<string>").alias("set_fields"),
@@ -86,15 +87,15 @@ def build(
     first_run = specs.orderBy("started_at", "run_id").limit(1)
     mon = order.join(psi.select("run_id", "psi", "drift_flagged"), "run_id", "left")
     events = (
-        _event(specs, 1, "register", {"status": F.lit("running"), "model_version": F.col("model_version"),
+        event(specs, 1, "register", {"status": F.lit("running"), "model_version": F.col("model_version"),
                                       "started_at": F.col("started_at"), "records_failed": F.lit(0),
                                       "drift_flagged": F.lit(False)})
         .unionByName(
-            _event(first_run, 6, "register", {"status": F.lit("running"), "model_version": F.col("model_version"),
+            event(first_run, 6, "register", {"status": F.lit("running"), "model_version": F.col("model_version"),
                                               "started_at": F.col("started_at") + F.lit(RETRY_DELAY)})
         )
         .unionByName(
-            _event(info, 2, "spark_result", {
+            event(info, 2, "spark_result", {
                 "records_read": F.col("n_read"), "records_scored": F.col("n_scored"),
                 "records_failed": F.col("n_failed"), "spark_duration_secs": F.col("spark_duration_secs"),
                 **{c: F.col(c) for c in ["score_mean", "score_std", "score_p10", "score_p25", "score_p50",
@@ -102,24 +103,25 @@ def build(
             })
         )
         .unionByName(
-            _event(gates, 3, "validation", {"validation_passed": F.col("validation_passed"),
+            event(gates, 3, "validation", {"validation_passed": F.col("validation_passed"),
                                             "validation_notes": F.col("validation_notes")})
         )
-        .unionByName(_event(gates.filter(~F.col("validation_passed")), 4, "failure", {"status": F.lit("failed")}))
+        .unionByName(event(gates.filter(~F.col("validation_passed")), 4, "failure", {"status": F.lit("failed")}))
         .unionByName(
-            _event(info.filter("validation_passed"), 4, "write", {
+            event(info.filter("validation_passed"), 4, "write", {
                 "status": F.lit("completed"), "completed_at": F.col("completed_at"),
                 "total_duration_secs": F.col("total_duration_secs"),
             })
         )
         .unionByName(
-            _event(mon, 5, "monitor", {
+            event(mon, 5, "monitor", {
                 "psi_vs_previous": F.col("psi"),
                 "drift_flagged": F.coalesce(F.col("drift_flagged"), F.lit(False)),
                 "status": F.lit("validated"),
             })
         )
     )
-    folded = store.fold_runs(events)
+    events = cut_lineage(events, "run_events")  # a few rows a run; every run query starts from them
+    folded = cut_lineage(store.fold_runs(events), "runs")
     return History(scored, gates, stats, pred, pairs, breakdown, psi, events, folded, store.run_summary(folded))
 

@@ -2,8 +2,8 @@
 
     raw tables --ETL--> customers --features/score--> staging (Parquet, counts observed in the same job)
     staging --one aggregate--> gates, statistics, PSI bin counts (run_bins)
-                                     --fail--> 'failed' events, nothing published
-                                     --pass--> predictions/run_id=<id> (replaced if re-run), events,
+                                     --fail--> 'failed' events, nothing published, the job raises
+                                     --pass--> rejects, predictions/run_id=<id> (replaced if re-run), latest scores, events,
                                                PSI from the stored bin counts of this and the previous run
 
 Every stage after scoring reads the previous stage's written files, never the lineage: the big ETL runs exactly
@@ -47,36 +47,57 @@ def _paths(warehouse: str) -> dict[str, str]:
         "predictions": os.path.join(warehouse, "predictions"),
         "run_events": os.path.join(warehouse, "run_events"),
         "run_bins": os.path.join(warehouse, "run_bins"),
+        "rejects": os.path.join(warehouse, "rejects"),
+        "latest_scores": os.path.join(warehouse, "latest_scores"),
         "vocabulary": os.path.join(warehouse, "model", "vocabulary"),
     }
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def model_encoders(spark: SparkSession, path: str, customers) -> FE.Encoders:
-    """The encoders of the model artifact: the vocabulary stored at training time. When none is stored yet (first
-    run), it is fitted on these customers and stored, so later nights encode with the same codes (unseen -> 0)."""
-    if not _has_files(spark, path):
-        FE.vocabulary(FE.engineer(customers)).write.mode("overwrite").parquet(path)
-    return FE.encoders_from_table(spark.read.parquet(path))
+class MissingArtifact(FileNotFoundError):
+    """A model artifact that scoring needs is not stored."""
 
 
-def _append_events(spark: SparkSession, path: str, run_id: str, seq: int, name: str, fields: dict,
-                   more: list[tuple[int, str, dict]] = ()) -> None:
-    """Append one event (or several decided at the same moment) to the run event log, as one small write."""
+def store_vocabulary(spark: SparkSession, sf_dir: str, warehouse: str, cfg: JobConfig = JobConfig()) -> None:
+    """Fits and stores the vocabulary of a scorecard that needs no training job."""
+    lab = adapter.labels(spark, sf_dir, cfg.reference_date)
+    tx = adapter.transactions(spark, sf_dir, cutoff=cfg.reference_date)
+    customers = etl.build_customers(lab, adapter.members(spark, sf_dir), tx, cfg.reference_date)
+    FE.vocabulary(FE.engineer(customers)).write.mode("overwrite").parquet(_paths(warehouse)["vocabulary"])
+
+
+def require_artifacts(spark: SparkSession, paths: list[str]) -> None:
+    """Scoring never makes up for an artifact: what is missing is an error."""
+    missing = [p for p in paths if not _exists(spark, p)]
+    if missing:
+        raise MissingArtifact(", ".join(missing))
+
+
+def _append_events(spark: SparkSession, path: str, run_id: str, attempt: int, *events: tuple[int, str, dict]) -> None:
+    """Append events decided at the same moment to the run event log, as one small write."""
     one = spark.range(1).select(F.lit(run_id).alias("run_id"))
-    frames = []
-    for s, n, f in [(seq, name, fields), *more]:
-        frames.append(H._event(one, s, n, {k: (v if hasattr(v, "_jc") else F.lit(v)) for k, v in f.items()}))
-    ev = frames[0]
-    for fr in frames[1:]:
-        ev = ev.unionByName(fr)
-    ev.write.mode("append").parquet(path)
+    frames = [
+        H.event(one, seq, name, {k: (v if hasattr(v, "_jc") else F.lit(v)) for k, v in fields.items()}, attempt)
+        for seq, name, fields in events
+    ]
+    log = frames[0]
+    for frame in frames[1:]:
+        log = log.unionByName(frame)
+    log.write.mode("append").parquet(path)
+
+
+def _merge_latest(spark: SparkSession, path: str, published, attempt: int) -> None:
+    """The latest-scores table after this run, as a new version beside the one it was made from (readers of which go
+    on undisturbed). The newest version is the table."""
+    if _exists(spark, path):
+        versions = spark.read.parquet(path)
+        newest = versions.select("attempt").distinct().agg(F.max("attempt")).first()[0]
+        published = store.merge_latest(versions.filter(F.col("attempt") == newest), published)
+    sinks.write_parquet(published.select(*store.PREDICTION_COLUMNS), os.path.join(path, f"attempt={attempt}"))
 
 
 def run_nightly(
@@ -89,20 +110,27 @@ def run_nightly(
     started_at: dt.datetime | None = None,
     model_path: str | None = None,
     model_version: str | None = None,
+    min_rows: int = 1,
 ) -> NightlyResult:
     """One night. Scores with the expression scorecard ``card``, or with the saved Spark ML GBT model at
-    ``model_path`` (from ``plans.train``), whose version is ``model_version``."""
+    ``model_path`` (from ``plans.train``), whose version is ``model_version``.
+
+    Refuses to begin without its artifacts and to score fewer than ``min_rows`` customers. Raises
+    ``quality.GateFailure`` after the failure is logged when a gate fails. Rows that the stored table's constraints
+    refuse go to ``rejects``. Each call is an attempt of its run; a later attempt replaces an earlier one."""
     paths = _paths(warehouse)
     t: dict[str, float] = {}
+    require_artifacts(spark, [paths["vocabulary"], *([model_path] if model_path else [])])
+    attempt = time.time_ns() // 1000
     raw = [os.path.join(sf_dir, f"{n}.parquet") for n in ("customer", "orders", "lineitem")]
     size_partitions(spark, input_bytes(spark, raw))  # only where the launcher left them unset
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
     # Register the run (a retried registration is a no-op when folded)
     version = model_version or (card.version if model_path is None else "gbt")
-    _append_events(spark, paths["run_events"], run_id, 1, "register",
-                   {"status": "running", "model_version": version, "started_at": ts_lit(started_at),
-                    "records_failed": 0, "drift_flagged": False})
+    log = lambda *events: _append_events(spark, paths["run_events"], run_id, attempt, *events)
+    log((1, "register", {"status": "running", "model_version": version, "started_at": ts_lit(started_at),
+                         "records_failed": 0, "drift_flagged": False}))
 
     # Raw tables -> customers, written once
     t0 = time.perf_counter()
@@ -116,11 +144,15 @@ def run_nightly(
     sinks.write_parquet(built, paths["customers"])
     n_read = int(read_obs.get["rows"])  # counted while writing, no extra job
     t["etl"] = time.perf_counter() - t0
+    if n_read < min_rows:
+        notes = f"input has {n_read} rows, at least {min_rows} are needed"
+        log((2, "failure", {"status": "failed", "records_read": n_read, "validation_passed": False, "validation_notes": notes}))
+        raise quality.GateFailure(notes)
 
     # Features + score -> staging, counts observed in the same job
     t0 = time.perf_counter()
     customers = spark.read.parquet(paths["customers"])
-    enc = model_encoders(spark, paths["vocabulary"], customers)
+    enc = FE.encoders_from_table(spark.read.parquet(paths["vocabulary"]))
     matrix = FE.feature_matrix(customers, enc)
     if model_path is None:
         scored = scoring.score_scorecard(matrix, card, cfg)
@@ -152,24 +184,25 @@ def run_nightly(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("run_id").parquet(paths["run_bins"])
     t["gate"] = time.perf_counter() - t0
-    _append_events(spark, paths["run_events"], run_id, 2, "spark_result",
-                   {"records_read": n_read, "records_scored": n_scored, "records_failed": n_read - n_scored,
-                    "spark_duration_secs": round(t["score"], 2), **{k: gate[k] for k in quality.STAT_COLUMNS}},
-                   more=[(3, "validation", {"validation_passed": gate["validation_passed"],
-                                            "validation_notes": gate["validation_notes"]})])
+    log((2, "spark_result", {"records_read": n_read, "records_scored": n_scored, "records_failed": n_read - n_scored,
+                             "spark_duration_secs": round(t["score"], 2), **{k: gate[k] for k in quality.STAT_COLUMNS}}),
+        (3, "validation", {"validation_passed": gate["validation_passed"], "validation_notes": gate["validation_notes"]}))
     if not gate["validation_passed"]:
-        _append_events(spark, paths["run_events"], run_id, 4, "failure", {"status": "failed"})
-        return NightlyResult(run_id, n_read, n_scored, False, gate["validation_notes"], None, t)
+        log((4, "failure", {"status": "failed"}))
+        raise quality.GateFailure(gate["validation_notes"])
 
-    # Publish under the run's own partition (dynamic overwrite: a re-run replaces it)
+    # P20 + S4: rows that break the table's constraints are set aside; the others are published under the run's own
+    # partition (dynamic overwrite: a re-run replaces it) and merged into the latest scores
     t0 = time.perf_counter()
-    pub = spark.read.parquet(stage).withColumn("run_id", F.lit(run_id))
-    store.write_predictions(pub, paths["predictions"])
+    good, bad = scoring.split_rejects(spark.read.parquet(stage).withColumn("run_id", F.lit(run_id)))
+    sinks.write_parquet(bad.drop("run_id"), os.path.join(paths["rejects"], f"run_id={run_id}"))
+    store.write_predictions(good, paths["predictions"])
+    mine = spark.read.parquet(paths["predictions"]).filter(F.col("run_id") == run_id)
+    _merge_latest(spark, paths["latest_scores"], mine, attempt)
     t["publish"] = time.perf_counter() - t0
     completed = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    _append_events(spark, paths["run_events"], run_id, 4, "write",
-                   {"status": "completed", "completed_at": ts_lit(completed),
-                    "total_duration_secs": round(sum(t.values()), 2)})
+    log((4, "write", {"status": "completed", "completed_at": ts_lit(completed),
+                      "total_duration_secs": round(sum(t.values()), 2)}))
 
     # PSI against the newest earlier completed/validated run, from the two runs' stored bin counts
     t0 = time.perf_counter()
@@ -182,7 +215,6 @@ def run_nightly(
         pairs = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(prev["run_id"]).alias("ref_run_id"))
         row = monitor.psi(monitor.psi_breakdown(dist, pairs, cfg.psi_n_bins), cfg.psi_threshold).first()
         psi_value, drift = float(row["psi"]), bool(row["drift_flagged"])
-    _append_events(spark, paths["run_events"], run_id, 5, "monitor",
-                   {"psi_vs_previous": F.lit(psi_value).cast("double"), "drift_flagged": drift, "status": "validated"})
+    log((5, "monitor", {"psi_vs_previous": F.lit(psi_value).cast("double"), "drift_flagged": drift, "status": "validated"}))
     t["monitor"] = time.perf_counter() - t0
     return NightlyResult(run_id, n_read, n_scored, True, gate["validation_notes"], psi_value, t)

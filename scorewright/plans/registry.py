@@ -7,10 +7,10 @@ half-to-even so both engines agree regardless of addition order.
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ CFG = JobConfig()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 LOOKUP_CUSTOMER = "42"  # W8 parameter
-REQUEST_WINDOW_DAYS = 120  # bulk request: ids pasted from the orders of the last 120 days before the reference date
+CHECK_TREES = 30  # trees of the models trained by queries; the training job's default is JobConfig.n_trees
 PAGE, PAGE_SIZE = 2, 2  # W5 parameters
 HIST_RUN_A, HIST_RUN_B = RN.RUNS[0].run_id, RN.RUNS[3].run_id
 
@@ -104,19 +104,12 @@ def history(spark, sf_dir) -> H.History:
     )
 
 
-def request_lines(spark: SparkSession, sf_dir: str, cfg: JobConfig = CFG) -> DataFrame:
-    """A pasted id list derived from orders: one line per order in the window before the reference date, in order
-    (date, order key). Open orders give blank lines, low-priority orders paste the order key by mistake (mostly not
-    a customer), the rest paste the customer key, all with stray spaces."""
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pasted id list derived from orders: one line per order, in order (date, order key). Open orders give blank
+    lines, low-priority orders paste the order key by mistake (mostly not a customer), the rest paste the customer
+    key, all with stray spaces."""
     o = tables.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                                     "o_orderpriority"])
-    start = cfg.reference_date - dt.timedelta(days=REQUEST_WINDOW_DAYS)
-    end = cfg.reference_date + dt.timedelta(days=1)
-    typ = o.schema["o_orderdate"].dataType
-    o = o.filter(
-        (F.col("o_orderdate") >= F.lit(f"{start} 00:00:00").cast(typ))
-        & (F.col("o_orderdate") < F.lit(f"{end} 00:00:00").cast(typ))
-    )
     text = (
         F.when(F.col("o_orderstatus") == "O", F.lit("   "))
         .when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit(" "), F.col("o_orderkey").cast("string")))
@@ -135,20 +128,22 @@ def request_ids(spark, sf_dir) -> DataFrame:
 
 @query("s1_csv_transactions")
 def q_s1(spark, sf_dir):
-    """Transactions exported as CSV (int yyyymmdd dates) and read back with the declared schema."""
-    tx = adapter.transactions(spark, sf_dir)
-    export = tx.select(
-        *[
-            F.date_format(c, "yyyyMMdd").cast("int").alias(c) if c in ("transaction_date", "membership_expire_date")
-            else F.col(c)
-            for c in tx.columns
-        ]
-    )
+    """Transactions exported in the raw CSV layout and read back with the declared schema and a checked header."""
     path = scratch(spark, "transactions_csv")
-    sinks.write_csv(export, path)
+    sinks.write_raw_csv(adapter.transactions(spark, sf_dir), path, "transactions")
     return tables.read_csv(spark, path, "transactions")
 
 
+@query("e1_customers_from_csv")
+def q_e1_csv(spark, sf_dir):
+    """E1 from the three raw CSV files: header checked, id renamed, no transaction id to break ties with."""
+    folder = scratch(spark, "raw_csv")
+    for name, df in zip(tables.CSV_SCHEMAS, (adapter.labels(spark, sf_dir, CFG.reference_date),
+                                             adapter.members(spark, sf_dir), adapter.transactions(spark, sf_dir))):
+        sinks.write_raw_csv(df, os.path.join(folder, name), name)
+    return rounded(etl.build_customers(*tables.raw_files(spark, folder), CFG.reference_date))
+
+
 @query("s3_parquet_roundtrip")
 def q_s3(spark, sf_dir):
     """S3 then S2: the customer table written as snappy Parquet (no coalesce) and scanned back."""
@@ -179,11 +174,19 @@ def q_s4w(spark, sf_dir):
     return spark.read.parquet(path).filter(F.col("run_id") == HIST_RUN_B).select(*store.PREDICTION_COLUMNS)
 
 
+REGISTERED_BEFORE = "1995-01-01"  # S5 parameter
+
+
 @query("s5_register_runs")
 def q_s5(spark, sf_dir):
-    ev = history(spark, sf_dir).events
-    regs = ev.filter(F.col("event") == "register")
-    return store.register_runs(ev.limit(0), regs).select("run_id", "seq", "model_version", "started_at", "status")
+    """Every order registers the run of its day. Days before REGISTERED_BEFORE are registered already; of a day's
+    other registrations that of the lowest order key counts."""
+    o = tables.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_orderstatus"])
+    day = F.col("o_orderdate").cast("date")
+    regs = o.select(F.concat(F.lit("run-"), F.date_format(day, "yyyyMMdd")).alias("run_id"),
+                    F.col("o_orderkey").cast("long").alias("seq"), F.col("o_orderstatus").alias("status"), day.alias("day"))
+    existing = regs.filter(F.col("day") < F.lit(REGISTERED_BEFORE).cast("date")).select("run_id").distinct()
+    return store.register_runs(existing, regs.select("run_id", "seq", "status"))
 
 
 @query("s6_run_state")
@@ -191,6 +194,14 @@ def q_s6(spark, sf_dir):
     return rounded(history(spark, sf_dir).runs)
 
 
+@query("s6_run_state_after_rerun")
+def q_s6_rerun(spark, sf_dir):
+    """S6 when a good run is done again with the flat card of another: the second attempt replaces the first."""
+    ev = history(spark, sf_dir).events
+    again = ev.filter((F.col("run_id") == RN.RUNS[2].run_id)).withColumn("run_id", F.lit(RN.RUNS[1].run_id))
+    return rounded(store.fold_runs(ev.unionByName(again.withColumn("attempt", F.lit(2).cast("long")))))
+
+
 @query("s7_first_n_customers")
 def q_s7(spark, sf_dir):
     lab, mem, tx = raw_tables(spark, sf_dir)
@@ -199,7 +210,7 @@ def q_s7(spark, sf_dir):
 
 @query("s10_input_precheck")
 def q_s10(spark, sf_dir):
-    return etl.input_precheck(customers(spark, sf_dir), 1000)
+    return etl.input_precheck(matrix_and_encoders(spark, sf_dir)[0], 1000)
 
 
 # ---------------------------------------------------------------- P, A: ETL
@@ -237,7 +248,7 @@ def q_e1(spark, sf_dir):
 
 @query("a8_label_base_rate")
 def q_a8(spark, sf_dir):
-    return quality.positive_rate(customers(spark, sf_dir), TARGET_COL)
+    return quality.positive_rate(adapter.labels(spark, sf_dir, CFG.reference_date), TARGET_COL)
 
 
 # ---------------------------------------------------------------- features
@@ -299,19 +310,24 @@ def q_m12(spark, sf_dir):
 def q_p16(spark, sf_dir):
     r = RN.RUNS[0]
     scored = scoring.score_scorecard(matrix_and_encoders(spark, sf_dir)[2], r.card)
-    from scorewright.functions.exprs import ts_lit
-
-    return scored.select("*", F.lit(r.run_id).alias("run_id"), F.lit(r.model_version).alias("model_version"),
-                         ts_lit(r.scored_at).alias("scored_at"))
+    return scoring.with_lineage(scored, r.run_id, r.model_version, r.scored_at)
 
 
 @query("p20_constraint_rejects")
 def q_p20(spark, sf_dir):
-    scored = history(spark, sf_dir).scored
-    bad = scoring.constraint_violation()
-    return scored.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(bad, 1)).alias("n_rejected")
+    """P20: of each run's rows, some of which are spoilt (a probability beyond 1, no probability, a decile 0, an unknown
+    tier, by the last digit of the customer), those that the stored table's constraints refuse."""
+    digit = F.substring(ID_COL, -1, 1)
+    spoilt = history(spark, sf_dir).scored.select(
+        "run_id",
+        F.when(digit == "1", F.col("churn_probability") + 1.5).when(digit != "2", F.col("churn_probability")).alias("churn_probability"),
+        "churn_label",
+        F.when(digit == "3", F.lit(0)).otherwise(F.col("churn_decile")).alias("churn_decile"),
+        F.when(digit == "4", F.lit("none")).otherwise(F.col("risk_tier")).alias("risk_tier"),
     )
+    kept, rejected = scoring.split_rejects(spoilt)
+    both = kept.select("run_id", F.lit(0).alias("bad")).unionByName(rejected.select("run_id", F.lit(1).alias("bad")))
+    return both.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("bad").alias("n_rejected"))
 
 
 @query("a6_row_counts")
@@ -324,14 +340,6 @@ def q_a8p(spark, sf_dir):
     return quality.positive_rate(history(spark, sf_dir).predictions, "churn_label", ["run_id"])
 
 
-@query("p19_run_id")
-def q_p19(spark, sf_dir):
-    """A freshly generated run id stamped on the scored batch (rows-only: the id is new on every call)."""
-    run_id = RN.new_run_id()
-    scored = scoring.score_scorecard(matrix_and_encoders(spark, sf_dir)[2])
-    return scored.select("*", F.lit(run_id).alias("run_id"))
-
-
 @query("a5_score_stats")
 def q_a5(spark, sf_dir):
     return history(spark, sf_dir).stats
@@ -441,7 +449,7 @@ def q_w9(spark, sf_dir):
 
 @query("a13_tier_totals")
 def q_a13(spark, sf_dir):
-    return monitor.tier_totals(monitor.histogram(history(spark, sf_dir).predictions, CFG.psi_n_bins))
+    return monitor.tier_totals(history(spark, sf_dir).predictions)
 
 
 @query("p23_bin_tiers")
@@ -491,9 +499,8 @@ def q_x1(spark, sf_dir):
 
 
 def split_frame(spark, sf_dir):
-    c, enc, m = matrix_and_encoders(spark, sf_dir)
-    labelled = m.join(c.select(ID_COL, TARGET_COL), ID_COL)
-    return M.assign_split(labelled, CFG)
+    c, enc, _ = matrix_and_encoders(spark, sf_dir)
+    return M.assign_split(FE.feature_matrix(c, enc, keep=(ID_COL, TARGET_COL)), CFG)
 
 
 @query("m4_stratified_split")
@@ -507,18 +514,20 @@ def q_m5b(spark, sf_dir):
 
 
 def scorecard_eval_frame(spark, sf_dir):
-    s = split_frame(spark, sf_dir)
-    return s.select(ID_COL, TARGET_COL, "split", scoring.DEFAULT_SCORECARD.probability().alias("p"))
+    """Label, split and the scorecard's logit ``z``, which orders as the probability does and is the same number in
+    every engine."""
+    card = scoring.DEFAULT_SCORECARD
+    return split_frame(spark, sf_dir).select(ID_COL, TARGET_COL, "split", card.logit().alias("z"), card.probability().alias("p"))
 
 
 @query("m6_auc_roc")
 def q_m6(spark, sf_dir):
-    return M.auc_roc(scorecard_eval_frame(spark, sf_dir))
+    return M.auc_roc(scorecard_eval_frame(spark, sf_dir), "z")
 
 
 @query("m7_average_precision")
 def q_m7(spark, sf_dir):
-    return M.average_precision(scorecard_eval_frame(spark, sf_dir))
+    return M.average_precision(scorecard_eval_frame(spark, sf_dir), "z")
 
 
 @query("m8_split_metrics")
@@ -532,20 +541,23 @@ def gbt_model(spark, sf_dir):
 
     def build():
         s = split_frame(spark, sf_dir)
-        return s, M.train_gbt(s.filter(F.col("split") != "test"), CFG, max_iter=30, max_depth=4)
+        return s, M.train_gbt(s.filter(F.col("split") != "test"), replace(CFG, n_trees=CHECK_TREES))
 
     return _memo(spark, sf_dir, "gbt", build)
 
 
+def gbt_scored(frame: DataFrame, model) -> DataFrame:
+    """Label, split and the model's probability."""
+    from pyspark.ml.functions import vector_to_array
+
+    return model.transform(M.assemble(frame)).select(ID_COL, TARGET_COL, "split", vector_to_array("probability")[1].alias("p"))
+
+
 @query("m5_gbt_evaluation")
 def q_m5(spark, sf_dir):
     """M5: GBT trained with class weights and a validation split; evaluated per split (rows-only check)."""
-    from pyspark.ml.functions import vector_to_array
-
     s, mdl = gbt_model(spark, sf_dir)
-    scored = mdl.transform(M.assemble(s)).select(ID_COL, TARGET_COL, "split",
-                                                  vector_to_array("probability")[1].alias("p"))
-    return M.evaluation(scored)
+    return M.evaluation(gbt_scored(s, mdl))
 
 
 @query("m9_gbt_scores")
@@ -564,65 +576,14 @@ def q_w16(spark, sf_dir):
 @query("s9_training_report")
 def q_s9(spark, sf_dir):
     """Evaluation report written as JSON (one row per split) and read back."""
-    from pyspark.ml.functions import vector_to_array
-
     s, mdl = gbt_model(spark, sf_dir)
-    scored = mdl.transform(M.assemble(s)).select(ID_COL, TARGET_COL, "split",
-                                                  vector_to_array("probability")[1].alias("p"))
+    scored = gbt_scored(s, mdl)
     report = M.evaluation(scored).select(F.lit(CFG.model_version).alias("model_version"), "*")
     path = scratch(spark, "training_report")
     report.write.mode("overwrite").json(path)
     return spark.read.schema(report.schema).json(path)
 
 
-# ---------------------------------------------------------------- job metrics (timings: rows-only checks)
-
-
-def timed_metrics(spark, sf_dir) -> DataFrame:
-    """M13 + S8: scoring timed at several slice sizes per engine into the noop sink, warm-up discarded."""
-    from scorewright.plans import bench_jobs
-
-    return _memo(
-        spark, sf_dir, "job_metrics",
-        lambda: cut_lineage(bench_jobs.timed_scoring(spark, sf_dir, run_id="bench-" + RN.RUNS[3].run_id), "metrics"),
-    )
-
-
-@query("s8_job_metrics_append")
-def q_s8(spark, sf_dir):
-    """Timing rows appended to the job_metrics table, read back (rows-only: timings are measurements)."""
-    path = scratch(spark, "job_metrics")
-    metrics = timed_metrics(spark, sf_dir)
-    sinks.append_job_metrics(metrics, path)
-    return spark.read.parquet(path)
-
-
-@query("m13_timed_scoring")
-def q_m13(spark, sf_dir):
-    return timed_metrics(spark, sf_dir)
-
-
-@query("a14_engine_size_pivot")
-def q_a14(spark, sf_dir):
-    from scorewright.plans import bench_jobs
-
-    return bench_jobs.engine_pivot(timed_metrics(spark, sf_dir))
-
-
-@query("a15_speedup")
-def q_a15(spark, sf_dir):
-    from scorewright.plans import bench_jobs
-
-    return bench_jobs.speedup(timed_metrics(spark, sf_dir))
-
-
-@query("w10_latest_timing_set")
-def q_w10(spark, sf_dir):
-    from scorewright.plans import bench_jobs
-
-    return bench_jobs.latest_set(timed_metrics(spark, sf_dir))
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers -> features -> scorecard -> scored batch."""
     return q_m10(spark, sf_dir)

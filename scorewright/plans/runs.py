@@ -42,11 +42,15 @@ def _t(day: int, hh: int, mm: int, ss: int = 0) -> dt.datetime:
 
 # The run history parameters (ids, model versions, score shifts, timestamps, timings).
 FLAT_CARD = Scorecard(intercept=-0.85, weights={}, version="v1.1.0")
+STEEP_CARD = Scorecard(  # so steep that many scores are 0.0 or 1.0
+    intercept=8 * DEFAULT_SCORECARD.intercept, weights={f: 8 * w for f, w in DEFAULT_SCORECARD.weights.items()}, version="v1.2.0"
+)
 RUNS = [
     RunSpec("run-20000801-020000-5f1c2a9e", "v1.0.0", DEFAULT_SCORECARD, _t(1, 2, 0), _t(1, 2, 4), _t(1, 2, 9, 30), 180.5, 330.25),
     RunSpec("run-20000802-020000-8b7d4e10", "v1.0.0", DEFAULT_SCORECARD.shifted(0.15), _t(2, 2, 0), _t(2, 2, 3, 30), _t(2, 2, 8), 150.0, 300.0),
     RunSpec("run-20000803-020000-c3e9f772", "v1.1.0", FLAT_CARD, _t(3, 2, 0), _t(3, 2, 3), _t(3, 2, 5), 120.75, 200.5),
     RunSpec("run-20000804-020000-1d2e3f40", "v1.1.0", DEFAULT_SCORECARD.shifted(0.6, "v1.1.0"), _t(4, 2, 0), _t(4, 2, 2, 45), _t(4, 2, 7, 15), 140.25, 310.0),
+    RunSpec("run-20000805-020000-7a6b5c4d", "v1.2.0", STEEP_CARD, _t(5, 2, 0), _t(5, 2, 3, 15), _t(5, 2, 8, 45), 160.0, 320.5),
 ]
 
 RUN_SCHEMA = T.StructType(

@@ -17,7 +17,7 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.config import ID_COL, TARGET_COL, JobConfig
+from scorewright.config import FEATURE_COLUMNS, ID_COL, TARGET_COL, JobConfig
 from scorewright.operators import etl, features as FE, model as M
 from scorewright.session import cut_lineage
 from scorewright.sources import adapter
@@ -33,9 +33,8 @@ def run_training(
     sf_dir: str,
     warehouse: str,
     cfg: JobConfig = JobConfig(),
-    max_iter: int = 50,
-    max_depth: int = 5,
 ) -> dict:
+    """Trains and stores the artifacts. Trees, step, depth and a bound on the rows of the fit are ``cfg``'s."""
     paths = model_paths(warehouse)
     t0 = time.perf_counter()
     lab = adapter.labels(spark, sf_dir, cfg.reference_date)
@@ -43,11 +42,13 @@ def run_training(
     tx = adapter.transactions(spark, sf_dir, cutoff=cfg.reference_date)
     customers = cut_lineage(etl.build_customers(lab, mem, tx, cfg.reference_date), "training_customers")
 
-    train_frame, enc = FE.training_frame(customers)
-    enc.table.write.mode("overwrite").parquet(paths["vocabulary"])
+    FE.vocabulary(FE.engineer(customers)).write.mode("overwrite").parquet(paths["vocabulary"])
+    enc = FE.encoders_from_table(spark.read.parquet(paths["vocabulary"]))
+    train_frame = FE.feature_matrix(customers, enc, keep=(ID_COL, TARGET_COL))
     split = cut_lineage(M.assign_split(train_frame, cfg), "training_split")
 
-    gbt = M.train_gbt(split.filter(F.col("split") != "test"), cfg, max_iter=max_iter, max_depth=max_depth)
+    gbt = M.train_gbt(split.filter(F.col("split") != "test"), cfg)
+    fit_secs = round(time.perf_counter() - t0, 2)
     gbt.write().overwrite().save(paths["gbt"])
 
     from pyspark.ml.functions import vector_to_array
@@ -55,7 +56,15 @@ def run_training(
     scored = gbt.transform(M.assemble(split)).select(
         ID_COL, TARGET_COL, "split", vector_to_array("probability")[1].alias("p")
     )
-    report = M.evaluation(scored).select(F.lit(cfg.model_version).alias("model_version"), "*")
+    best = gbt.getNumTrees  # with early stopping the fit keeps the trees up to the best iteration
+    report = M.evaluation(scored).select(
+        F.lit(cfg.model_version).alias("model_version"),
+        F.lit(best).alias("best_iteration"),
+        F.lit(len(FEATURE_COLUMNS)).alias("n_features"),
+        F.lit(FEATURE_COLUMNS).alias("feature_columns"),
+        F.lit(fit_secs).alias("training_secs"),
+        "*",
+    )
     report.write.mode("overwrite").json(paths["report"])
     rows = [(i + 1, f, float(v)) for i, (f, v) in enumerate(M.importances(gbt))]
     spark.createDataFrame(rows, "rank int, feature string, importance double").write.mode("overwrite").parquet(

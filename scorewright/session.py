@@ -7,7 +7,6 @@ fill in what is unset, so local tests get sane values and a real cluster keeps i
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,11 +47,14 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch folder only when none is set (tests)."""
+    """The shared checkpoint folder the cluster names. Only a local session may go without one: all its tasks share
+    the machine, and it gets a folder of its own."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="scorewright-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        current = f"/tmp/checkpoints/{uuid.uuid4().hex}"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
@@ -74,7 +76,6 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 # Target sizes for partitions at scale: scan splits and post-shuffle partitions of ~256 MB fit comfortably in an
 # executor task's memory share and keep task counts manageable on 100 TB inputs.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -94,7 +95,7 @@ def size_partitions(spark: SparkSession, total_bytes: int) -> dict[str, str]:
     skewed ones at run time. Returns the settings applied."""
     launched = spark.sparkContext.getConf()
     parallelism = spark.sparkContext.defaultParallelism
-    n = max(parallelism, min(MAX_SHUFFLE_PARTITIONS, -(-total_bytes // TARGET_PARTITION_BYTES)))
+    n = max(parallelism, -(-total_bytes // TARGET_PARTITION_BYTES))
     wanted = {
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.shuffle.partitions": str(n),

@@ -4,6 +4,10 @@ funnel a whole job into one task."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from scorewright.config import ID_COL
+from scorewright.sources.tables import CSV_SCHEMAS, RAW_ID
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -19,6 +23,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def write_raw_csv(df: DataFrame, path: str, name: str) -> None:
+    """A table in the raw layout of ``tables.CSV_SCHEMAS[name]``: its id column, its column order, dates as yyyymmdd."""
+    schema = CSV_SCHEMAS[name]
+    raw = df.withColumnRenamed(ID_COL, RAW_ID)
+    dates = {f.name for f in raw.schema.fields if f.dataType.typeName() == "date"}
+    write_csv(raw.select(*(F.date_format(c, "yyyyMMdd").cast("int").alias(c) if c in dates else F.col(c) for c in schema.names)), path)
+
+
 def append_job_metrics(metrics: DataFrame, path: str) -> None:
     """One row per timed job, appended."""
     metrics.write.mode("append").parquet(path)

@@ -11,16 +11,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from scorewright.config import ID_COL
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
 
+RAW_ID = "msno"  # fixed value: the id column of the raw files
+
 # Raw CSV layouts of the three source files (S1): labels, members, transactions. Dates arrive as int yyyymmdd.
-LABELS_CSV = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("is_churn", T.IntegerType())])
+LABELS_CSV = T.StructType([T.StructField(RAW_ID, T.StringType()), T.StructField("is_churn", T.IntegerType())])
 MEMBERS_CSV = T.StructType(
     [
-        T.StructField("customer_id", T.StringType()),
+        T.StructField(RAW_ID, T.StringType()),
         T.StructField("city", T.IntegerType()),
         T.StructField("bd", T.IntegerType()),
         T.StructField("gender", T.StringType()),
@@ -30,8 +34,7 @@ MEMBERS_CSV = T.StructType(
 )
 TRANSACTIONS_CSV = T.StructType(
     [
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("transaction_id", T.LongType()),
+        T.StructField(RAW_ID, T.StringType()),
         T.StructField("payment_method_id", T.IntegerType()),
         T.StructField("plan_list_price", T.DecimalType(18, 2)),
         T.StructField("payment_plan_days", T.IntegerType()),
@@ -61,5 +64,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
 
 
 def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """CSV with a header row and a declared schema (never inferred); malformed rows fail the job."""
-    return spark.read.schema(CSV_SCHEMAS[name]).option("header", True).option("mode", "FAILFAST").csv(path)
+    """CSV with a declared schema (never inferred) whose header must name the same columns in the same order; a
+    malformed row or another header fails the job. The raw id column becomes ``customer_id`` (P6)."""
+    df = (
+        spark.read.schema(CSV_SCHEMAS[name])
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )
+    return df.withColumnRenamed(RAW_ID, ID_COL)
+
+
+def raw_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labels, members and transactions from a folder that holds one CSV file or folder of each name."""
+    return tuple(read_csv(spark, os.path.join(folder, name), name) for name in CSV_SCHEMAS)

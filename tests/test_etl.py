@@ -1,10 +1,13 @@
 """Transaction aggregation, the no-leakage cutoff and the customer table."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from scorewright.operators import etl
+from scorewright.sources import tables
 
 REF = dt.date(2017, 3, 1)
 TX_COLS = ("customer_id payment_method_id plan_list_price payment_plan_days actual_amount_paid is_auto_renew "
@@ -16,27 +19,47 @@ def _tx(spark, rows, with_id=False):
     return spark.createDataFrame(rows, cols)
 
 
-def test_aggregate_transactions_and_leakage(spark):
-    tx = _tx(spark, [
-        ("u1", 40, 149, 30, 149, 1, 0, 20170101, 20170201),
-        ("u1", 41, 149, 30, 99, 1, 0, 20170201, 20170301),
-        ("u1", 41, 149, 30, 149, 0, 1, 20170228, 20170310),
-        ("u2", 36, 99, 30, 99, 1, 0, 20170401, 20170501),  # after the cutoff
-    ])
-    agg = {r["customer_id"]: r for r in etl.aggregate_transactions(tx, REF).collect()}
-    assert "u2" not in agg
-    u1 = agg["u1"]
-    assert u1["n_transactions"] == 3
-    assert u1["total_paid"] == 149 + 99 + 149
-    assert u1["total_discount"] == 50
-    assert u1["n_auto_renew"] == 2
-    assert u1["n_cancels"] == 1
-    assert u1["last_is_cancel"] == 1
-    assert u1["last_is_auto_renew"] == 0
-    assert u1["days_to_expire"] == 9
-    assert u1["membership_tenure_days"] == (dt.date(2017, 3, 10) - dt.date(2017, 1, 1)).days
-    assert u1["payment_method_id"] == 41
-    assert u1["avg_plan_price"] == 149.0
+def test_rollup_equals_plain_python(spark):
+    r = random.Random(11)
+    day = lambda: dt.date(2017, 1, 1) + dt.timedelta(r.randint(0, 119))
+    rows = [(f"u{r.randint(0, 5)}", r.randint(1, 9), r.randint(0, 90), 30, r.randint(0, 90), r.randint(0, 1), r.randint(0, 1), day(), day(), i) for i in range(200)]
+    number = lambda d: int(d.strftime("%Y%m%d"))
+    tx = _tx(spark, [(*x[:7], number(x[7]), number(x[8]), x[9]) for x in rows], with_id=True)
+    got = {x["customer_id"]: x for x in etl.aggregate_transactions(tx, REF).collect()}
+    for user in {x[0] for x in rows}:
+        own = [x for x in rows if x[0] == user and x[7] <= REF]
+        last, ends = max(own, key=lambda x: (x[7], x[9])), max(x[8] for x in own)
+        want = {
+            "n_transactions": len(own), "total_paid": sum(x[4] for x in own), "total_discount": sum(x[2] - x[4] for x in own),
+            "n_auto_renew": sum(x[5] for x in own), "n_cancels": sum(x[6] for x in own), "payment_method_id": last[1],
+            "last_is_auto_renew": last[5], "last_is_cancel": last[6], "days_to_expire": (ends - REF).days,
+            "membership_tenure_days": (ends - min(x[7] for x in own)).days,
+        }
+        assert {k: got[user][k] for k in want} == want
+
+
+def test_any_transaction_id_breaks_ties(spark):
+    big = (1 << 63) - 1
+    rows = [("a", 1, 1, 1, 1, 0, 0, 20170210, 20170310, 1 << 43), ("a", 2, 1, 1, 1, 1, 1, 20170210, 20170310, big),
+            ("b", 3, 1, 1, 1, 0, 0, 20170210, 20170310, -big - 1), ("b", 4, 1, 1, 1, 1, 0, 20170210, 20170310, -5), ("b", 5, 1, 1, 1, 1, 0, 20170209, 20170310, big)]
+    got = {r["customer_id"]: r["payment_method_id"] for r in etl.aggregate_transactions(_tx(spark, rows, with_id=True), REF).collect()}
+    assert got == {"a": 2, "b": 4}
+
+
+def test_ties_without_an_id_do_not_depend_on_row_order(spark):
+    rows = [("a", 9, 1, 1, 1, 0, 1, 20170210, 20170310), ("a", 9, 1, 1, 1, 1, 0, 20170210, 20170310), ("a", 8, 1, 1, 1, 1, 1, 20170210, 20170310)]
+    for some in (rows, rows[::-1]):
+        r = etl.aggregate_transactions(_tx(spark, some), REF).first()
+        assert (r["payment_method_id"], r["last_is_auto_renew"], r["last_is_cancel"]) == (9, 1, 0)
+
+
+def test_swapped_csv_columns_are_an_error(spark, tmp_path):
+    good = "msno,city,bd,gender,registered_via,registration_init_time\nu1,3,44,male,7,20160101\n"
+    (tmp_path / "good.csv").write_text(good)
+    (tmp_path / "swapped.csv").write_text(good.replace("city,bd", "bd,city"))
+    assert tables.read_csv(spark, str(tmp_path / "good.csv"), "members").first().asDict()["customer_id"] == "u1"
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_csv(spark, str(tmp_path / "swapped.csv"), "members").collect()
 
 
 def test_cutoff_is_inclusive_and_invalid_dates_drop(spark):

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from scorewright.operators import features as FE, scoring
 
 ROWS = [
-    ("a", 30, 1000, 10, 1490.0, 149.0, 30.0, 149.0, 10, 0, 300, 15, 1, "male", 7, 41, 1, 0, 0),
-    ("b", 999, 200, 1, 149.0, 149.0, 30.0, 0.0, 0, 1, 30, -5, 13, None, 9, 40, 0, 1, 1),
+    ("k1", 100, 40, 7, 700.5, 100.0, 31.0, 70.25, 2, 0, 210, 0, 5, "female", 3, 2, 0, 0, 1),
+    ("k2", 101, 41, 0, 0.0, 0.0, 0.0, 0.0, 0, 0, 0, -1, 22, "None", 4, 11, 0, 0, 0),
+    ("k3", 0, None, 3, -9.0, 5.0, 1.0, 3.0, 3, 3, 12, 400, 5, None, 3, 2, 1, 1, 1),
+    ("k4", -1, 7, 1, 12.0, 12.0, 30.0, 1.0, 1, 1, 1, None, None, "nan", None, None, None, None, 0),
 ]
 SCHEMA = (
     "customer_id string, bd int, registration_days int, n_transactions int, total_paid double, "
@@ -22,39 +24,48 @@ def _raw(spark, rows=ROWS):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_engineered_flags_and_dirty_age(spark):
+def test_ages_beyond_their_bounds_are_unknown(spark):
+    assert {r["customer_id"]: r["bd"] for r in FE.engineer(_raw(spark)).collect()} == {"k1": 100, "k2": None, "k3": 0, "k4": None}
+
+
+def test_ratios_and_flags_at_their_boundaries(spark):
     eng = {r["customer_id"]: r for r in FE.engineer(_raw(spark)).collect()}
-    assert eng["b"]["bd"] is None
-    assert eng["b"]["is_expired"] == 1
-    assert eng["b"]["has_cancelled"] == 1
-    assert eng["a"]["cancel_rate"] == 0.0
-    assert eng["a"]["discount_rate"] == round(149 / 1491, 4)
-    assert eng["a"]["autorenew_rate"] == round(10 / 11, 4)
+    for name, raw in zip(("k1", "k2", "k3", "k4"), ROWS):
+        n, paid, discount, renewed, cancelled, expire = raw[3], raw[4], raw[7], raw[8], raw[9], raw[11]
+        got = eng[name]
+        assert got["discount_rate"] == round(discount / (abs(paid) + 1), 4) and got["paid_per_txn"] == round(paid / (n + 1), 4)
+        assert got["cancel_rate"] == round(cancelled / (n + 1), 4) and got["autorenew_rate"] == round(renewed / (n + 1), 4)
+        assert (got["is_expired"], got["never_autorenew"], got["has_cancelled"]) == (int(expire is not None and expire < 0), int(renewed == 0), int(cancelled > 0))
 
 
-def test_train_infer_parity_no_skew(spark):
+def test_both_sides_build_one_matrix(spark):
     r = FE.parity(_raw(spark)).first()
-    assert (r["n_rows"], r["train_only"], r["serve_only"]) == (2, 0, 0)
-    train, enc = FE.training_frame(_raw(spark))
-    m = FE.feature_matrix(_raw(spark).drop("is_churn"), enc)
-    assert m.columns[1:] == FE.FEATURE_COLUMNS
-    assert all(f.dataType.typeName() == "float" for f in m.schema.fields[1:])
-    assert m.filter(F.col("customer_id") == "b").first()["bd"] is None
+    assert (r["n_rows"], r["train_only"], r["serve_only"]) == (len(ROWS), 0, 0)
+    _, enc = FE.training_frame(_raw(spark))
+    m = FE.feature_matrix(_raw(spark), enc, keep=("customer_id", "is_churn"))
+    assert m.columns == ["customer_id", "is_churn", *FE.FEATURE_COLUMNS]
+    assert {f.dataType.typeName() for f in m.schema.fields[2:]} == {"float"}
 
 
-def test_encoders_sort_text_and_map_unseen_to_zero(spark):
+def test_codes_follow_text_order_and_unseen_values_are_the_first(spark):
     _, enc = FE.training_frame(_raw(spark))
-    assert enc.maps["city"] == {"1": 0, "13": 1}  # text order, like a label encoder
-    assert enc.maps["gender"] == {"male": 0, "unknown": 1}
-    novel = [tuple(list(ROWS[0][:15]) + [9999] + list(ROWS[0][16:]))]
-    m = FE.apply_encoders(FE.engineer(_raw(spark, novel)), enc).first()
-    assert m["payment_method_id"] == 0
+    assert enc.maps["city"] == {"22": 0, "5": 1, "unknown": 2} and enc.maps["gender"] == {"female": 0, "unknown": 1}
+    strange = [("n", *ROWS[0][1:12], 6, "x", 3, 999, *ROWS[0][16:])]
+    m = FE.apply_encoders(FE.engineer(_raw(spark, strange)), enc).first()
+    assert (m["city"], m["gender"], m["registered_via"], m["payment_method_id"]) == (0, 0, 0, 0)
+
+
+def test_vocabulary_ranks_many_values(spark):
+    values = spark.range(5000).select((F.col("id") * 7 % 5000).cast("string").alias("city"))
+    got = [(r["value"], r["code"]) for r in FE.vocabulary(values, ["city"]).orderBy("code").collect()]
+    assert got == [(v, i) for i, v in enumerate(sorted(map(str, range(5000))))]
 
 
-def test_encoders_join_path_equals_map_path(spark, monkeypatch):
+def test_encoders_join_path_equals_map_path(spark):
     _, enc = FE.training_frame(_raw(spark))
     by_map = FE.apply_encoders(FE.engineer(_raw(spark)), enc).orderBy("customer_id").collect()
-    joined = FE.Encoders(table=enc.table, maps=None)
+    joined = FE.encoders_from_table(enc.table, inline_max=0)
+    assert joined.maps == {}
     by_join = FE.apply_encoders(FE.engineer(_raw(spark)), joined).orderBy("customer_id").collect()
     assert by_map == by_join
 
@@ -106,16 +117,17 @@ def test_pandas_hook_with_stub_model(spark):
             return np.column_stack([1 - p, p])
 
     train, enc = FE.training_frame(_raw(spark))
-    m = FE.feature_matrix(_raw(spark), enc).coalesce(1)  # one Arrow batch, so the stub sees both rows
+    m = FE.feature_matrix(_raw(spark), enc).coalesce(1)  # one Arrow batch, so the stub sees all rows
     out = scoring.score_pandas_model(m, Stub()).collect()
-    assert sorted(r["risk_tier"] for r in out) == ["high", "low"]
+    assert sorted(r["risk_tier"] for r in out) == ["high", "high", "low", "low"]
 
 
-def test_mixed_inline_and_join_lookup(spark, monkeypatch):
+def test_mixed_inline_and_join_lookup(spark):
     _, enc = FE.training_frame(_raw(spark))
     want = FE.apply_encoders(FE.engineer(_raw(spark)), enc).orderBy("customer_id").collect()
-    monkeypatch.setattr(FE, "INLINE_MAX", 1)  # city/gender/... have 2 values: joined; single-value ones inline
-    got = FE.apply_encoders(FE.engineer(_raw(spark)), enc).orderBy("customer_id").collect()
+    some = FE.encoders_from_table(enc.table, inline_max=2)  # decided per feature
+    assert 0 < len(some.maps) < len(enc.maps)
+    got = FE.apply_encoders(FE.engineer(_raw(spark)), some).orderBy("customer_id").collect()
     assert got == want
 
 

@@ -5,6 +5,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from scorewright.functions.exprs import risk_tier
 from scorewright.operators import monitor
 
 
@@ -64,8 +65,11 @@ def test_histogram_view_bins_and_fractions(spark):
     assert h[11]["count"] == 2 and h[11]["bin_upper"] == 1.1  # p = 1.0 is bin 11
     assert h[4]["count"] == 1 and h[1]["count"] == 1  # width_bucket: 0.3 -> bin 4
     assert h[11]["fraction"] == round(2 / 7, 4)
-    tiers = monitor.tier_totals(monitor.histogram(pred)).first()
-    assert (tiers["low"], tiers["medium"], tiers["high"]) == (2, 1, 2)  # p = 1.0 counted in no tier
+    tiers = pred.withColumn("risk_tier", risk_tier("churn_probability", 0.7, 0.4))
+    tiers = monitor.tier_totals(tiers).first()
+    assert (tiers["low"], tiers["medium"], tiers["high"]) == (2, 1, 4)  # p = 1.0 is high
+    wide = {r["bin"]: (r["bin_lower"], r["bin_upper"]) for r in monitor.histogram(pred, 20).collect()}
+    assert wide[7] == (0.3, 0.35) and wide[1] == (0.0, 0.05)
     bt = {r["bin"]: r["bin_tier"] for r in monitor.bin_tier(monitor.histogram(pred)).collect()}
     assert bt[1] == "low" and bt[5] == "medium" and bt[8] == "high"
 

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from scorewright.config import GateConfig
 from scorewright.operators import quality
 
 
@@ -16,24 +17,39 @@ def _gate(spark, probs, n_read):
     return quality.gate_frame(_scored(spark, probs), n_read).first()
 
 
-def test_healthy_batch_passes(spark):
-    rng = np.random.default_rng(0)
-    g = _gate(spark, rng.uniform(0, 1, 1000), 1000)
-    assert g["validation_passed"] and g["status"] == "completed" and g["validation_notes"] is None
-    quality.enforce(quality.gate_frame(_scored(spark, rng.uniform(0, 1, 1000)), 1000))
+def _spread(n):
+    return [i / (n - 1) for i in range(n)]
 
 
-def test_degenerate_distribution_rejected(spark):
-    g = _gate(spark, [0.3] * 1000, 1000)
-    assert not g["validation_passed"] and "degenerate" in g["validation_notes"]
-    with pytest.raises(ValueError, match="degenerate"):
-        quality.enforce(quality.gate_frame(_scored(spark, [0.3] * 1000), 1000))
+def test_a_batch_within_all_limits_has_no_notes(spark):
+    g = _gate(spark, _spread(50), 50)
+    assert (g["validation_passed"], g["status"], g["validation_notes"], g["n_failed"]) == (True, "completed", None, 0)
+    quality.enforce(quality.gate_frame(_scored(spark, _spread(50)), 50))
 
 
-def test_dropped_rows_rejected(spark):
-    rng = np.random.default_rng(0)
-    with pytest.raises(ValueError, match="dropped"):
-        quality.enforce(quality.gate_frame(_scored(spark, rng.uniform(0, 1, 500)), 1000))
+@pytest.mark.parametrize("width, passes", [(0.0, False), (0.018, False), (0.03, True)])
+def test_scores_must_spread(spark, width, passes):
+    """Two values ``width`` apart, half of the rows each: the sample deviation is about width / 2, the limit 0.01."""
+    probs = [0.5, 0.5 + width] * 40
+    assert _gate(spark, probs, 80)["validation_passed"] is passes
+    if not passes:
+        with pytest.raises(quality.GateFailure, match="degenerate"):
+            quality.enforce(quality.gate_frame(_scored(spark, probs), 80))
+
+
+@pytest.mark.parametrize("scored, passes", [(90, True), (89, False)])
+def test_nine_in_ten_rows_must_be_scored(spark, scored, passes):
+    g = _gate(spark, _spread(scored), 100)
+    assert g["validation_passed"] is passes and g["n_failed"] == 100 - scored
+    assert passes or g["validation_notes"].startswith(f"dropped: {scored} of 100")
+
+
+def test_absolute_count_and_narrow_rate_as_configured(spark):
+    cfg = GateConfig(min_records_expected=60, churn_rate_range=(0.05, 0.50))
+    g = quality.gate_frame(_scored(spark, _spread(50)), 50, cfg).first()
+    assert not g["validation_passed"] and "only 50 rows scored, expected 60" in g["validation_notes"]
+    g = quality.gate_frame(_scored(spark, [0.4] * 24 + [0.9] * 36), 60, cfg).first()
+    assert g["validation_passed"] and "churn rate" in g["validation_notes"]
 
 
 def test_null_scores_fail_and_range_is_checked(spark):

@@ -2,19 +2,20 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from scorewright.operators import store
 from scorewright.plans import history as H
 
 
-def _events(spark, specs):
+def _events(spark, specs, attempt=1):
     """specs: (run_id, seq, event, {field: value})"""
     frames = []
     for run_id, seq, name, fields in specs:
         one = spark.range(1).select(F.lit(run_id).alias("run_id"))
         cols = {k: (F.lit(v) if not hasattr(v, "_jc") else v) for k, v in fields.items()}
-        frames.append(H._event(one, seq, name, cols))
+        frames.append(H.event(one, seq, name, cols, attempt))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -81,10 +82,52 @@ def test_bulk_lookup_parse_dedupe_and_split(spark):
     assert (s["total_requested"], s["total_found"]) == (3, 2)
 
 
-def test_parse_caps_at_500_non_blank_lines(spark):
+def test_a_long_request_is_refused_not_cut(spark):
     lines = "\n".join(["", "x"] * 600)
     ids = store.parse_id_text(spark.createDataFrame([(lines,)], "t string"), "t")
-    assert ids.count() == 500
+    assert ids.count() == 600
+    with pytest.raises(ValueError, match="500"):
+        store.checked_request(ids)
+    assert store.checked_request(ids.limit(500)).count() == 500
+
+
+def test_bulk_results_keep_request_order(spark):
+    req = spark.createDataFrame([("zz", 0), ("c3", 1), ("aa", 2), ("c1", 3), ("c2", 4)], "customer_id string, pos int")
+    assert [r["customer_id"] for r in store.bulk_found(req, _pred(spark)).collect()] == ["c3", "c1", "c2"]
+    assert [r["customer_id"] for r in store.bulk_not_found(req, _pred(spark)).collect()] == ["zz", "aa"]
+
+
+def test_a_later_attempt_replaces_every_field(spark):
+    done = [("r", 1, "register", {"status": "running", "model_version": "v1"}),
+            ("r", 2, "spark_result", {"score_mean": 0.4}), ("r", 4, "write", {"status": "completed", "total_duration_secs": 9.0})]
+    failed = [("r", 1, "register", {"status": "running", "model_version": "v2"}),
+              ("r", 3, "validation", {"validation_passed": False}), ("r", 4, "failure", {"status": "failed"})]
+    for first, second in ((done, failed), (failed, done)):
+        log = _events(spark, second, 2).unionByName(_events(spark, first, 1))
+        r = store.fold_runs(log).first()
+        alone = store.fold_runs(_events(spark, second, 1)).first()
+        assert r == alone
+
+
+def test_predictions_of_several_runs_are_written_in_order(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("customer_id"), F.concat(F.lit("r"), F.col("id") % 3).alias("run_id"),
+                                    F.lit("v").alias("model_version"), F.lit(0.5).alias("churn_probability"), F.lit(True).alias("churn_label"),
+                                    F.lit(5).alias("churn_decile"), F.lit("medium").alias("risk_tier"), F.lit(dt.datetime(2000, 1, 1)).alias("scored_at"))
+    store.write_predictions(rows.repartition(2), path)
+    files = spark.read.parquet(path).select("customer_id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("at")).collect()
+    for f in {r["f"] for r in files}:
+        ids = [r["customer_id"] for r in sorted(files, key=lambda r: r["at"]) if r["f"] == f]
+        assert len(ids) > 100 and ids == sorted(ids)
+
+
+def test_merged_latest_equals_latest_of_all(spark):
+    pred = _pred(spark)
+    old, new = pred.filter("run_id <> 'r2'"), pred.filter("run_id = 'r2'")
+    merged = store.merge_latest(store.latest_scores(old), new)
+    assert sorted(map(str, merged.select(*pred.columns).collect())) == sorted(map(str, store.latest_scores(pred).select(*pred.columns).collect()))
+    late = store.merge_latest(new, pred.filter("run_id = 'r1'"))  # an older run published late does not win
+    assert {r["customer_id"]: r["run_id"] for r in late.collect()} == {"c1": "r2", "c2": "r1", "c3": "r1"}
 
 
 def test_runs_page_and_totals(spark):
