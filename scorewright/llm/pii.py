@@ -28,7 +28,8 @@ DATE = _L + r"(?:[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 ASSIGNED = _L + r"(?i:token|password|passwd|secret|api_?key)[ \t]*[=:][ \t]*[\"']?[A-Za-z0-9+/_-]{8,}+"
 ACCESS_KEY = _L + r"AKIA[0-9A-Z]{16}" + _R
-ANY = "|".join((ASSIGNED, ACCESS_KEY, EMAIL, CARD, IP, DATE, SSN, PHONE))
+HEX = _L + r"[0-9A-Fa-f]{32,}+" + _R
+ANY = "|".join((ASSIGNED, ACCESS_KEY, HEX, EMAIL, CARD, IP, DATE, SSN, PHONE))
 HINT = "[0-9@=:]"  # every form has one of these
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
@@ -180,6 +181,13 @@ def _assigned(m: Column, key: str) -> Column:
     return F.concat(name, F.rpad(_digest(value, key), F.length(value), _digest(F.reverse(value), key)))
 
 
+def _hex(m: Column, key: str) -> Column:
+    """As many hexadecimal digits of its keyed digest, in its case; beyond 128 they repeat."""
+    both = F.concat(_digest(m, key), _digest(F.reverse(m), key))
+    new = F.rpad(both, F.length(m), both)
+    return F.when(m == F.upper(m), F.upper(new)).otherwise(new)
+
+
 def _access_key(m: Column, key: str) -> Column:
     return F.concat(F.lit("AKIA"), F.upper(F.substring(_digest(m, key), 1, 16)))
 
@@ -192,6 +200,7 @@ def _pseudonym(m: Column, key: str) -> Column:
     kinds = (
         ("secret", m.rlike(_whole(ASSIGNED)), _assigned),
         ("secret", m.rlike(_whole(ACCESS_KEY)), _access_key),
+        ("secret", m.rlike(_whole(HEX)), _hex),
         ("email", m.contains("@"), _email),
         ("card", card & (_luhn(digits, 0) % 10 == 0), _card),
         ("ip", m.rlike(_whole(rf"{OCTET}(?:\.{OCTET}){{3}}")), _ip),

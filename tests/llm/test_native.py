@@ -152,3 +152,5 @@ def test_forms(spark):
     assert not any(s in got for s in ("1beb58", "b7db7a", "MD62HKU6", "a.b+c@")) and got.endswith("@mail5.example.com!")
     assert [len(x) for x in got.split(" ")[:4]] == [len(x) for x in " ".join(secrets).split(" ")[:4]]
     assert mask(spark, same, "other key") != mask(spark, same)
+    got = mask(spark, ["TOKEN!! 1BEB58B8AF68854F0E01B4AD40CDBB6A and " + "0a" * 80])[0].split(" ")
+    assert re.fullmatch("[0-9A-F]{32}", got[1]) and re.fullmatch("[0-9a-f]{160}", got[3]) and "1BEB" not in got[1]
