@@ -5,7 +5,7 @@ Layout:
     functions/  column expressions shared by every operator
     operators/  ETL, features, model, scoring, quality gates, store, monitor
     plans/      end-to-end jobs and the derived run history
-    streaming/  incremental scoring of newly landed customer files
+    llm/        training-data operators; nothing else here imports them
 """
 
 from scorewright.config import JobConfig
