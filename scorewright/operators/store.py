@@ -141,7 +141,8 @@ def run_summary(runs: DataFrame) -> DataFrame:
 
 
 def latest_scores(pred: DataFrame) -> DataFrame:
-    """Newest score per customer (scored_at, then run id to break ties), as one mergeable aggregate."""
+    """W1 from the whole history: newest score per customer (scored_at, then run id to break ties), as one mergeable
+    aggregate. Needed once, to rebuild; ``merge_latest`` keeps the result up to date."""
     cols = [c for c in PREDICTION_COLUMNS if c != ID_COL]
     return (
         pred.groupBy(ID_COL)
@@ -161,9 +162,9 @@ def merge_latest(latest: DataFrame, published: DataFrame) -> DataFrame:
     return both.select(F.when(F.col("new").isNotNull() & newer, F.col("new")).otherwise(F.col("old")).alias("r")).select("r.*")
 
 
-def score_for(pred: DataFrame, customer_id: str) -> DataFrame:
-    """Latest score of one customer; the id filter sits below the aggregate (pushed into the scan)."""
-    return latest_scores(pred.filter(F.col(ID_COL) == customer_id))
+def score_for(latest: DataFrame, customer_id: str) -> DataFrame:
+    """Latest score of one customer; the id filter is pushed into the scan of the latest scores."""
+    return latest.filter(F.col(ID_COL) == customer_id).select(*PREDICTION_COLUMNS)
 
 
 def high_risk(pred: DataFrame) -> DataFrame:
@@ -203,31 +204,25 @@ def dedupe_ids(ids: DataFrame, order_cols: list[str]) -> DataFrame:
     return first.select(ID_COL, *[F.col(f"o.{c}").alias(c) for c in order_cols])
 
 
-def _requested(request: DataFrame, pred: DataFrame) -> DataFrame:
-    """Prediction rows of the requested ids only: a semi join at the scan, planned by the request's measured size, so
-    the latest-score aggregate shuffles just those customers' rows."""
-    return pred.join(request.select(ID_COL), ID_COL, "left_semi")
-
-
 def _order(request: DataFrame) -> list[str]:
     return [c for c in request.columns if c != ID_COL]
 
 
-def bulk_found(request: DataFrame, pred: DataFrame) -> DataFrame:
-    """Latest score of each requested id that has one, in request order, with the order columns."""
+def bulk_found(request: DataFrame, latest: DataFrame) -> DataFrame:
+    """Latest score of each requested id that has one, in request order, with the order columns. ``latest`` has a
+    row per customer; the join is planned by the request's measured size."""
     order = _order(request)
-    return latest_scores(_requested(request, pred)).join(request.select(ID_COL, *order), ID_COL).orderBy(*order, ID_COL)
+    return latest.select(*PREDICTION_COLUMNS).join(request.select(ID_COL, *order), ID_COL).orderBy(*order, ID_COL)
 
 
-def bulk_not_found(request: DataFrame, pred: DataFrame) -> DataFrame:
+def bulk_not_found(request: DataFrame, latest: DataFrame) -> DataFrame:
     """Requested ids without a score, in request order, with the order columns."""
-    scored = _requested(request, pred).select(ID_COL).distinct()
-    return request.join(scored, ID_COL, "left_anti").orderBy(*_order(request), ID_COL)
+    return request.join(latest.select(ID_COL), ID_COL, "left_anti").orderBy(*_order(request), ID_COL)
 
 
-def bulk_summary(request: DataFrame, pred: DataFrame) -> DataFrame:
+def bulk_summary(request: DataFrame, latest: DataFrame) -> DataFrame:
     """Requested and found counts."""
-    found = _requested(request, pred).select(ID_COL).distinct().withColumn("_found", F.lit(1))
+    found = latest.select(ID_COL, F.lit(1).alias("_found"))
     j = request.select(ID_COL).join(found, ID_COL, "left")
     return j.agg(F.count(F.lit(1)).alias("total_requested"), F.count("_found").alias("total_found"))
 

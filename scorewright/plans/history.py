@@ -35,6 +35,7 @@ class History:
     gates: DataFrame  # one row per run
     stats: DataFrame  # one row per run
     predictions: DataFrame  # rows of passed runs (the stored table)
+    latest: DataFrame  # latest score per customer, merged run by run as the job does
     pairs: DataFrame  # run_id -> ref_run_id
     psi_breakdown: DataFrame
     psi: DataFrame
@@ -123,5 +124,8 @@ def build(
     )
     events = cut_lineage(events, "run_events")  # a few rows a run; every run query starts from them
     folded = cut_lineage(store.fold_runs(events), "runs")
-    return History(scored, gates, stats, pred, pairs, breakdown, psi, events, folded, store.run_summary(folded))
+    latest = pred.limit(0)
+    for r in passed.orderBy("started_at", "run_id").select("run_id").collect():  # a merge a run, as nights pass
+        latest = cut_lineage(store.merge_latest(latest, pred.filter(F.col("run_id") == r["run_id"])), "latest")
+    return History(scored, gates, stats, pred, latest, pairs, breakdown, psi, events, folded, store.run_summary(folded))
 

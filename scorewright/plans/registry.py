@@ -360,12 +360,12 @@ def q_w14(spark, sf_dir):
 
 @query("w1_latest_scores")
 def q_w1(spark, sf_dir):
-    return store.latest_scores(history(spark, sf_dir).predictions)
+    return history(spark, sf_dir).latest
 
 
 @query("w8_score_by_customer")
 def q_w8(spark, sf_dir):
-    return store.score_for(history(spark, sf_dir).predictions, LOOKUP_CUSTOMER)
+    return store.score_for(history(spark, sf_dir).latest, LOOKUP_CUSTOMER)
 
 
 @query("w15_high_risk")
@@ -385,17 +385,17 @@ def q_w11(spark, sf_dir):
 
 @query("j3_bulk_found")
 def q_j3(spark, sf_dir):
-    return store.bulk_found(request_ids(spark, sf_dir), history(spark, sf_dir).predictions)
+    return store.bulk_found(request_ids(spark, sf_dir), history(spark, sf_dir).latest)
 
 
 @query("j4_bulk_not_found")
 def q_j4(spark, sf_dir):
-    return store.bulk_not_found(request_ids(spark, sf_dir), history(spark, sf_dir).predictions)
+    return store.bulk_not_found(request_ids(spark, sf_dir), history(spark, sf_dir).latest)
 
 
 @query("j8_bulk_summary")
 def q_j8(spark, sf_dir):
-    return store.bulk_summary(request_ids(spark, sf_dir), history(spark, sf_dir).predictions)
+    return store.bulk_summary(request_ids(spark, sf_dir), history(spark, sf_dir).latest)
 
 
 @query("w5_runs_page")

@@ -65,20 +65,22 @@ def _pred(spark):
 def test_latest_scores(spark):
     got = {r["customer_id"]: r["run_id"] for r in store.latest_scores(_pred(spark)).collect()}
     assert got == {"c1": "r2", "c2": "r1", "c3": "r1"}
-    assert store.score_for(_pred(spark), "c1").first()["churn_probability"] == 0.8
-    assert store.score_for(_pred(spark), "zz").count() == 0
+    latest = store.latest_scores(_pred(spark))
+    assert store.score_for(latest, "c1").first()["churn_probability"] == 0.8
+    assert store.score_for(latest, "zz").count() == 0
 
 
 def test_bulk_lookup_parse_dedupe_and_split(spark):
+    latest = store.latest_scores(_pred(spark))
     text = spark.createDataFrame([("c2\n  c1 \n\nzz\nc2\n",)], "t string")
     ids = store.parse_id_text(text, "t")
     assert [r["customer_id"] for r in ids.orderBy("pos").collect()] == ["c2", "c1", "zz", "c2"]
     req = store.dedupe_ids(ids, ["pos"])
     assert [r["customer_id"] for r in req.orderBy("pos").collect()] == ["c2", "c1", "zz"]
-    found = {r["customer_id"]: r["run_id"] for r in store.bulk_found(req, _pred(spark)).collect()}
+    found = {r["customer_id"]: r["run_id"] for r in store.bulk_found(req, latest).collect()}
     assert found == {"c1": "r2", "c2": "r1"}  # the latest run of each requested customer
-    assert [r["customer_id"] for r in store.bulk_not_found(req, _pred(spark)).collect()] == ["zz"]
-    s = store.bulk_summary(req, _pred(spark)).first()
+    assert [r["customer_id"] for r in store.bulk_not_found(req, latest).collect()] == ["zz"]
+    s = store.bulk_summary(req, latest).first()
     assert (s["total_requested"], s["total_found"]) == (3, 2)
 
 
@@ -92,9 +94,10 @@ def test_a_long_request_is_refused_not_cut(spark):
 
 
 def test_bulk_results_keep_request_order(spark):
+    latest = store.latest_scores(_pred(spark))
     req = spark.createDataFrame([("zz", 0), ("c3", 1), ("aa", 2), ("c1", 3), ("c2", 4)], "customer_id string, pos int")
-    assert [r["customer_id"] for r in store.bulk_found(req, _pred(spark)).collect()] == ["c3", "c1", "c2"]
-    assert [r["customer_id"] for r in store.bulk_not_found(req, _pred(spark)).collect()] == ["zz", "aa"]
+    assert [r["customer_id"] for r in store.bulk_found(req, latest).collect()] == ["c3", "c1", "c2"]
+    assert [r["customer_id"] for r in store.bulk_not_found(req, latest).collect()] == ["zz", "aa"]
 
 
 def test_a_later_attempt_replaces_every_field(spark):
