@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.llm.common import bound_batches, by_bytes, texts
-from scorewright.llm.pretoken import pretokens
+from scorewright.llm.pretoken import cut, pretokens
 
 MAX_MEMO = 600_000
 NONE = 1 << 30
@@ -171,6 +171,18 @@ class Vocabulary:
 
     def encode(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
+        parts = [list(cut(x)) for x in items]
+        flat, out, many = [y for p in parts for y in p], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for a, b in by_bytes(flat):
+            ids, n = self._encode(flat[a:b])
+            out.append(ids)
+            many.append(n)
+        owner = np.repeat(np.arange(len(items)), [len(p) for p in parts])
+        n = np.zeros(len(items), np.int64)
+        np.add.at(n, owner, np.concatenate(many))
+        return np.concatenate(out), n
+
+    def _encode(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces, n = pretokens(items)
         if len(self.memo) > MAX_MEMO:
             self.forget()

@@ -9,6 +9,7 @@ texts of a batch compose through a parallel prefix scan, after which each chunk
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -115,3 +116,28 @@ def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
     last = np.cumsum(n)[n > 0] - 1
     stop[last] = ends[n > 0]
     return [joined[a:b] for a, b in zip(begin.tolist(), stop.tolist())], n
+
+
+def _safe(pieces: list[str]) -> list[str]:
+    """Pre-tokens of a part of a text that are the same in the whole text and by themselves. The pattern looks ahead
+    three characters at most, so the last ones may go on; and white space is taken otherwise at the end of a text."""
+    pieces = pieces[:-4]
+    while pieces and pieces[-1][-1].isspace():
+        pieces = pieces[:-1]
+    return pieces
+
+
+def cut(text: str, limit: int = 1 << 22) -> Iterator[str]:
+    """A long text in parts of about ``limit`` characters that end where pre-tokens do, so that a text of any length
+    needs the memory of one part. A run longer than that is one part."""
+    at = 0
+    while len(text) - at > limit:
+        size = limit
+        while not (pieces := _safe(pretokens([text[at : at + size]])[0])) and at + size < len(text):
+            size *= 2
+        if not pieces:
+            break
+        n = sum(map(len, pieces))
+        yield text[at : at + n]
+        at += n
+    yield text[at:]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.llm.common import bound_batches, by_bytes, texts
-from scorewright.llm.pretoken import pretokens
+from scorewright.llm.pretoken import cut, pretokens
 
 MAX_STATES = 200_000
 MAX_MEMO = 700_000
@@ -133,16 +133,18 @@ class Transducer:
             for s in self.special:  # a special string is one token and parts what is around it
                 segments = [y for z in segments for y in z.split(s)]
             out[i] = len(segments) - 1
+            segments = [y for z in segments for y in cut(z)]
             parts += segments
             owner += [i] * len(segments)
-        pieces, n = pretokens(parts)
-        memo = self.memo
-        if len(memo) > MAX_MEMO:
-            memo.clear()
-        for p in set(pieces).difference(memo):
-            memo[p] = self.count(p)
-        each = np.fromiter(map(memo.__getitem__, pieces), np.int64, len(pieces))
-        np.add.at(out, np.repeat(np.array(owner, np.int64), n), each)
+        memo, owner = self.memo, np.array(owner, np.int64)
+        for a, b in by_bytes(parts):
+            pieces, n = pretokens(parts[a:b])
+            if len(memo) > MAX_MEMO:
+                memo.clear()
+            for p in set(pieces).difference(memo):
+                memo[p] = self.count(p)
+            each = np.fromiter(map(memo.__getitem__, pieces), np.int64, len(pieces))
+            np.add.at(out, np.repeat(owner[a:b], n), each)
         return out
 
 

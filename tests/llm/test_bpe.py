@@ -47,6 +47,25 @@ def test_pretokens_follow_the_pattern():
     assert at == len(pieces)
 
 
+@pytest.mark.parametrize("limit", [8, 50])
+def test_long_texts_are_cut_between_pretokens(limit):
+    for x in TEXTS[:400] + ["", "y" * 300, " " * 90 + "'re" * 40]:
+        parts = list(pretoken.cut(x, limit))
+        assert "".join(parts) == x
+        assert [p for y in parts for p in pretoken.pretokens([y])[0]] == pretoken.pretokens([x])[0], x
+
+
+def test_results_of_texts_in_parts(reference, monkeypatch):
+    for module in (bpe, token_count):
+        monkeypatch.setattr(module, "cut", lambda x: pretoken.cut(x, 40))
+    some = TEXTS[:200]
+    ids, n = bpe.Vocabulary(RANKS).encode(some)
+    assert n.tolist() == [len(reference.encode_ordinary(x)) for x in some]
+    assert ids.tolist() == [i for x in some for i in reference.encode_ordinary(x)]
+    want = [len(e.ids) for e in Tokenizer.from_file(JSON).encode_batch(some, add_special_tokens=False)]
+    assert token_count.Transducer(JSON).counts(some).tolist() == want
+
+
 def test_state_maps_compose():
     kinds = np.random.default_rng(0).integers(0, pretoken.N, (pretoken.N, 300), dtype=np.uint8)
     maps = pretoken.compose_scan(kinds)
