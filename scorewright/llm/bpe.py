@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from scorewright.llm.common import bound_batches, by_bytes, texts
 from scorewright.llm.pretoken import cut, pretokens
 
-MAX_MEMO = 600_000
+MAX_MEMO = 300_000
 NONE = 1 << 30
 
 
@@ -208,8 +208,26 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, ranks: str, text: str = "text") -> DataFrame:
-    """doc_id and the token ids of each text as ``ids``, without special tokens.
+def _lists(n: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(values))
+
+
+def _decoded(v: Vocabulary, lists: pa.ListArray) -> pa.Array:
+    """The bytes of each list of ids; null gives none."""
+    ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    n = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    size = np.append(0, np.cumsum(v.length[ids]))
+    offsets = np.append(0, size[np.cumsum(n)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(v.decode(ids))])
+
+
+def _id_type(df: DataFrame) -> str:
+    return df.schema["doc_id"].dataType.simpleString()
+
+
+def encode(docs: DataFrame, ranks: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """doc_id and the token ids of each text as ``ids``, without special tokens; with ``decoded`` also the bytes that
+    the ids decode to, in the same task.
 
     ``ranks`` is the path of a rank file that exists on every machine. A null or empty text has no ids; rows come out
     one for one, also repeated ones and those without doc_id; other columns are left out, whatever their names.
@@ -222,11 +240,13 @@ def encode(docs: DataFrame, ranks: str, text: str = "text") -> DataFrame:
             items = texts(batch)
             for a, b in by_bytes(items):
                 ids, n = v.encode(items[a:b])
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), lists], ["doc_id", "ids"])
+                out = {"doc_id": batch.column("doc_id").slice(a, b - a), "ids": _lists(n, ids)}
+                if decoded:
+                    out["decoded"] = _decoded(v, out["ids"])
+                yield pa.RecordBatch.from_pydict(out)
 
     kept = docs.select("doc_id", F.col(text).alias("text"))
-    return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return kept.mapInArrow(run, f"doc_id {_id_type(kept)}, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
@@ -236,14 +256,7 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(ranks)
         for batch in batches:
-            lists = batch.column("ids")
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            n = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            size = np.append(0, np.cumsum(v.length[ids]))
-            ends = np.cumsum(n)
-            offsets = np.append(0, size[ends]).astype(np.int32)
-            decoded = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(v.decode(ids))])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, decoded], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "ids": batch.column("ids"), "decoded": _decoded(v, batch.column("ids"))})
 
     kept = encoded.select("doc_id", "ids")
-    return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+    return kept.mapInArrow(run, f"doc_id {_id_type(kept)}, ids array<int>, decoded binary")

@@ -14,7 +14,7 @@ A_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # fixed: digits, lower-case ASCII letters and everything beyond ASCII
 
 BATCH_ROWS = 4000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,7 +64,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Arrow batches of a few MB whatever the length of the texts, unless the launcher chose otherwise."""
+    """Arrow batches of about BATCH_BYTES whatever the length of the texts, unless the launcher chose otherwise."""
     launched = spark.sparkContext.getConf()
     for k, v in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         if not launched.contains(k := f"spark.sql.execution.arrow.{k}"):

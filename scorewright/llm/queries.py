@@ -26,7 +26,7 @@ PSEUDONYM_KEY = "scorewright demonstration key"
 def bpe_digests(docs: DataFrame) -> DataFrame:
     ranks = public_tokenizers.path(BPE_RANKS)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bpe.decode(bpe.encode(docs, ranks), ranks).select(
+    return bpe.encode(docs, ranks, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),

@@ -130,6 +130,13 @@ def test_digests(spark, reference):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_decode_is_the_same_in_a_step_of_its_own(spark):
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(TEXTS[:50])] + [(None, None)], "doc_id long, text string")
+    one = bpe.encode(d, RANKS, decoded=True)
+    two = bpe.decode(bpe.encode(d, RANKS), RANKS)
+    assert one.exceptAll(two).isEmpty() and {bytes(r.decoded) for r in two.collect()} == {x.encode() for x in TEXTS[:50]} | {b""}
+
+
 def test_counts_equal_the_library():
     t = token_count.Transducer(JSON)
     want = [len(e.ids) for e in Tokenizer.from_file(JSON).encode_batch(TEXTS, add_special_tokens=False)]
