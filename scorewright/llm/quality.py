@@ -110,11 +110,13 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> Model:
     spread = np.log((1 + len(rows)) / (1 + (rows > 0).sum(0)))
     weight = np.where((rows > 0).any(0), spread + 0.2, 0).astype(np.float32)
     weight[SHAPES:-1] *= 0.3
-    x = profile(rows, weight)
-    values, axes = np.linalg.eigh(x.T.astype(np.float64) @ x)
-    keep = min(DIMENSIONS, TERMS)
-    model = Model(weight, axes[:, ::-1][:, :keep].astype(np.float32), np.zeros((0, keep), np.float32), labels.astype(np.float64))
-    model.vectors = model.latent(rows)
+    square = np.zeros((TERMS, TERMS))
+    for i in range(0, len(rows), BLOCK):
+        x = profile(rows[i : i + BLOCK], weight).astype(np.float64)
+        square += x.T @ x
+    axes = np.linalg.eigh(square)[1][:, ::-1][:, :DIMENSIONS].astype(np.float32)
+    model = Model(weight, axes, np.zeros((0, DIMENSIONS), np.float32), labels.astype(np.float64))
+    model.vectors = np.concatenate([model.latent(rows[i : i + BLOCK]) for i in range(0, len(rows), BLOCK)])
     return model
 
 
@@ -133,14 +135,15 @@ def learn(docs: DataFrame, labels: DataFrame, eligible: Column, text: str = "tex
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [counts(x) for x in texts(batch)]
-            at = [np.flatnonzero(r) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("label"), pa.array(at, pa.list_(pa.int64())), pa.array([r[i] for r, i in zip(rows, at)], pa.list_(pa.float32()))], ["id", "label", "at", "n"])
+            at = [np.flatnonzero(r).astype(np.int16) for r in rows]
+            some = [pa.array([a.tobytes() for a in x], pa.binary()) for x in (at, [r[i] for r, i in zip(rows, at)])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("label"), *some], ["id", "label", "at", "n"])
 
     bound_batches(docs.sparkSession)
-    found = sorted(kept.mapInArrow(count, "id string, label double, at array<long>, n array<float>").collect())
+    found = sorted(kept.mapInArrow(count, "id string, label double, at binary, n binary").collect())
     rows = np.zeros((len(found), TERMS), np.float32)
     for row, r in zip(rows, found):
-        row[r.at] = r.n
+        row[np.frombuffer(r.at, np.int16)] = np.frombuffer(r.n, np.float32)
     return fit(rows, np.array([r.label for r in found], np.float64))
 
 
