@@ -65,6 +65,7 @@ PSI_N_BINS = 10
 PSI_EPSILON = 1e-6
 GBT_TREES = 500
 GBT_LEARNING_RATE = 0.05
+GBT_STOPPING_ROUNDS = 50
 GATE_MIN_SCORED_FRACTION = 0.9
 GATE_MAX_NULL_SCORE_PCT = 0.001
 GATE_MIN_STD = 0.01
@@ -98,6 +99,7 @@ class JobConfig:
     val_fraction: float = 0.15
     n_trees: int = GBT_TREES
     learning_rate: float = GBT_LEARNING_RATE
+    stopping_rounds: int = GBT_STOPPING_ROUNDS  # so many rounds without gain on the validation rows end the fit
     max_depth: int = 5
     max_training_rows: int | None = None  # about so many labelled rows are drawn for the fit; None: all
     gates: GateConfig = field(default_factory=GateConfig)

@@ -58,9 +58,36 @@ def assemble(matrix: DataFrame, out: str = "features", feature_cols: list[str] =
     return VectorAssembler(inputCols=list(feature_cols), outputCol=out).transform(filled)
 
 
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """The round of least loss (from 1) up to where ``patience`` rounds brought no gain, and whether that came."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model, n: int):
+    """``model`` with its first ``n`` trees alone."""
+    from pyspark import SparkContext
+    from pyspark.ml.classification import GBTClassificationModel
+
+    whole, jvm = model._java_obj, SparkContext._active_spark_context._jvm
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        whole.uid(), whole.trees()[0:n], whole.treeWeights()[0:n], whole.numFeatures(), whole.numClasses()
+    )
+    return GBTClassificationModel(whole.copyValues(cut, whole.extractParamMap()))
+
+
 def train_gbt(train_val: DataFrame, cfg: JobConfig = JobConfig()):
-    """M5: GBT on train rows with balanced class weights, validation rows for early stopping (by log loss on the
-    validation indicator, with tolerance; Spark has no round-count patience).
+    """M5: GBT on train rows with balanced class weights; the model has the trees up to the round of least log loss
+    (weighted by class as well) on the validation rows, after which ``cfg.stopping_rounds`` rounds brought no gain.
+
+    Spark's own stop has no patience: it ends at the first round that gains less than a tolerance, with a small step
+    the second. So a first fit has rounds enough to see the stop; where it does not come, a second has all. Without
+    validation rows all trees stay.
 
     Trees, step and depth are ``cfg``'s; so is a bound on the rows of the fit, which draws them by the split's hash. The
     assembled rows are written once: every level of every tree scans them."""
@@ -72,23 +99,30 @@ def train_gbt(train_val: DataFrame, cfg: JobConfig = JobConfig()):
     weights = class_weights(train_val.filter(F.col("split") == "train"))
     data = assemble(train_val).join(F.broadcast(weights.select(TARGET_COL, "weight")), TARGET_COL)  # a row a class
     data = data.select("features", "weight", (F.col("split") == "val").alias("is_val"), F.col(TARGET_COL).cast("double").alias("label"))
+    data = cut_lineage(data, "training_input")
+    train, val = data.filter(~F.col("is_val")), data.filter("is_val")
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
-        validationIndicatorCol="is_val",
         maxIter=cfg.n_trees,
         maxDepth=cfg.max_depth,
         stepSize=cfg.learning_rate,
         subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
         seed=cfg.seed,
-        validationTol=0.001,
         maxMemoryInMB=1024,
         cacheNodeIds=True,
         checkpointInterval=10,
     )
-    return gbt.fit(cut_lineage(data, "training_input"))
+    if val.isEmpty():
+        return gbt.fit(train)
+    for n in sorted({min(2 * cfg.stopping_rounds, cfg.n_trees), cfg.n_trees}):
+        model = gbt.setMaxIter(n).fit(train)
+        best, stopped = best_round(model.evaluateEachIteration(val), cfg.stopping_rounds)
+        if stopped:
+            break
+    return first_trees(model, best)
 
 
 def importances(model, feature_cols: list[str] = FEATURE_COLUMNS, top: int = 15) -> list[tuple[str, float]]:

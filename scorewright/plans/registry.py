@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,6 @@ CFG = JobConfig()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 LOOKUP_CUSTOMER = "42"  # W8 parameter
-CHECK_TREES = 30  # trees of the models trained by queries; the training job's default is JobConfig.n_trees
 PAGE, PAGE_SIZE = 2, 2  # W5 parameters
 HIST_RUN_A, HIST_RUN_B = RN.RUNS[0].run_id, RN.RUNS[3].run_id
 
@@ -541,7 +539,7 @@ def gbt_model(spark, sf_dir):
 
     def build():
         s = split_frame(spark, sf_dir)
-        return s, M.train_gbt(s.filter(F.col("split") != "test"), replace(CFG, n_trees=CHECK_TREES))
+        return s, M.train_gbt(s.filter(F.col("split") != "test"), CFG)
 
     return _memo(spark, sf_dir, "gbt", build)
 
