@@ -8,18 +8,26 @@ from pyspark.sql import functions as F
 from scorewright.llm.common import row_key, stored, words
 
 WINDOW = 13
-BROADCAST_WINDOWS = 200_000  # of about 150 bytes; more windows than that are joined by a shuffle
+BROADCAST_WINDOWS = 200_000  # of about 150 bytes, and (window, item) pairs; more than that are joined by a shuffle
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # fixed: the words before A-Z are lower-cased
 
 
-def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct windows of the items: their words, length, hash and the items that hold them. An item of fewer words
-    than ``window`` is one window; one without words has none."""
+def item_windows(benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Distinct windows of the items (number, length, hash and words), and the distinct pairs of a window's number and
+    an item that holds it. An item of fewer words than ``window`` is one window; one without words has none. No row
+    holds a list of items; items without id have no pairs."""
     w = benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
     w = w.select("item_id", "w", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))).alias("at"))
     w = w.select("item_id", F.slice("w", F.col("at") + 1, window).alias("gram"))
-    w = w.groupBy("gram").agg(F.collect_set("item_id").alias("items"))
-    return stored(w.select(F.size("gram").alias("len"), F.xxhash64("gram").alias("hash"), "gram", "items"), "windows")
+    grams = w.select("gram").distinct().select(F.monotonically_increasing_id().alias("window"), F.size("gram").alias("len"), F.xxhash64("gram").alias("hash"), "gram")
+    windows = bounded(stored(grams, "windows"))
+    pairs = w.where(F.col("item_id").isNotNull()).distinct().join(windows, "gram").select("window", "item_id")
+    return windows, bounded(stored(pairs, "window-items"))
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_WINDOWS else df
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -28,12 +36,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
 
     Each document gives one row for itself and one for every place of a window's length; places are looked up in the
     hash set of windows and verified word by word. All rows of a document come from one task and only itself and its
-    hits are shuffled. Null and empty texts have no words and no hits; repeated rows and rows without doc_id are each
+    hits, as places and window numbers, are shuffled; the items of each of its distinct windows are then looked up. Null and empty texts have no words and no hits; repeated rows and rows without doc_id are each
     scanned; other columns are left out. Items without words or without id hit as others do, the latter unlisted.
     """
-    windows = item_windows(benchmark, window)
-    if windows.count() <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
+    windows, pairs = item_windows(benchmark, window)
     lengths = sorted(r.len for r in windows.select("len").distinct().collect())  # at most ``window`` numbers
     d = docs.select("doc_id", *row_key(F.col("text"), F.col("doc_id")), F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("w"))
     d = d.select("*", F.size("w").alias("n"), F.explode(F.array(*map(F.lit, [0, *lengths]))).alias("len"))
@@ -43,11 +49,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     d = d.select("row", "doc_id", "key1", "key2", "n", "len", "at", own.alias("own"))
     d = d.withColumn("hash", F.when(F.col("at") < 0, F.col("row")).otherwise(F.xxhash64("own")))
     found = d.join(windows, (d.hash == windows.hash) & (d.len == windows.len) & (d.own == windows.gram), "left")
-    found = found.where((F.col("at") < 0) | F.col("items").isNotNull())
-    hit = F.when(F.col("at") >= 0, F.struct("at", (F.col("at") + d.len - 1).alias("last"), "items"))
-    per = found.groupBy("row", "doc_id", "key1", "key2", "n").agg(F.collect_list(hit).alias("hits"))
+    found = found.where((F.col("at") < 0) | F.col("window").isNotNull())
+    hit = F.when(F.col("at") >= 0, F.struct("at", (F.col("at") + d.len - 1).alias("last")))
+    per = found.groupBy("row", "doc_id", "key1", "key2", "n").agg(F.collect_list(hit).alias("hits"), F.collect_set("window").alias("held"))
+    per = stored(per, "hits")  # the numbers of rows stay
+    items = per.select("row", F.explode("held").alias("window")).join(pairs, "window").groupBy("row", F.col("item_id").cast("string").alias("item")).agg(F.lit(1))
+    per = per.join(items.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("item_ids")), "row", "left")
     covered = F.array_distinct(F.flatten(F.transform("hits", lambda x: F.sequence(x["at"], x["last"]))))
-    ids = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["items"]))).cast("array<string>"))
+    ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return per.select("doc_id", "key1", "key2", F.col("n").cast("long").alias("n_words"), F.size(covered).cast("long").alias("n_hit"), ids.alias("item_ids"), F.array_sort(covered).alias("hit_words"))
 
 
