@@ -124,13 +124,14 @@ def learn(docs: DataFrame, labels: DataFrame, eligible: Column, text: str = "tex
     """Model of a sample of the labelled documents for whose doc_id ``eligible`` holds.
 
     About ``limit`` labels are drawn by a hash of doc_id; fewer are all taken. Only the drawn ids are joined with the
-    texts, and only their term counts come to the driver. A doc_id labelled more than once has its lowest label; null
-    labels and null texts teach nothing."""
+    texts, and only their term counts come to the driver. A doc_id labelled more than once has its lowest label, one with
+    several rows gives one text, chosen by hash; null labels and null texts teach nothing."""
     known = labels.where(eligible & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
     n = known.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
     drawn = F.broadcast(known.where(draw < limit / max(n, 1)))
-    kept = docs.select("doc_id", F.col(text).alias("text")).where(F.col("text").isNotNull()).join(drawn, "doc_id").select("doc_id", "text", "label")
+    kept = docs.select("doc_id", F.col(text).alias("text")).where(F.col("text").isNotNull()).join(drawn, "doc_id")
+    kept = kept.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.hash("text"))).alias("text")).select("doc_id", "text", "label")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

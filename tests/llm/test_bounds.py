@@ -1,8 +1,10 @@
 """Bounds of what is broadcast, collected or dealt to one task."""
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from scorewright.llm import decontam
+from scorewright.llm import decontam, quality
 
 
 @pytest.mark.parametrize("broadcast", [0, 10**6])
@@ -18,3 +20,12 @@ def test_windows_that_many_items_share_hold_no_lists(spark, monkeypatch, broadca
     found = sorted((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in decontam.scan(docs, bench, 4).collect())
     every = sorted(map(str, range(40)))
     assert found == [(1, 6, 6, every), (1, 14, 12, every), (2, 8, 4, sorted(str(i) for i in range(0, 40, 3))), (3, 1, 0, [])]
+
+
+def test_repeated_rows_of_a_doc_id_vote_once(spark):
+    rows = [(i, f"word{i} some text") for i in range(20)] + [(3, f"copy {i % 5}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    learn = lambda rows: quality.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels, F.lit(True))
+    model, again = learn(rows), learn(rows[::-1])
+    assert len(model.vectors) == 20 and model.labels.sum() == 10
+    assert np.array_equal(model.vectors, again.vectors)
