@@ -9,6 +9,9 @@ word by word. A phrase that is mandatory as a whole is thus found at every place
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,19 +80,26 @@ def anchors(template: Template, counts: dict[str, int]) -> list[int]:
 def index(docs: DataFrame, templates: tuple[Template, ...], base: int, text: str = "text") -> DataFrame:
     """Postings of the anchors: word, place in the template, and what verification needs. A few dozen rows."""
     counts = document_counts(docs, sorted({w for t in templates for w in t.text.split()}), text)
-    rows = []
+    rows, most = [], most_phrases(templates)
     for number, t in enumerate(templates):
         its = t.text.split()
-        first, second = (spans(t) * 2)[:2]
+        if not t.mandatory:
+            raise ValueError(f"{t.label}: no mandatory phrase")
         chosen = anchors(t, counts)
-        rows += [(its[i], number, t.label, number < base, i, len(chosen), its, *first, *second) for i in chosen]
-    schema = "word string, template int, label string, base boolean, offset int, need int, its array<string>, at1 int, n1 int, at2 int, n2 int"
+        rows += [(its[i], number, t.label, number < base, i, len(chosen), its, *chain(*(spans(t) * most)[:most])) for i in chosen]
+    schema = "word string, template int, label string, base boolean, offset int, need int, its array<string>" + "".join(f", at{k} int, n{k} int" for k in range(most))
     return docs.sparkSession.createDataFrame(rows, schema)
 
 
-def _phrase(at: str, n: str) -> Column:
-    """Whether the file's words at an alignment have a mandatory phrase of the template."""
-    return F.slice("w", F.col("start") + F.col(at) + 1, F.col(n)) == F.slice("its", F.col(at) + 1, F.col(n))
+def most_phrases(templates: tuple[Template, ...]) -> int:
+    return max((len(t.mandatory) for t in templates), default=0)
+
+
+def _phrases(most: int) -> Column:
+    """Whether the file's words at an alignment have all mandatory phrases of the template. One condition a phrase:
+    F.forall is interpreted and would copy all words of the file for each."""
+    same = (F.slice("w", F.col("start") + F.col(f"at{k}") + 1, F.col(f"n{k}")) == F.slice("its", F.col(f"at{k}") + 1, F.col(f"n{k}")) for k in range(most))
+    return reduce(and_, same, F.lit(True))
 
 
 def scan(docs: DataFrame, base: tuple[Template, ...] = BASE, more: tuple[Template, ...] = NOTICES, text: str = "text") -> DataFrame:
@@ -107,7 +117,7 @@ def scan(docs: DataFrame, base: tuple[Template, ...] = BASE, more: tuple[Templat
     d = d.join(postings, "word", "left").where((F.col("at") < 0) | F.col("template").isNotNull())
     d = d.withColumn("start", F.col("at") - F.col("offset"))
     inside = (F.col("start") >= 0) & (F.col("start") + F.size("its") <= F.col("n"))
-    d = d.where((F.col("at") < 0) | (inside & F.when(inside, _phrase("at1", "n1") & _phrase("at2", "n2")).otherwise(False)))
+    d = d.where((F.col("at") < 0) | (inside & F.when(inside, _phrases(most_phrases((*base, *more)))).otherwise(False)))
     aligned = F.when(F.col("at") >= 0, F.slice("w", F.col("start") + 1, F.size("its")))
     d = d.select("row", "doc_id", "n", "template", "label", "base", "start", "need", "its", aligned.alias("own"))
     d = d.groupBy("row", "doc_id", "n", "template", "start").agg(F.first("label").alias("label"), F.first("base").alias("base"), F.first("need").alias("need"), F.first("its").alias("its"), F.first("own").alias("own"), F.count("*").alias("votes"))

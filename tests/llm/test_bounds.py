@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorewright.llm import decontam, quality
+from scorewright.llm import decontam, license_scan, quality
 
 
 @pytest.mark.parametrize("broadcast", [0, 10**6])
@@ -29,3 +29,12 @@ def test_repeated_rows_of_a_doc_id_vote_once(spark):
     model, again = learn(rows), learn(rows[::-1])
     assert len(model.vectors) == 20 and model.labels.sum() == 10
     assert np.array_equal(model.vectors, again.vectors)
+
+
+def test_all_mandatory_phrases_of_a_template_are_verified(spark):
+    t = license_scan.Template("x", "one two and three four and five six and seven", ("one two", "three four", "five six", "seven"))
+    # The third phrase has its words in other places; the words of the others stand where they should.
+    texts = [t.text, t.text.replace("five six", "six five"), t.text.replace("seven", "eight"), t.text.replace("and", "or")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: len(r.matches) for r in license_scan.scan(docs, (t,), ()).collect()}
+    assert found == {0: 1, 1: 0, 2: 0, 3: 1}
