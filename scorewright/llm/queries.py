@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, quality, simhash, token_count
+from scorewright.llm import bpe, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, prefix_trie, quality, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -19,6 +19,7 @@ SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
 LINE_MIN_CHARS = 1
 LINE_MIN_DOCS = 10
+HEAD_TURNS = 9
 QUALITY_THRESHOLD = 0.3
 PSEUDONYM_KEY = "scorewright demonstration key"
 
@@ -112,6 +113,22 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read(spark, sf_dir, "documents"), PSEUDONYM_KEY).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
 
 
+def rebuilt(sequences: DataFrame) -> DataFrame:
+    """conv_id and turns: the first h turns of conversation c - c % 5, then what follows the first h of c's own, where
+    h is the CRC-32 of c as text, modulo HEAD_TURNS."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEAD_TURNS).cast("int")
+    heads = sequences.select(F.col("conv_id").alias("base"), F.slice("turns", 1, HEAD_TURNS - 1).alias("head"))
+    joined = sequences.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5).join(heads, "base", "left")
+    none = F.array().cast(prefix_trie.TURNS)
+    head = F.slice(F.coalesce("head", none), F.lit(1), h)
+    return joined.select("conv_id", F.concat(head, F.slice("turns", h + 1, F.size("turns") + 1)).alias("turns"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.prefix_nodes(rebuilt(prefix_trie.turn_sequences(read(spark, sf_dir, "conversations"))))
+    return nodes.withColumn("depth", F.col("depth").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -123,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 _LOWER = f"'{A_Z}', '{A_Z.lower()}'"
@@ -159,6 +177,11 @@ FROM d LEFT JOIN b USING (doc_id) LEFT JOIN bl USING (doc_id) LEFT JOIN al USING
 """
 
 
+# CRC-32 of a number's decimal text: all bits at first set, each byte takes part and is followed by eight shifts.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''),
+  lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+  WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END))"""
+
 ORACLE: dict[str, str] = {
     "op3_license_scan": _license_sql(),
     "op5_decontamination": f"""
@@ -188,5 +211,24 @@ frequent AS (SELECT key, true AS gone FROM k WHERE length(key) >= {LINE_MIN_CHAR
 SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN frequent USING (key) GROUP BY doc_id
+""",
+    "op13_conversation_trie": f"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+dict AS (SELECT role, text, row_number() OVER () AS id, strlen(text) AS size FROM (SELECT DISTINCT role, text FROM t)),
+s AS (SELECT c, list({{'id': id, 'size': size}} ORDER BY turn NULLS FIRST, t.role, md5(strlen(t.role) || ':' || t.role || t.text)) AS turns
+  FROM t JOIN dict USING (role, text) GROUP BY c),
+h AS (SELECT c, turns, c - c % 5 AS base, {_CRC32} % {HEAD_TURNS} AS h FROM s),
+r AS (SELECT h.c, list_concat(coalesce(b.turns, [])[1 : h.h], h.turns[h.h + 1 : ]) AS turns FROM h LEFT JOIN s b ON b.c = h.base),
+p AS (SELECT c, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM r),
+k AS (SELECT c, n, depth, sha256(list_transform(turns[1 : depth], lambda x: x.id)::VARCHAR) AS key,
+  sha256(list_transform(turns[1 : depth - 1], lambda x: x.id)::VARCHAR) AS parent, CASE WHEN depth > 0 THEN turns[depth].size ELSE 0 END AS size FROM p),
+nodes AS (SELECT key, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(parent) AS parent, any_value(size) AS size,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE depth = n), '')) AS ends_sha256 FROM k GROUP BY key, depth),
+kids AS (SELECT parent AS key, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (key, depth)),
+sums AS (SELECT k.key, k.depth, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.size) AS saved_tokens
+  FROM full_nodes f JOIN k ON k.c = f.conv_id AND k.depth <= f.depth GROUP BY ALL)
+SELECT f.conv_id, f.depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN sums USING (key, depth) LEFT JOIN nodes up ON up.key = f.parent AND up.depth = f.depth - 1
 """,
 }
