@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, prefix_trie, quality, simhash, token_count
+from scorewright.llm import bpe, collocations, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, prefix_trie, quality, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -19,6 +19,8 @@ SIMHASH_SHINGLE = 4
 SIMHASH_DISTANCE = 4
 LINE_MIN_CHARS = 1
 LINE_MIN_DOCS = 10
+PHRASE_COUNT = 100
+PHRASES = 2000
 HEAD_TURNS = 9
 QUALITY_THRESHOLD = 0.3
 PSEUDONYM_KEY = "scorewright demonstration key"
@@ -113,6 +115,10 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read(spark, sf_dir, "documents"), PSEUDONYM_KEY).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), PHRASE_COUNT, PHRASES)
+
+
 def rebuilt(sequences: DataFrame) -> DataFrame:
     """conv_id and turns: the first h turns of conversation c - c % 5, then what follows the first h of c's own, where
     h is the CRC-32 of c as text, modulo HEAD_TURNS."""
@@ -140,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
@@ -211,6 +218,25 @@ frequent AS (SELECT key, true AS gone FROM k WHERE length(key) >= {LINE_MIN_CHAR
 SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN frequent USING (key) GROUP BY doc_id
+""",
+    "op11_phrase_collocations": f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_LOWER}) AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM d),
+s AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS place FROM p, (SELECT unnest(range(1, {collocations.LONGEST + 1})) AS size) WHERE len(w) >= size),
+f AS (SELECT lang, array_to_string(w[place : place + size - 1], ' ') AS phrase, size, count(*) AS n FROM s GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, size, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= {PHRASE_COUNT}),
+i AS (SELECT lang, a, w, size, unnest(range(2, size)) AS len FROM c),
+j AS (SELECT lang, a, w, len, unnest(range(1, size - len + 2)) AS place FROM i),
+k AS (SELECT lang, array_to_string(w[place : place + len - 1], ' ') AS phrase, max(a) AS longer FROM j GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN k USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (SELECT lang, phrase, size, a, w, unnest(range(1, size)) AS k FROM kept),
+scored AS (SELECT cuts.*, l.n AS l, r.n AS r, t.n, (1000 * a::HUGEINT * t.n) // (l.n::HUGEINT * r.n) AS score
+  FROM cuts JOIN t USING (lang) JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(w[1 : k], ' ')
+  JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(w[k + 1 : cuts.size], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= {PHRASES}
 """,
     "op13_conversation_trie": f"""
 WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
