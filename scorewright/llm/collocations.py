@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.llm.common import A_Z, bound_batches, shared_dir, stored
-from scorewright.llm.slots import SLOT_BITS, count_slots, slots
+from scorewright.llm.slots import SLOT_BITS, count_slots, few_tasks, slots
 
 SHARDS = 4
 LONGEST = 5
@@ -35,7 +35,7 @@ BORDER = b"."  # stands between pieces, and can't be a word
 PLAIN = bytes.maketrans(ENDS + A_Z.encode(), BORDER * len(ENDS) + A_Z.lower().encode())
 PART = 4 << 20  # bytes of a text that are split into words at once
 WORDS_KEPT = 400_000  # hashes of words that a task keeps
-FLUSH = 200_000  # phrases that a task holds before it passes them on
+FLUSH = 500_000  # phrases that a task holds before it passes them on
 STEP = np.uint64(0xD6E8FEB86659FD93)  # fixed: an odd multiplier
 
 
@@ -209,7 +209,7 @@ def named_counts(docs: DataFrame, frequent, longest: int) -> DataFrame:
         if held:
             yield rows()
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, size int, n long")
+    return few_tasks(docs.select("lang", "text")).mapInArrow(run, "lang string, phrase string, size int, n long")
 
 
 def phrase_counts(docs: DataFrame, least: int, longest: int = LONGEST, shards: int = SHARDS) -> DataFrame:
