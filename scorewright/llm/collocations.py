@@ -34,7 +34,7 @@ SEPARATOR = re.compile(rb"[.,;:!?\n-\r]")
 BORDER = b"."  # stands between pieces, and can't be a word
 PLAIN = bytes.maketrans(ENDS + A_Z.encode(), BORDER * len(ENDS) + A_Z.lower().encode())
 PART = 4 << 20  # bytes of a text that are split into words at once
-WORDS_KEPT = 400_000  # hashes of words that a task keeps
+WORDS_KEPT = 600_000  # hashes of words that a task keeps
 FLUSH = 500_000  # phrases that a task holds before it passes them on
 STEP = np.uint64(0xD6E8FEB86659FD93)  # fixed: an odd multiplier
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm import bpe, collocations, decontam, fingerprint, lang_id, license_scan, line_dedup, pii, prefix_trie, quality, simhash, token_count
+from scorewright.llm import bpe, collocations, decontam, fingerprint, jaccard_join, lang_id, license_scan, line_dedup, pii, prefix_trie, quality, simhash, token_count
 from scorewright.llm.common import A_Z, WORD, read
 
 TOKEN_LIMIT = 1024
@@ -21,6 +21,8 @@ LINE_MIN_CHARS = 1
 LINE_MIN_DOCS = 10
 PHRASE_COUNT = 100
 PHRASES = 2000
+JACCARD_SHINGLE = 5
+JACCARD_PERCENT = 80
 HEAD_TURNS = 9
 QUALITY_THRESHOLD = 0.3
 PSEUDONYM_KEY = "scorewright demonstration key"
@@ -119,6 +121,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"), PHRASE_COUNT, PHRASES)
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), JACCARD_SHINGLE, JACCARD_PERCENT)
+
+
 def rebuilt(sequences: DataFrame) -> DataFrame:
     """conv_id and turns: the first h turns of conversation c - c % 5, then what follows the first h of c's own, where
     h is the CRC-32 of c as text, modulo HEAD_TURNS."""
@@ -147,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
