@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import A_Z, bound_batches, shared_dir, stored
+from scorewright.llm.common import A_Z, bound_batches, shared_dir, shuffles_end_with_jobs, stored
 from scorewright.llm.slots import SLOT_BITS, count_slots, few_tasks, slots
 
 SHARDS = 4
@@ -220,12 +220,13 @@ def phrase_counts(docs: DataFrame, least: int, longest: int = LONGEST, shards: i
     path = os.path.join(shared_dir(spark), "llm", f"shards-{uuid.uuid4().hex}")
     whole = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"))
     schema = "lang string, shard int, words binary"
-    whole.mapInArrow(encode, schema).write.partitionBy("shard").option("compression", "none").parquet(path)
-    coded = spark.read.schema(schema).parquet(path)
-    shard = lambda i: coded.where(F.col("shard") == i).select("lang", "words")
-    frequent = spark.sparkContext.broadcast(frequent_slots(shard, shards, longest, least, spark))
-    counts = named_counts(whole, frequent, longest).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
-    return stored(counts.where(F.col("phrase").isNull() | (F.col("n") >= least)), "phrases")
+    with shuffles_end_with_jobs(spark):
+        whole.mapInArrow(encode, schema).write.partitionBy("shard").option("compression", "none").parquet(path)
+        coded = spark.read.schema(schema).parquet(path)
+        shard = lambda i: coded.where(F.col("shard") == i).select("lang", "words")
+        frequent = spark.sparkContext.broadcast(frequent_slots(shard, shards, longest, least, spark))
+        counts = named_counts(whole, frequent, longest).groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+        return stored(counts.where(F.col("phrase").isNull() | (F.col("n") >= least)), "phrases")
 
 
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, longest: int = LONGEST, absorbed: int = 100) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,6 +64,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_end_with_jobs(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark deletes a job's shuffle files when the job ends, for code that runs no frame's plan twice."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a ``stored`` table that is not needed any more."""
+    spark = df.sparkSession
+    kept = os.path.join(shared_dir(spark), "llm")
+    for path in {os.path.dirname(f) for f in df.inputFiles()}:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if f"{kept.split(':', 1)[-1].rstrip('/')}/" in path.replace("//", "/"):
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of about BATCH_BYTES whatever the length of the texts, unless the launcher chose otherwise."""
     launched = spark.sparkContext.getConf()

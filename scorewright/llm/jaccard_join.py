@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import bound_batches, stored, texts
+from scorewright.llm.common import bound_batches, discard, shuffles_end_with_jobs, stored, texts
 from scorewright.llm.components import components
 from scorewright.llm.slots import count_slots, slots
 
@@ -152,12 +152,12 @@ def node_of(found: np.ndarray) -> int | None:
 
 
 def shared_entries(rows: DataFrame) -> DataFrame:
-    """entry, node, pivot (the entry's least node) and members, for the index entries that several nodes have. Equal
-    sets are one node, and entries are counted per task first, so neither copies nor frequent entries gather."""
-    nodes = rows.where(F.size("entries") > 0).groupBy("node").agg(F.first("entries").alias("entries"))
-    index = stored(nodes, "entries").select("node", F.explode("entries").alias("entry"))
-    counts = index.groupBy("entry").agg(F.count("*").alias("members"), F.min("node").alias("pivot"))
-    return stored(index.join(counts.where(F.col("members") > 1), "entry"), "index")
+    """entry, node and pivot (the entry's least node) for the index entries that several nodes have. Entries are
+    reduced to their least and greatest node per task first, so neither copies nor frequent entries gather."""
+    index = rows.select("node", F.explode("entries").alias("entry"))
+    ends = index.groupBy("entry").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
+    several = ends.where("pivot != top").select("entry", "pivot")
+    return stored(index.join(several, "entry").dropDuplicates(["entry", "node"]), "index")
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -182,7 +182,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -
             yield pa.RecordBatch.from_arrays([pa.array(list(map(node_of, found)), pa.int64()), lists], ["node", "tokens"])
 
     again = docs.select(F.xxhash64("doc_id").alias("mark"), "text").mapInArrow(run, "node long, tokens array<long>")
-    return stored(again.groupBy("node").agg(F.first("tokens").alias("tokens")).join(wanted, "node", "left_semi"), "sets")
+    return stored(again.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -208,9 +208,10 @@ def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     roots = stored(components(found), "roots")
 
     def unsettled(least: int) -> DataFrame:
-        """The index with roots, for entries of ``least`` members or more that are not all connected."""
-        rows = index.where(F.col("members") >= least).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        apart = rows.groupBy("entry").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("entry")
+        """The index with roots, for entries of ``least`` nodes or more that are not all connected."""
+        rows = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rows.groupBy("entry").agg(F.count("*").alias("nodes"), F.min("root").alias("low"), F.max("root").alias("high"))
+        apart = apart.where((F.col("nodes") >= least) & (F.col("low") != F.col("high"))).select("entry")
         return stored(rows.join(apart, "entry"), "unsettled")
 
     def join_in(pairs: DataFrame) -> DataFrame:
@@ -242,14 +243,18 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, tex
     empty table gives an empty result. Shingles and sets are told apart by hashes of 64 bits. A text's memory is about
     40 bytes a word.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     content = docs.select("doc_id", F.col(text).alias("text"))
-    rows = stored(prints(content, shingle, percent), "prints")
-    index = shared_entries(rows)
-    sets = sets_of(content, rows, index.select("node").distinct(), shingle)
-    roots = linked(index, sets, percent)
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("first"))
-    nodes = stored(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "nodes")
+    with shuffles_end_with_jobs(spark):
+        whole = stored(prints(content, shingle, percent), "prints")
+        rows, index = stored(whole.select("doc_id", "node", "n"), "rows"), shared_entries(whole)
+        discard(whole)
+        sets = sets_of(content, rows, index.select("node").distinct(), shingle)
+        roots = linked(index, sets, percent)
+        discard(sets)
+        nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("first"))
+        nodes = stored(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "nodes")
     least = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = nodes.join(least, "root").select("node", "component_id")
     out = ["doc_id", F.col("n").alias("n_shingles")]
