@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.llm.common import bound_batches, discard, shuffles_end_with_jobs, stored, texts
@@ -127,24 +127,27 @@ def token_levels(docs: DataFrame, shingle: int) -> np.ndarray:
 
 
 def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """doc_id, node (a 64-bit hash of the set, null if empty), n (its size) and entries for every row."""
+    """doc_id, node (a 64-bit hash of the set, null if empty), n (its size), plain (whether its entries are single
+    tokens alone) and entries for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(token_levels(docs.select("text"), shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, memo = shared.value, WordHashes()
         for batch in batches:
-            nodes, sizes, entries = [], [], []
+            nodes, sizes, plain, entries = [], [], [], []
             for text in texts(batch):
                 found = tokens(text, shingle, memo)
+                order = levels[slots(found)]
                 sizes.append(len(found))
                 nodes.append(node_of(found))
-                entries.append(signatures(found, levels[slots(found)], percent) if len(found) else found)
+                plain.append(bool((order < FREQUENT).sum() > most_missing(len(found), percent)))
+                entries.append(signatures(found, order, percent) if len(found) else found)
             ends = np.cumsum([0, *map(len, entries)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(entries) if entries else np.zeros(0, np.uint64)).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists], ["doc_id", "node", "n", "entries"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(plain, pa.bool_()), lists], ["doc_id", "node", "n", "plain", "entries"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, node long, n long, entries array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, node long, n long, plain boolean, entries array<long>")
 
 
 def node_of(found: np.ndarray) -> int | None:
@@ -154,7 +157,7 @@ def node_of(found: np.ndarray) -> int | None:
 def shared_entries(rows: DataFrame) -> DataFrame:
     """entry, node and pivot (the entry's least node) for the index entries that several nodes have. Entries are
     reduced to their least and greatest node per task first, so neither copies nor frequent entries gather."""
-    index = rows.select("node", F.explode("entries").alias("entry"))
+    index = rows.select("node", "n", "plain", F.explode("entries").alias("entry"))
     ends = index.groupBy("entry").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
     several = ends.where("pivot != top").select("entry", "pivot")
     return stored(index.join(several, "entry").dropDuplicates(["entry", "node"]), "index")
@@ -194,16 +197,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("u", "v")
 
 
+def could_link(n: str, n2: str, plain: Column, shared: Column, percent: int) -> Column:
+    """Whether two sets may be partners by their sizes and, where both have single tokens as entries, by the number
+    of shared ones: what is common is in both prefixes, or beyond the prefix that ends first."""
+    part = lambda c: F.ceil(F.col(c) * percent / 100)
+    least = F.ceil((F.col(n) + F.col(n2)) * percent / (100 + percent)) - F.greatest(part(n), part(n2)) + 1
+    return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & (~plain | (shared >= least))
+
+
 def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the nodes that have partners: root is the least node they are connected to.
 
     First each node is compared with the pivot of its entries. Entries of more than CROWD nodes that are not all
     connected then get up to PIVOT_ROUNDS further pivots, by a hash of node and round. What is left are the pairs of an
-    entry that are not connected yet, and these are compared all.
+    entry that are not connected yet. Each is met at its least common entry alone and compared if it could link.
     """
     pair = lambda a, b: (F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-    sized = sets.select("node", F.size("tokens").alias("n"))
-    index = stored(index.join(sized, "node"), "index")
     found = stored(verified(index.select(*pair("node", "pivot")).distinct(), sets, percent), "links")
     roots = stored(components(found), "roots")
 
@@ -226,10 +235,13 @@ def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         chosen = crowds.groupBy("entry").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")).alias("x"))
         chosen = chosen.select("entry", F.col("x.node").alias("other"), F.col("x.root").alias("other_root"))
         roots = join_in(crowds.join(chosen, "entry").where("root != other_root").select(*pair("node", "other")))
-    rest = unsettled(3).select("entry", "node", "root", "n")
-    other = rest.toDF("entry", "node2", "root2", "n2")
-    near = (F.col("root") < F.col("root2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-    return join_in(rest.join(other, (rest.entry == other.entry) & near).select(*pair("node", "node2")))
+    rest = unsettled(2).select("entry", "node", "root", "n", "plain")
+    rest = rest.join(rest.groupBy("node").agg(F.collect_set("entry").alias("own")), "node")
+    other = rest.toDF("node2", "entry2", "root2", "n2", "plain2", "own2")
+    common = F.array_intersect("own", "own2")
+    once = (F.col("root") < F.col("root2")) & (F.array_min(common) == F.col("entry"))
+    may = could_link("n", "n2", F.col("plain") & F.col("plain2"), F.size(common), percent)
+    return join_in(rest.join(other, (F.col("entry") == F.col("entry2")) & once & may).select(*pair("node", "node2")))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
