@@ -50,6 +50,8 @@ class Transducer:
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.rank = {(raw[a], raw[b]): i for i, (a, b) in enumerate(merges)}
         self.tokens = [b"", *raw.values()]
+        if len(self.tokens) >= 1 << 24 or max(map(len, self.tokens)) >= OFFSET:  # the widths of a state's fields
+            raise ValueError(f"a vocabulary of 2^24 tokens, or with one of {OFFSET} bytes, is not supported")
         self.child: dict[int, int] = {}  # node << 8 | byte to node
         nodes, inner, self.token = 1, set(), {}
         for number, t in enumerate(self.tokens):
@@ -85,7 +87,7 @@ class Transducer:
 
     def compatible(self, before: int, token: int) -> bool:
         """Whether the merges of both tokens' bytes end with just these two (before 0: with just this one)."""
-        key = before << 16 | token
+        key = before << 24 | token
         if (known := self.fits.get(key)) is None:
             if len(self.fits) > MAX_MEMO:
                 self.fits.clear()
@@ -97,12 +99,12 @@ class Transducer:
         """The transition from ``state`` on ``byte``: next state << 10 | OFFSET + emitted-token count."""
         running, last, emitted = [], 0, OFFSET
         for entry in self.states[state]:
-            if (node := self.child.get((entry >> 26) << 8 | byte)) is None:
+            if (node := self.child.get((entry >> 34) << 8 | byte)) is None:
                 continue
-            if not last and (token := self.token.get(node)) and self.compatible(entry >> 10 & 0xFFFF, token):
+            if not last and (token := self.token.get(node)) and self.compatible(entry >> 10 & 0xFFFFFF, token):
                 last, emitted = token, (entry & 1023) + 1 - OFFSET
             if self.inner[node]:
-                running.append(node << 26 | entry & 0x3FFFFFF)
+                running.append(node << 34 | entry & 0x3FFFFFFFF)
         if not last:
             raise ValueError("the vocabulary does not cover all bytes")
         key = (*[entry - emitted for entry in running], last << 10 | OFFSET)
@@ -119,6 +121,12 @@ class Transducer:
         get, data = self.step.get, piece.encode()
         for b in data:
             if (t := get(state << 8 | b)) is None:
+                if len(self.states) > MAX_STATES:  # starts afresh from the state it is in
+                    held = self.states[state]
+                    self.forget()
+                    get = self.step.get
+                    if (state := self.number.setdefault(held, 1)) == 1:
+                        self.states.append(held)
                 t = self.compile(state, b)
             state = t >> 10
             total += t & 1023
