@@ -541,6 +541,18 @@ oracle(
     f"SELECT *, '{RUNS_[0].run_id}' AS run_id, '{RUNS_[0].model_version}' AS model_version, "
     f"{ts(RUNS_[0].scored_at)} AS scored_at FROM scored",
 )
+for _name, _gone in (("w1_latest_after_rerun", "AND risk_tier = 'high'"), ("w1_latest_after_withdrawal", "")):
+    oracle(
+        _name, "predictions",
+        f"""SELECT {PRED_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY scored_at DESC, run_id DESC) AS rn
+            FROM predictions WHERE NOT (run_id = '{RUNS_[3].run_id}' {_gone})) WHERE rn = 1""",
+    )
+oracle(
+    "x1_sampled_reference", "predictions",
+    f"""SELECT {PRED_COLS} FROM predictions WHERE run_id = '{RUNS_[0].run_id}'
+        AND CAST('0x' || left(md5(customer_id || '|42'), 8) AS BIGINT) < CAST(floor(0.2 * 4294967296) AS BIGINT)
+        ORDER BY md5(customer_id || '|42'), customer_id LIMIT 200000""",
+)
 oracle(
     "p20_constraint_rejects", "scored_runs",
     """SELECT run_id, count(*) AS n_rows,

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorewright.config import ID_COL
+
 from scorewright.functions.exprs import hist_bin, psi_band, psi_bin, ratio_half_up
 
 
@@ -147,7 +149,15 @@ def psi_history(runs: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def sampled_reference(pred: DataFrame, run_id: str, fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """The sampled reference scores: a uniform sample of about ``fraction`` of a run. Sampling is the feature
-    here; the default PSI uses every row (binning is one cheap aggregate)."""
-    return pred.filter(F.col("run_id") == run_id).sample(fraction=fraction, seed=seed)
+SAMPLE_ROWS = 200_000  # fixed value: the most rows of a sampled reference
+
+
+def sampled_reference(pred: DataFrame, run_id: str, fraction: float = 0.2, seed: int = 42, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """A uniform sample of a run: the customers whose keyed hash lies in the lowest ``fraction`` of its range, and
+    of these the ``rows`` with the least hash. The hash depends on the customer and the seed alone, so the sample is
+    the same however the rows are dealt; each task keeps its own least ``rows`` and these are merged. Sampling is the
+    feature here; the default PSI uses every row (binning is one cheap aggregate)."""
+    key = F.md5(F.concat_ws("|", F.col(ID_COL), F.lit(str(seed))).cast("binary"))
+    share = F.conv(F.substring(key, 1, 8), 16, 10).cast("long") < int(fraction * 2**32)
+    mine = pred.filter((F.col("run_id") == run_id) & share)
+    return mine.withColumn("_key", key).orderBy("_key", ID_COL).limit(rows).drop("_key")

@@ -162,6 +162,18 @@ def merge_latest(latest: DataFrame, published: DataFrame) -> DataFrame:
     return both.select(F.when(F.col("new").isNotNull() & newer, F.col("new")).otherwise(F.col("old")).alias("r")).select("r.*")
 
 
+def replace_run(latest: DataFrame, run_id: str, published: DataFrame, history: DataFrame) -> DataFrame:
+    """W1 after a run was done again or taken back: what its earlier attempt left in ``latest`` goes, the customers
+    concerned get their newest score of the other runs in ``history``, and ``published``, the run's rows now (none if it
+    was taken back), are merged in. History is read only where the run had rows."""
+    others = latest.filter(F.col("run_id") != run_id).select(*PREDICTION_COLUMNS)
+    stale = latest.filter(F.col("run_id") == run_id).select(ID_COL)
+    if not stale.isEmpty():
+        again = history.filter(F.col("run_id") != run_id).select(*PREDICTION_COLUMNS).join(stale, ID_COL, "left_semi")
+        others = others.unionByName(latest_scores(again).select(*PREDICTION_COLUMNS))
+    return merge_latest(others, published)
+
+
 def score_for(latest: DataFrame, customer_id: str) -> DataFrame:
     """Latest score of one customer; the id filter is pushed into the scan of the latest scores."""
     return latest.filter(F.col(ID_COL) == customer_id).select(*PREDICTION_COLUMNS)

@@ -18,7 +18,7 @@ import os
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.config import JobConfig
@@ -26,7 +26,7 @@ from scorewright.functions.exprs import psi_bin, ts_lit
 from scorewright.operators import etl, features as FE, monitor, quality, scoring, store
 from scorewright.plans import history as H
 from scorewright.session import input_bytes, size_partitions
-from scorewright.sources import adapter, sinks
+from scorewright.sources import adapter, sinks, tables
 
 
 @dataclass
@@ -90,14 +90,47 @@ def _append_events(spark: SparkSession, path: str, run_id: str, attempt: int, *e
     log.write.mode("append").parquet(path)
 
 
-def _merge_latest(spark: SparkSession, path: str, published, attempt: int) -> None:
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def latest_versions(spark: SparkSession, path: str) -> list[int]:
+    """Attempt numbers of the whole versions of the latest-scores table, oldest first, from folder names alone."""
+    if not _exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folders = [f.getPath() for f in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    names = [f.getName() for f in folders if _exists(spark, os.path.join(f.toString(), "_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("attempt="))
+
+
+def latest_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of the latest scores."""
+    return spark.read.parquet(os.path.join(path, f"attempt={latest_versions(spark, path)[-1]}"))
+
+
+def _refresh_latest(spark: SparkSession, paths: dict[str, str], run_id: str, published: DataFrame, attempt: int) -> None:
     """The latest-scores table after this run, as a new version beside the one it was made from (readers of which go
-    on undisturbed). The newest version is the table."""
-    if _exists(spark, path):
-        versions = spark.read.parquet(path)
-        newest = versions.select("attempt").distinct().agg(F.max("attempt")).first()[0]
-        published = store.merge_latest(versions.filter(F.col("attempt") == newest), published)
-    sinks.write_parquet(published.select(*store.PREDICTION_COLUMNS), os.path.join(path, f"attempt={attempt}"))
+    on undisturbed). Two versions are kept."""
+    versions = latest_versions(spark, paths["latest_scores"])
+    if versions:
+        history = spark.read.parquet(paths["predictions"])
+        published = store.replace_run(latest_table(spark, paths["latest_scores"]), run_id, published, history)
+    sinks.write_parquet(published.select(*store.PREDICTION_COLUMNS), os.path.join(paths["latest_scores"], f"attempt={attempt}"))
+    for old in versions[:-1]:
+        _delete(spark, os.path.join(paths["latest_scores"], f"attempt={old}"))
+
+
+def _take_back(spark: SparkSession, paths: dict[str, str], run_id: str, attempt: int) -> None:
+    """A failed attempt replaces the run's earlier one too, so what that one published goes: the run row says failed,
+    and no table holds rows of the run."""
+    if not _exists(spark, os.path.join(paths["predictions"], f"run_id={run_id}")):
+        return
+    nothing = spark.read.parquet(paths["predictions"]).select(*store.PREDICTION_COLUMNS).limit(0)
+    _refresh_latest(spark, paths, run_id, nothing, attempt)
+    for table in ("predictions", "rejects", "run_bins"):
+        _delete(spark, os.path.join(paths[table], f"run_id={run_id}"))
 
 
 def run_nightly(
@@ -117,7 +150,8 @@ def run_nightly(
 
     Refuses to begin without its artifacts and to score fewer than ``min_rows`` customers. Raises
     ``quality.GateFailure`` after the failure is logged when a gate fails. Rows that the stored table's constraints
-    refuse go to ``rejects``. Each call is an attempt of its run; a later attempt replaces an earlier one."""
+    refuse go to ``rejects``. Each call is an attempt of its run; a later attempt replaces an earlier one, a failed one
+    by taking back what that had published."""
     paths = _paths(warehouse)
     t: dict[str, float] = {}
     require_artifacts(spark, [paths["vocabulary"], *([model_path] if model_path else [])])
@@ -132,6 +166,15 @@ def run_nightly(
     log((1, "register", {"status": "running", "model_version": version, "started_at": ts_lit(started_at),
                          "records_failed": 0, "drift_flagged": False}))
 
+    # Refuse before any work; each customer is a label row, so the count comes from the file footers alone
+    universe = etl.input_precheck(tables.read_table(spark, sf_dir, "customer", ["c_custkey"]), min_rows).first()
+    if not universe["passed"]:
+        n = universe["n_rows"]
+        notes = f"input has {n} rows, at least {min_rows} are needed"
+        log((2, "failure", {"status": "failed", "records_read": n, "validation_passed": False, "validation_notes": notes}))
+        _take_back(spark, paths, run_id, attempt)
+        raise quality.GateFailure(notes)
+
     # Raw tables -> customers, written once
     t0 = time.perf_counter()
     lab = adapter.labels(spark, sf_dir, cfg.reference_date)
@@ -144,10 +187,6 @@ def run_nightly(
     sinks.write_parquet(built, paths["customers"])
     n_read = int(read_obs.get["rows"])  # counted while writing, no extra job
     t["etl"] = time.perf_counter() - t0
-    if n_read < min_rows:
-        notes = f"input has {n_read} rows, at least {min_rows} are needed"
-        log((2, "failure", {"status": "failed", "records_read": n_read, "validation_passed": False, "validation_notes": notes}))
-        raise quality.GateFailure(notes)
 
     # Features + score -> staging, counts observed in the same job
     t0 = time.perf_counter()
@@ -176,19 +215,13 @@ def run_nightly(
     bin_aggs = [F.count(F.when(pb == k, 1)).alias(f"_bin_{k}") for k in range(1, cfg.psi_n_bins + 1)]
     bin_aggs.append(F.count(F.when(pb.isNull(), 1)).alias("_bin_null"))
     gate = quality.gate_frame(staged, n_read, cfg.gates, with_stats=True, extra_aggs=bin_aggs).first()
-    # the bin counts (at most n_bins + 1 rows) are kept, so later drift checks never rescan predictions
-    bin_rows = [(run_id, k, int(gate[f"_bin_{k}"])) for k in range(1, cfg.psi_n_bins + 1) if gate[f"_bin_{k}"]]
-    if gate["_bin_null"]:
-        bin_rows.append((run_id, None, int(gate["_bin_null"])))
-    spark.createDataFrame(bin_rows, "run_id string, bin int, count bigint").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("run_id").parquet(paths["run_bins"])
     t["gate"] = time.perf_counter() - t0
     log((2, "spark_result", {"records_read": n_read, "records_scored": n_scored, "records_failed": n_read - n_scored,
                              "spark_duration_secs": round(t["score"], 2), **{k: gate[k] for k in quality.STAT_COLUMNS}}),
         (3, "validation", {"validation_passed": gate["validation_passed"], "validation_notes": gate["validation_notes"]}))
     if not gate["validation_passed"]:
         log((4, "failure", {"status": "failed"}))
+        _take_back(spark, paths, run_id, attempt)
         raise quality.GateFailure(gate["validation_notes"])
 
     # P20 + S4: rows that break the table's constraints are set aside; the others are published under the run's own
@@ -196,9 +229,16 @@ def run_nightly(
     t0 = time.perf_counter()
     good, bad = scoring.split_rejects(spark.read.parquet(stage).withColumn("run_id", F.lit(run_id)))
     sinks.write_parquet(bad.drop("run_id"), os.path.join(paths["rejects"], f"run_id={run_id}"))
+    # the bin counts (at most n_bins + 1 rows) are kept, so later drift checks never rescan predictions
+    bin_rows = [(run_id, k, int(gate[f"_bin_{k}"])) for k in range(1, cfg.psi_n_bins + 1) if gate[f"_bin_{k}"]]
+    if gate["_bin_null"]:
+        bin_rows.append((run_id, None, int(gate["_bin_null"])))
+    spark.createDataFrame(bin_rows, "run_id string, bin int, count bigint").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("run_id").parquet(paths["run_bins"])
     store.write_predictions(good, paths["predictions"])
     mine = spark.read.parquet(paths["predictions"]).filter(F.col("run_id") == run_id)
-    _merge_latest(spark, paths["latest_scores"], mine, attempt)
+    _refresh_latest(spark, paths, run_id, mine, attempt)
     t["publish"] = time.perf_counter() - t0
     completed = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     log((4, "write", {"status": "completed", "completed_at": ts_lit(completed),

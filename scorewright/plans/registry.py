@@ -361,6 +361,22 @@ def q_w1(spark, sf_dir):
     return history(spark, sf_dir).latest
 
 
+@query("w1_latest_after_rerun")
+def q_w1_rerun(spark, sf_dir):
+    """W1 kept up to date when a run is done again and no longer scores its high-tier customers: these fall back to
+    their newest score of another run."""
+    pred = history(spark, sf_dir).predictions
+    again = pred.filter((F.col("run_id") == HIST_RUN_B) & (F.col("risk_tier") != "high"))
+    return store.replace_run(store.latest_scores(pred), HIST_RUN_B, again, pred)
+
+
+@query("w1_latest_after_withdrawal")
+def q_w1_back(spark, sf_dir):
+    """W1 kept up to date when a run is taken back as a whole."""
+    pred = history(spark, sf_dir).predictions
+    return store.replace_run(store.latest_scores(pred), HIST_RUN_B, pred.limit(0), pred)
+
+
 @query("w8_score_by_customer")
 def q_w8(spark, sf_dir):
     return store.score_for(history(spark, sf_dir).latest, LOOKUP_CUSTOMER)

@@ -45,6 +45,22 @@ def test_three_nights(spark):
     assert "PartitionFilters: [isnotnull(run_id" in plan
 
 
+def kept_latest_is_that_of(spark, wh, pred):
+    kept = nightly.latest_table(spark, wh + "/latest_scores").select(*store.PREDICTION_COLUMNS)
+    want = store.latest_scores(pred).select(*store.PREDICTION_COLUMNS)
+    assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
+
+
+def test_shrinking_rerun_leaves_no_stale_row(spark):
+    rows = lambda *xs: spark.createDataFrame([(c, r, "v", p, False, 1, "low", t) for c, r, p, t in xs], "customer_id string, run_id string, model_version string, churn_probability double, churn_label boolean, churn_decile int, risk_tier string, scored_at int")
+    first = rows(("a", "R0", 0.1, 1), ("b", "R0", 0.2, 1), ("a", "R1", 0.3, 5), ("b", "R1", 0.4, 5), ("c", "R1", 0.5, 5))
+    for again in (rows(("a", "R1", 0.6, 6)), rows(("a", "R1", 0.6, 0)), rows(("b", "R1", 0.7, 3), ("d", "R1", 0.8, 3)), rows(("x", "R1", 0.0, 0)).limit(0)):
+        now = first.filter("run_id = 'R0'").unionByName(again)
+        got = store.replace_run(store.latest_scores(first), "R1", again, now)
+        want = store.latest_scores(now).select(*store.PREDICTION_COLUMNS)
+        assert sorted(map(str, got.select(*store.PREDICTION_COLUMNS).collect())) == sorted(map(str, want.collect()))
+
+
 def test_rerun_of_a_night_replaces_its_partition(spark):
     wh = tempfile.mkdtemp(prefix="scorewright-test-wh-")
     nightly.store_vocabulary(spark, SF_SMALL, wh)
@@ -59,10 +75,17 @@ def test_rerun_of_a_night_replaces_its_partition(spark):
     assert good["status"] == "validated" and good["psi_vs_previous"] == again.psi
     with pytest.raises(quality.GateFailure):  # again, with a card that fails its gate
         nightly.run_nightly(spark, SF_SMALL, wh, "r2", FLAT)
+    # what the run had published is taken back with it, from the latest scores too
+    gone = spark.read.parquet(wh + "/predictions")
+    assert {r[0] for r in gone.select("run_id").distinct().collect()} == {"r1"}
+    assert {r[0] for r in spark.read.parquet(wh + "/run_bins").select("run_id").distinct().collect()} == {"r1"}
+    kept_latest_is_that_of(spark, wh, gone)
     bad = state()
     assert (bad["status"], bad["validation_passed"], bad["model_version"]) == ("failed", False, "flat")
     assert bad["completed_at"] is None and bad["psi_vs_previous"] is None and bad["score_mean"] != good["score_mean"]
     nightly.run_nightly(spark, SF_SMALL, wh, "r2")  # and well again
+    kept_latest_is_that_of(spark, wh, spark.read.parquet(wh + "/predictions"))
+    assert len(nightly.latest_versions(spark, wh + "/latest_scores")) == 2
     assert (state()["status"], state()["model_version"], state()["score_mean"]) == ("validated", good["model_version"], good["score_mean"])
 
 

@@ -39,6 +39,11 @@ def test_sampled_reference_is_a_subset_of_its_run(spark):
     n, k = run.count(), sample.count()
     assert 0 < k < n
     assert sample.exceptAll(run).count() == 0
+    from scorewright.operators import monitor
+
+    fewer = monitor.sampled_reference(pred.repartition(7), HIST_RUN_A, rows=k // 2)
+    assert fewer.count() == k // 2 and fewer.exceptAll(sample).count() == 0
+    assert monitor.sampled_reference(pred, HIST_RUN_A, 1.0).count() == n
 
 
 def test_timed_scoring_rows(spark, n_customers):
