@@ -73,6 +73,16 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a ``cut_lineage`` table that nothing reads any more; other files stay."""
+    spark = df.sparkSession
+    kept = os.path.join(checkpoint_dir(spark), "tables").split(":", 1)[-1].rstrip("/") + "/"
+    for path in {os.path.dirname(f) for f in df.inputFiles()}:
+        if kept.replace("//", "/") in path.replace("//", "/"):
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 # Target sizes for partitions at scale: scan splits and post-shuffle partitions of ~256 MB fit comfortably in an
 # executor task's memory share and keep task counts manageable on 100 TB inputs.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
