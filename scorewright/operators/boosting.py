@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.config import FEATURE_COLUMNS, TARGET_COL, JobConfig
+from scorewright.operators.model import class_weights, split_bucket
 from scorewright.session import cut_lineage, drop_table
 
 BINS = 255  # beside bin 0 for missing values
@@ -286,38 +287,37 @@ CUTS = pa.schema(
 
 
 def _grown(state: DataFrame, features: list[int], sizes: list[int], by_class: np.ndarray, p: BoostParams, loss: bool) -> tuple[Tree, tuple[int, int]]:
-    """One tree. ``ahead`` holds all cuts found so far, ``tree`` those taken in order of gain."""
+    """One tree. ``ahead`` holds every cut found so far; at the end those stay that are taken in order of gain.
+
+    A leaf is reached once all cuts above it are taken, so its rank follows from the least gain on its path. Leaves beyond
+    rank ``n_leaves`` - 1 among the known ones can't be taken any more; a wave opens all others at once."""
     ahead = Tree()
     ahead.add(0.0, 0)
-    cut: dict[int, Cut] = {}  # of ahead's nodes that have been looked at and can be cut
-    best, lost = _wave(state, ahead, [0], features, sizes, by_class, p, loss)
-    cut |= best
+    cut, lost = _wave(state, ahead, [0], features, sizes, by_class, p, loss)
+    reach = {node: c.gain for node, c in cut.items()}  # least gain on the path
     while True:
-        # take leaves in order of gain as far as their cuts are known
-        taken, heap, unknown, leaves = set(), [(-cut[0].gain, 0)] if 0 in cut else [], [], 1
-        while heap and leaves < p.n_leaves:
-            _, node = heap[0]
-            if ahead.feature[node] < 0:
-                unknown = sorted(heap)[: p.n_leaves - leaves]
-                break
-            heapq.heappop(heap)
-            taken.add(node)
-            leaves += 1
-            for child in (ahead.left[node], ahead.right[node]):
-                if child in cut:
-                    heapq.heappush(heap, (-cut[child].gain, child))
-        if not unknown or leaves == p.n_leaves - 1:
-            taken |= {node for _, node in unknown[:1]}
-            for _, node in unknown[:1]:
-                _opened(ahead, node, cut[node], p)
-            return _kept(ahead, taken), lost
-        new = []
-        for _, node in unknown:
-            if ahead.feature[node] < 0:
-                new += _opened(ahead, node, cut[node], p)
-        new = [node for node in new if ahead.n[node] >= 2 * p.min_leaf_rows]
-        if new:
-            cut |= _wave(state, ahead, new, features, sizes, by_class, p, False)[0]
+        bound = sorted(reach.values(), reverse=True)[: p.n_leaves - 1][-1] if reach else 0.0
+        opened = [node for node, gain in reach.items() if gain >= bound and ahead.feature[node] < 0]
+        if not opened:
+            return _kept(ahead, _in_order(ahead, cut, p.n_leaves)), lost
+        above = {child: reach[node] for node in opened for child in _opened(ahead, node, cut[node], p)}
+        new = [node for node in above if ahead.n[node] >= 2 * p.min_leaf_rows]
+        found = _wave(state, ahead, new, features, sizes, by_class, p, False)[0] if new else {}
+        cut |= found
+        reach |= {node: min(above[node], c.gain) for node, c in found.items()}
+
+
+def _in_order(ahead: Tree, cut: dict[int, Cut], n_leaves: int) -> set[int]:
+    """The cuts taken when the leaf of most gain is opened next, until there are ``n_leaves``."""
+    taken: set[int] = set()
+    heap = [(-cut[0].gain, 0)] if 0 in cut else []
+    while heap and len(taken) < n_leaves - 1:
+        _, node = heapq.heappop(heap)
+        taken.add(node)
+        for child in (ahead.left[node], ahead.right[node]):
+            if child in cut:
+                heapq.heappush(heap, (-cut[child].gain, child))
+    return taken
 
 
 def _opened(tree: Tree, node: int, c: Cut, p: BoostParams) -> list[int]:
@@ -449,3 +449,12 @@ def fit(train_val: DataFrame, weights: dict[int, float], p: BoostParams = BoostP
         older.unpersist()
     drop_table(written)
     return BoostedTrees(list(features), edges, trees[: best + 1] if losses else trees, losses)
+
+
+def train(train_val: DataFrame, cfg: JobConfig = JobConfig()) -> BoostedTrees:
+    """``fit`` with the job's parameters, balanced class weights and its bound on the rows of the fit."""
+    if cfg.max_training_rows is not None:
+        n = max(train_val.count(), 1)
+        train_val = train_val.filter(split_bucket(seed=cfg.seed + 1) < cfg.max_training_rows / n)
+    rows = class_weights(train_val.filter((F.col("split") == "train") & F.col(TARGET_COL).isNotNull())).collect()  # a row a class
+    return fit(train_val, {int(r[TARGET_COL]): r["weight"] for r in rows}, BoostParams.of(cfg))

@@ -144,6 +144,18 @@ def test_patience_and_files(spark):
     assert not glob.glob(checkpoint_dir(spark).split(":", 1)[-1] + "/tables/boosting_blocks*/*.parquet")
 
 
+def test_the_job_s_parameters_and_class_weights(spark):
+    from scorewright.config import FEATURE_COLUMNS, JobConfig
+
+    data = frame(spark, rows(300)).withColumnsRenamed(dict(zip(FEATURES, FEATURE_COLUMNS)))
+    data = data.select("*", *[F.lit(None).cast("double").alias(c) for c in FEATURE_COLUMNS[len(FEATURES):]])
+    cfg = JobConfig(n_trees=2, learning_rate=0.2)
+    counts = {r[0]: r[1] for r in data.where("split = 'train'").groupBy(TARGET_COL).count().collect()}
+    weights = {k: sum(counts.values()) / (2 * n) for k, n in counts.items()}
+    assert B.train(data, cfg).trees == B.fit(data, weights, B.BoostParams.of(cfg)).trees
+    assert B.BoostParams.of(JobConfig()) == B.BoostParams(500, 0.05, 63, 20, 0.1, 0.1, 0.8, 50, 42)
+
+
 def test_edges(spark):
     p = B.BoostParams(n_trees=2, min_leaf_rows=1)
     with pytest.raises(ValueError):
