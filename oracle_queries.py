@@ -386,23 +386,34 @@ cte(
 )
 
 
-def _split_thresholds():
-    from scorewright.config import JobConfig
-
-    c = JobConfig()
-    return c.train_fraction, c.train_fraction + c.val_fraction, c.seed
-
-
-_t1, _t2, _seed = _split_thresholds()
+cte(
+    "split_sizes",  # 70 / 15 / 15: what is held out is rounded up, then the half of it that is the test part
+    """
+    SELECT is_churn, n_class, n, n - (n * 3 + 9) // 10 AS n_train, ((n * 3 + 9) // 10) // 2 AS n_val
+    FROM (SELECT is_churn, count(*) AS n_class, CAST(sum(count(*)) OVER () AS BIGINT) AS n FROM customers GROUP BY is_churn)""",
+)
+cte(
+    "split_train",
+    """
+    SELECT *, n_class * n_train // n + CAST(row_number() OVER (ORDER BY (n_class * n_train) % n DESC, is_churn)
+              <= n_train - sum(n_class * n_train // n) OVER () AS BIGINT) AS c_train
+    FROM split_sizes""",
+)
+cte(
+    "split_cuts",
+    """
+    SELECT is_churn, c_train, (n_class - c_train) * n_val // (n - n_train)
+           + CAST(row_number() OVER (ORDER BY ((n_class - c_train) * n_val) % (n - n_train) DESC, is_churn)
+                  <= n_val - sum((n_class - c_train) * n_val // (n - n_train)) OVER () AS BIGINT) AS c_val
+    FROM split_train""",
+)
 cte(
     "split",
     f"""
-    SELECT m.*, c.is_churn,
-           CASE WHEN u < {flt(_t1)} THEN 'train' WHEN u < {flt(_t2)} THEN 'val' ELSE 'test' END AS split
-    FROM (SELECT *, CAST(('0x' || substr(md5(customer_id || '|' || CAST(is_churn AS VARCHAR) || '|{_seed}'), 1, 8))
-                         AS BIGINT) / {flt(2.0**32)} AS u
-          FROM (SELECT m.customer_id, c.is_churn FROM matrix m JOIN customers c ON m.customer_id = c.customer_id)) c
-    JOIN matrix m ON m.customer_id = c.customer_id""",
+    SELECT m.*, r.is_churn, CASE WHEN place <= c_train THEN 'train' WHEN place <= c_train + c_val THEN 'val' ELSE 'test' END AS split
+    FROM (SELECT customer_id, is_churn, row_number() OVER (PARTITION BY is_churn ORDER BY
+              md5(customer_id || '|' || CAST(is_churn AS VARCHAR) || '|42')) AS place FROM customers) r
+    JOIN split_cuts s ON r.is_churn = s.is_churn JOIN matrix m ON m.customer_id = r.customer_id""",
 )
 cte("ev", f"SELECT customer_id, is_churn, split, {logit(_card())} AS z, {prob(_card())} AS p FROM split")
 cte("sg", "SELECT split, z AS score, sum(is_churn) AS pos, sum(1 - is_churn) AS neg FROM ev GROUP BY ALL")

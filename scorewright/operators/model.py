@@ -1,8 +1,7 @@
 """Training and evaluation.
 
-Split: each row's split comes from an md5 of (id, label, seed) mapped to [0, 1): deterministic, per row, with no
-shuffle and no driver state; applying the 70/15/15 thresholds within each label keeps the class mix of every split
-close to the whole (sizes are approximate, not exact counts).
+Split: rows are ordered within their label by an md5 of (id, label, seed) and cut at exact quotas, whose keys are
+found from counts of the hash; the rows are neither sorted nor shuffled.
 
 Metrics come from one pass: rows are aggregated per (split, unrounded score) with the label and confusion counts, and
 running totals over ranges of scores give AUC and average precision; no window holds a whole split. AUC counts ties
@@ -12,8 +11,12 @@ trapezoid ``areaUnderPR``).
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorewright.config import FEATURE_COLUMNS, ID_COL, TARGET_COL, JobConfig
 from scorewright.functions.exprs import round_half_even
@@ -23,18 +26,98 @@ from scorewright.session import cut_lineage
 NULL_SENTINEL = -1e9  # GBTClassifier rejects NaN; no feature takes this value, so a split can set NULLs apart
 
 
+def split_key(id_col: str = ID_COL, label_col: str = TARGET_COL, seed: int = 42) -> Column:
+    """id|label|seed, the text whose hash orders the rows."""
+    return F.concat_ws("|", F.col(id_col).cast("string"), F.col(label_col).cast("string"), F.lit(str(seed)))
+
+
 def split_bucket(id_col: str = ID_COL, label_col: str = TARGET_COL, seed: int = 42) -> Column:
     """Uniform [0, 1) value from md5(id|label|seed): the first 8 hex digits as an integer over 2^32."""
-    key = F.concat_ws("|", F.col(id_col).cast("string"), F.col(label_col).cast("string"), F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
+    return F.conv(F.substring(F.md5(split_key(id_col, label_col, seed)), 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
+
+
+def quotas(counts: dict, cfg: JobConfig = JobConfig()) -> dict:
+    """Class -> (train, val, test) rows, from class -> rows. The held-out part is rounded up, then the test part of it;
+    each part is dealt to the classes by largest remainder (ties: the smaller class), so the three parts and every
+    class's share of them are fixed numbers. Fractions are taken as the decimals they are written as."""
+    n = sum(counts.values())
+    order = sorted(counts, key=lambda c: (c is not None, c))
+
+    def deal(rows: dict, draws: int) -> dict:
+        total = max(sum(rows.values()), 1)
+        got = {c: rows[c] * draws // total for c in order}
+        rest = draws - sum(got.values())
+        for c in sorted(order, key=lambda c: -(rows[c] * draws % total))[:rest]:
+            got[c] += 1
+        return got
+
+    held = 1 - Fraction(str(cfg.train_fraction))
+    n_held = math.ceil(held * n)
+    n_test = math.ceil(n_held * (held - Fraction(str(cfg.val_fraction))) / held)
+    train = deal(counts, n - n_held)
+    left = {c: counts[c] - train[c] for c in order}
+    val = deal(left, n_held - n_test)
+    return {c: (train[c], val[c], left[c] - val[c]) for c in order}
+
+
+def order_statistics(keyed: DataFrame, wanted: dict) -> dict:
+    """(group, rank) -> the key of that rank (from 1) within its group, where ``keyed`` has the columns ``g`` and ``key``
+    (hex text) and ``wanted`` maps each group to its ranks.
+
+    Counts of the keys' first four digits (at most 65 536 rows a group) name the one cell that holds a rank; only these
+    cells' distinct keys, a 65 536th of all for a hash, are put in order. Rows with one key are counted before the shuffle, so a
+    key of any number of rows is one row. The driver gets a row a rank."""
+    spark = keyed.sparkSession
+    ranks = [(g, int(r)) for g, rs in wanted.items() for r in sorted(set(rs)) if r > 0]
+    if not ranks:
+        return {}
+    asked = spark.createDataFrame(ranks, T.StructType([T.StructField("g", keyed.schema["g"].dataType), T.StructField("r", T.LongType())]))
+    cell = F.substring("key", 1, 4)
+    upto = Window.partitionBy("g").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = keyed.groupBy("g", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells = cells.withColumn("upto", F.sum("n").over(upto))
+    a, c = asked.alias("a"), cells.alias("c")
+    at = F.col("a.g").eqNullSafe(F.col("c.g")) & (F.col("a.r") <= F.col("upto")) & (F.col("a.r") > F.col("upto") - F.col("n"))
+    found = a.join(c, at).select("a.g", "r", "cell", (F.col("r") - F.col("upto") + F.col("n")).alias("within")).collect()
+    hit = F.lit(False)
+    for f in found:
+        hit = hit | (F.col("g").eqNullSafe(F.lit(f["g"])) & (cell == f["cell"]))
+    keys = keyed.filter(hit).groupBy("g", cell.alias("cell"), "key").agg(F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy("g", "cell").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    keys = keys.withColumn("upto", F.sum("n").over(running))
+    first = F.lit(False)
+    for f in found:
+        here = F.col("g").eqNullSafe(F.lit(f["g"])) & (F.col("cell") == f["cell"])
+        first = first | (here & F.lit(f["within"]).between(F.col("upto") - F.col("n") + 1, F.col("upto")))
+    rows = keys.filter(first).collect()
+    out = {}
+    for f in found:
+        for k in rows:
+            if (k["g"], k["cell"]) == (f["g"], f["cell"]) and k["upto"] - k["n"] < f["within"] <= k["upto"]:
+                out[f["g"], f["r"]] = k["key"]
+    return out
 
 
 def assign_split(df: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
-    """M4: 'train' / 'val' / 'test' per row."""
-    u = split_bucket(seed=cfg.seed)
-    t1 = cfg.train_fraction
-    t2 = cfg.train_fraction + cfg.val_fraction
-    return df.withColumn("split", F.when(u < t1, "train").when(u < t2, "val").otherwise("test"))
+    """M4: 'train' / 'val' / 'test' per row, of exactly the sizes that ``quotas`` gives.
+
+    Within a class the rows of least md5(id|label|seed) are the training rows, the next ones the validation rows. The two
+    cuts of a class are order statistics of the hash, so the rows themselves meet no shuffle: one pass counts, one reads
+    the cells of the cuts, and the split is a projection. Rows of one id and label stay together (sizes then differ by
+    at most their number); a NULL label is a class of its own, rows without id have one hash."""
+    key = F.md5(split_key(seed=cfg.seed))
+    keyed = df.select(F.col(TARGET_COL).alias("g"), key.alias("key"))
+    counts = {r["g"]: r["n"] for r in keyed.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a class
+    parts = quotas(counts, cfg)
+    cuts = order_statistics(keyed, {c: (t, t + v) for c, (t, v, _) in parts.items()})
+    split = F.lit(None).cast("string")
+    for c, (t, v, _) in parts.items():
+        mine = F.lit("test")
+        for rank, name in ((t + v, "val"), (t, "train")):
+            if rank:
+                mine = F.when(key <= cuts[c, rank], name).otherwise(mine)
+        split = F.when(F.col(TARGET_COL).eqNullSafe(F.lit(c)), mine).otherwise(split)
+    return df.withColumn("split", split)
 
 
 def class_weights(train: DataFrame, label_col: str = TARGET_COL) -> DataFrame:

@@ -48,14 +48,46 @@ def test_split_metrics(spark):
     assert (r["churn_rate_actual"], r["churn_rate_predicted"]) == (0.4, 0.4)
 
 
-def test_split_is_deterministic_and_close_to_fractions(spark):
-    df = spark.range(20000).select(F.col("id").cast("string").alias("customer_id"), (F.col("id") % 4 == 0).cast("int").alias("is_churn"))
-    a = M.assign_split(df)
-    counts = {r["split"]: r["count"] for r in a.groupBy("split").count().collect()}
-    assert abs(counts["train"] / 20000 - 0.70) < 0.02 and abs(counts["val"] / 20000 - 0.15) < 0.02
-    rates = {r["split"]: r["rate"] for r in a.groupBy("split").agg(F.avg("is_churn").alias("rate")).collect()}
-    assert all(abs(v - 0.25) < 0.03 for v in rates.values())
-    assert a.exceptAll(M.assign_split(df)).count() == 0
+def split_counts(df):
+    got = {}
+    for r in df.groupBy("is_churn", "split").count().collect():
+        got.setdefault(r["is_churn"], {})[r["split"]] = r["count"]
+    return {c: tuple(v.get(k, 0) for k in ("train", "val", "test")) for c, v in got.items()}
+
+
+def test_split_sizes_are_exact(spark):
+    for n, every in ((20000, 4), (1003, 7), (101, 100), (7, 2)):
+        df = spark.range(n).select(F.col("id").cast("string").alias("customer_id"), (F.col("id") % every == 0).cast("int").alias("is_churn"))
+        ones = -(-n // every)
+        want = M.quotas({1: ones, 0: n - ones})
+        a = M.assign_split(df)
+        assert split_counts(a) == want and a.columns == ["customer_id", "is_churn", "split"]
+        held = -(-3 * n // 10)
+        assert [sum(v[i] for v in want.values()) for i in range(3)] == [n - held, held // 2, held - held // 2]
+        assert a.exceptAll(M.assign_split(df.repartition(7))).isEmpty()  # the same however the rows are dealt
+        # within a class the split follows the order of the hash
+        import hashlib
+
+        for c in (0, 1):
+            rows = [r for r in a.collect() if r["is_churn"] == c]
+            rows.sort(key=lambda r: hashlib.md5(f"{r['customer_id']}|{c}|42".encode()).hexdigest())
+            t, v, e = want[c]
+            assert [r["split"] for r in rows] == ["train"] * t + ["val"] * v + ["test"] * e
+
+
+def test_split_sizes_of_the_full_data_set():
+    parts = M.quotas({0: 883_630, 1: 87_330})
+    assert tuple(sum(v[i] for v in parts.values()) for i in range(3)) == (679_672, 145_644, 145_644)
+    assert all(abs(v[i] / sum(v) - f) < 1e-5 for v in parts.values() for i, f in enumerate((0.7, 0.15, 0.15)))
+
+
+def test_split_of_repeated_null_and_no_rows(spark):
+    df = spark.createDataFrame([("a", 1)] * 60 + [(None, 0)] * 3 + [("b", None)] + [(str(i), 0) for i in range(37)], "customer_id string, is_churn int")
+    got = M.assign_split(df)
+    assert got.count() == 101 and got.filter("split IS NULL").count() == 0
+    assert all(r[0] == 1 for r in got.groupBy("customer_id", "is_churn").agg(F.countDistinct("split").alias("k")).select("k").collect())
+    none = M.assign_split(df.limit(0))
+    assert none.columns == [*df.columns, "split"] and none.isEmpty()
 
 
 def test_class_weights_balanced(spark):
