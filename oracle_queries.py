@@ -581,6 +581,8 @@ oracle("v1_v6_gates", "gates", "SELECT * FROM gates")
 # store
 oracle("w14_run_summary", "summary", f"SELECT {all_r(SUMMARY_COLS, SUMMARY_DOUBLES)} FROM summary")
 oracle("w1_latest_scores", "latest", "SELECT * FROM latest")
+oracle("w1_latest_keyed", "latest", "SELECT * FROM latest")
+oracle("w8_keyed_lookup", "latest", "SELECT * FROM latest WHERE customer_id = '42'")
 oracle("w8_score_by_customer", "latest", "SELECT * FROM latest WHERE customer_id = '42'")
 oracle("w15_high_risk", "predictions", f"SELECT {PRED_COLS} FROM predictions WHERE risk_tier = 'high'")
 oracle("p21_parse_request_ids", "req_parsed", "SELECT line_date, line_key, customer_id FROM req_parsed")

@@ -4,6 +4,7 @@ Storage model:
     predictions  Parquet partitioned by ``run_id`` (one directory per run: run filters prune files; a re-run
                  night replaces only its own directory)
     run_events   append-only log of partial run updates; the run table is a fold of it (no row updates needed)
+    latest_scores  one row per customer, bucketed by customer (``keyed``), a new version a night
 
 Latest score per customer is a ``max_by`` aggregate keyed by customer: mergeable, so a customer present in every
 run, or a run holding a third of all rows, never concentrates in one task.
@@ -11,12 +12,13 @@ run, or a run holding a third of all rows, never concentrates in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scorewright.config import ID_COL
 from scorewright.functions.exprs import ratio_half_up
+from scorewright.operators import keyed
 
 PREDICTION_COLUMNS = [
     ID_COL,
@@ -162,20 +164,45 @@ def merge_latest(latest: DataFrame, published: DataFrame) -> DataFrame:
     return both.select(F.when(F.col("new").isNotNull() & newer, F.col("new")).otherwise(F.col("old")).alias("r")).select("r.*")
 
 
-def replace_run(latest: DataFrame, run_id: str, published: DataFrame, history: DataFrame) -> DataFrame:
-    """W1 after a run was done again or taken back: what its earlier attempt left in ``latest`` goes, the customers
-    concerned get their newest score of the other runs in ``history``, and ``published``, the run's rows now (none if it
-    was taken back), are merged in. History is read only where the run had rows."""
-    others = latest.filter(F.col("run_id") != run_id).select(*PREDICTION_COLUMNS)
+def without_run(latest: DataFrame, run_id: str, history: DataFrame) -> DataFrame:
+    """W1 without a run: its rows go, and their customers get their newest score of the other runs in ``history``. This
+    is ``latest`` itself where the run has no rows in it; history is read only where it has."""
     stale = latest.filter(F.col("run_id") == run_id).select(ID_COL)
-    if not stale.isEmpty():
-        again = history.filter(F.col("run_id") != run_id).select(*PREDICTION_COLUMNS).join(stale, ID_COL, "left_semi")
-        others = others.unionByName(latest_scores(again).select(*PREDICTION_COLUMNS))
-    return merge_latest(others, published)
+    if stale.isEmpty():
+        return latest
+    others = latest.filter(F.col("run_id") != run_id).select(*PREDICTION_COLUMNS)
+    again = history.filter(F.col("run_id") != run_id).select(*PREDICTION_COLUMNS).join(stale, ID_COL, "left_semi")
+    return others.unionByName(latest_scores(again).select(*PREDICTION_COLUMNS))
+
+
+def replace_run(latest: DataFrame, run_id: str, published: DataFrame, history: DataFrame) -> DataFrame:
+    """W1 after a run was done again or taken back: what its earlier attempt left in ``latest`` goes, and ``published``,
+    the run's rows now (none if it was taken back), are merged in."""
+    return merge_latest(without_run(latest, run_id, history), published)
+
+
+def next_latest(
+    spark: SparkSession, old_path: str | None, new_path: str, run_id: str, published: DataFrame, history: DataFrame
+) -> None:
+    """W1 as stored: a keyed table at ``new_path`` made from the one at ``old_path`` (None: there is none yet) and the rows
+    that a run has now. A new run's rows are brought to the buckets of the stored ones, which stay where they are; only
+    a run that had rows before, or a table that outgrew its buckets, moves the stored rows too."""
+    published = published.select(*PREDICTION_COLUMNS)
+    rows = published.count()  # of files: from their footers
+    if old_path is None:
+        keyed.write_keyed(published, new_path, keyed.buckets_for(rows))
+        return
+    old, note = keyed.read_keyed(spark, old_path), keyed.keyed_note(spark, old_path)
+    had = note["buckets"] if note else 0
+    buckets = max(had, keyed.buckets_for(max(rows, old.count())))
+    others = without_run(old, run_id, history)
+    moved = others is not old or buckets != had
+    keyed.write_keyed(merge_latest(others, published).select(*PREDICTION_COLUMNS), new_path, buckets, moved=moved)
 
 
 def score_for(latest: DataFrame, customer_id: str) -> DataFrame:
-    """Latest score of one customer; the id filter is pushed into the scan of the latest scores."""
+    """Latest score of one customer. The id filter is pushed into the scan of the latest scores, which opens one
+    file where these are stored by key."""
     return latest.filter(F.col(ID_COL) == customer_id).select(*PREDICTION_COLUMNS)
 
 

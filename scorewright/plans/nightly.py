@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from scorewright.config import JobConfig
 from scorewright.functions.exprs import psi_bin, ts_lit
-from scorewright.operators import etl, features as FE, monitor, quality, scoring, store
+from scorewright.operators import etl, features as FE, keyed, monitor, quality, scoring, store
 from scorewright.plans import history as H
 from scorewright.session import input_bytes, size_partitions
 from scorewright.sources import adapter, sinks, tables
@@ -106,20 +106,19 @@ def latest_versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def latest_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest whole version of the latest scores."""
-    return spark.read.parquet(os.path.join(path, f"attempt={latest_versions(spark, path)[-1]}"))
+    """The newest whole version of the latest scores, keyed by customer."""
+    return keyed.read_keyed(spark, os.path.join(path, f"attempt={latest_versions(spark, path)[-1]}"))
 
 
 def _refresh_latest(spark: SparkSession, paths: dict[str, str], run_id: str, published: DataFrame, attempt: int) -> None:
     """The latest-scores table after this run, as a new version beside the one it was made from (readers of which go
     on undisturbed). Two versions are kept."""
-    versions = latest_versions(spark, paths["latest_scores"])
-    if versions:
-        history = spark.read.parquet(paths["predictions"])
-        published = store.replace_run(latest_table(spark, paths["latest_scores"]), run_id, published, history)
-    sinks.write_parquet(published.select(*store.PREDICTION_COLUMNS), os.path.join(paths["latest_scores"], f"attempt={attempt}"))
+    versions = [os.path.join(paths["latest_scores"], f"attempt={v}") for v in latest_versions(spark, paths["latest_scores"])]
+    history = spark.read.parquet(paths["predictions"])
+    new = os.path.join(paths["latest_scores"], f"attempt={attempt}")
+    store.next_latest(spark, versions[-1] if versions else None, new, run_id, published, history)
     for old in versions[:-1]:
-        _delete(spark, os.path.join(paths["latest_scores"], f"attempt={old}"))
+        keyed.drop_keyed(spark, old)
 
 
 def _take_back(spark: SparkSession, paths: dict[str, str], run_id: str, attempt: int) -> None:
