@@ -35,6 +35,7 @@ def main() -> None:
     from scorewright.config import ID_COL, TARGET_COL, JobConfig
     from scorewright.operators import features as FE, model as M, monitor, scoring, store
     from scorewright.operators.quality import GateFailure
+    from scorewright.operators.runlog import RunLog
     from scorewright.plans import nightly, registry as R, runs as RN
     from scorewright.session import get_spark
 
@@ -77,10 +78,9 @@ def main() -> None:
 
     # ---- analytics over the stored tables
     pred = spark.read.parquet(os.path.join(wh, "predictions"))
-    runs = store.fold_runs(spark.read.parquet(os.path.join(wh, "run_events")))
+    runs = RunLog(spark, os.path.join(wh, "run_events")).runs()
     customers = spark.read.parquet(os.path.join(wh, "customers"))
-    versions = spark.read.parquet(os.path.join(wh, "latest_scores"))
-    latest = versions.filter(F.col("attempt") == versions.agg(F.max("attempt")).first()[0])
+    latest = nightly.latest_table(spark, os.path.join(wh, "latest_scores"))
     last, prev = RN.RUNS[3].run_id, RN.RUNS[1].run_id
 
     def psi_pair():

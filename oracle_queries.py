@@ -473,6 +473,7 @@ SELECT run_id, seq, status FROM (
          row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn
   FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1995-01-01') WHERE rn = 1"""
 oracle("s6_run_state", "runs", f"SELECT {all_r(RUN_COLS, RUN_DOUBLES)} FROM runs")
+oracle("s6_run_state_from_log", "runs", f"SELECT {all_r(RUN_COLS, RUN_DOUBLES)} FROM runs")
 oracle(
     "s6_run_state_after_rerun", "runs",
     f"""SELECT {all_r(RUN_COLS, RUN_DOUBLES)} FROM (SELECT * FROM runs WHERE run_id <> '{RUNS_[1].run_id}' UNION ALL
@@ -503,6 +504,7 @@ oracle(
        {r4('avg_plan_days')} AS avg_plan_days, n_auto_renew, n_cancels, payment_method_id, last_is_auto_renew,
        last_is_cancel, {r4('total_discount')} AS total_discount, membership_tenure_days, days_to_expire FROM tx_agg""",
 )
+ORACLE["a4_features_by_day"] = ORACLE["a4_transaction_features"]
 ORACLE["e1_customers_from_csv"] = with_ctes(
     f"SELECT {all_r(CUSTOMER_COLS, CUSTOMER_DOUBLES)} FROM customers", "customers"
 ).replace("ORDER BY transaction_date DESC, transaction_id DESC", "ORDER BY transaction_date DESC, payment_method_id DESC, is_auto_renew DESC, is_cancel DESC")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from scorewright.config import JobConfig
 from scorewright.functions.exprs import psi_bin, ts_lit
 from scorewright.operators import etl, features as FE, keyed, monitor, quality, scoring, store
+from scorewright.operators.runlog import RunLog
 from scorewright.plans import history as H
 from scorewright.session import input_bytes, size_partitions
 from scorewright.sources import adapter, sinks, tables
@@ -77,17 +78,17 @@ def require_artifacts(spark: SparkSession, paths: list[str]) -> None:
         raise MissingArtifact(", ".join(missing))
 
 
-def _append_events(spark: SparkSession, path: str, run_id: str, attempt: int, *events: tuple[int, str, dict]) -> None:
-    """Append events decided at the same moment to the run event log, as one small write."""
+def _events(spark: SparkSession, run_id: str, attempt: int, *events: tuple[int, str, dict]) -> DataFrame:
+    """Events of a run that are decided at the same moment: one commit of the run log."""
     one = spark.range(1).select(F.lit(run_id).alias("run_id"))
     frames = [
         H.event(one, seq, name, {k: (v if hasattr(v, "_jc") else F.lit(v)) for k, v in fields.items()}, attempt)
         for seq, name, fields in events
     ]
-    log = frames[0]
+    whole = frames[0]
     for frame in frames[1:]:
-        log = log.unionByName(frame)
-    log.write.mode("append").parquet(path)
+        whole = whole.unionByName(frame)
+    return whole
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -154,16 +155,16 @@ def run_nightly(
     paths = _paths(warehouse)
     t: dict[str, float] = {}
     require_artifacts(spark, [paths["vocabulary"], *([model_path] if model_path else [])])
-    attempt = time.time_ns() // 1000
     raw = [os.path.join(sf_dir, f"{n}.parquet") for n in ("customer", "orders", "lineitem")]
     size_partitions(spark, input_bytes(spark, raw))  # only where the launcher left them unset
     started_at = started_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
-    # Register the run (a retried registration is a no-op when folded)
+    # Register this attempt of the run; the log numbers it
     version = model_version or (card.version if model_path is None else "gbt")
-    log = lambda *events: _append_events(spark, paths["run_events"], run_id, attempt, *events)
-    log((1, "register", {"status": "running", "model_version": version, "started_at": ts_lit(started_at),
-                         "records_failed": 0, "drift_flagged": False}))
+    run_log = RunLog(spark, paths["run_events"])
+    begun = {"status": "running", "model_version": version, "started_at": ts_lit(started_at), "records_failed": 0, "drift_flagged": False}
+    attempt = run_log.register(run_id, lambda n: _events(spark, run_id, n, (1, "register", begun)), again=True)
+    log = lambda *events: run_log.append(_events(spark, run_id, attempt, *events))
 
     # Refuse before any work; each customer is a label row, so the count comes from the file footers alone
     universe = etl.input_precheck(tables.read_table(spark, sf_dir, "customer", ["c_custkey"]), min_rows).first()
@@ -245,7 +246,7 @@ def run_nightly(
 
     # PSI against the newest earlier completed/validated run, from the two runs' stored bin counts
     t0 = time.perf_counter()
-    runs = store.fold_runs(spark.read.parquet(paths["run_events"]))
+    runs = run_log.runs()
     prev = monitor.previous_run(runs, run_id).select("run_id").first()
     psi_value, drift = None, False
     if prev is not None:

@@ -7,6 +7,7 @@ half-to-even so both engines agree regardless of addition order.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 
 from scorewright.config import CATEGORICAL_FEATURES, ID_COL, TARGET_COL, JobConfig
 from scorewright.functions.exprs import category_text, round_half_even
-from scorewright.operators import etl, features as FE, keyed, model as M, monitor, quality, scoring, store
+from scorewright.operators import daily, etl, features as FE, keyed, model as M, monitor, quality, scoring, store
+from scorewright.operators.runlog import RunLog
 from scorewright.plans import history as H, runs as RN
 from scorewright.session import checkpoint_dir, cut_lineage
 from scorewright.sources import adapter, sinks, tables
@@ -200,6 +202,16 @@ def q_s6_rerun(spark, sf_dir):
     return rounded(store.fold_runs(ev.unionByName(again.withColumn("attempt", F.lit(2).cast("long")))))
 
 
+@query("s6_run_state_from_log")
+def q_s6_log(spark, sf_dir):
+    """S6 from the stored log: a commit a step of the runs, a snapshot after four folders, folded from it and the tail."""
+    ev = history(spark, sf_dir).events
+    log = RunLog(spark, scratch(spark, "run_log"), compact_after=4)
+    for step in ev.select("seq").distinct().orderBy("seq").collect():
+        log.append(ev.filter(F.col("seq") == step["seq"]))
+    return rounded(log.runs())
+
+
 @query("s7_first_n_customers")
 def q_s7(spark, sf_dir):
     lab, mem, tx = raw_tables(spark, sf_dir)
@@ -239,6 +251,17 @@ def q_a4(spark, sf_dir):
     return rounded(etl.aggregate_transactions(tx, CFG.reference_date))
 
 
+@query("a4_features_by_day")
+def q_a4_days(spark, sf_dir):
+    """A4 as a night makes it from states kept by day: the states of all days, those rolled up to the evening before, and
+    one day merged into them."""
+    path, night = scratch(spark, "day_states"), CFG.reference_date
+    daily.write_days(daily.day_states(adapter.transactions(spark, sf_dir)), path)
+    days, before = spark.read.parquet(path), night - dt.timedelta(days=1)
+    rolled = cut_lineage(daily.roll(daily.days_between(days, None, before)), "rolled")
+    return rounded(daily.features(daily.roll(rolled, daily.days_between(days, before, night)), night))
+
+
 @query("e1_customers")
 def q_e1(spark, sf_dir):
     return rounded(customers(spark, sf_dir))

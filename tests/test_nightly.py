@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from scorewright.config import JobConfig
 from scorewright.operators import quality, scoring, store
+from scorewright.operators.runlog import RunLog
 from scorewright.plans import nightly
 
 FLAT = scoring.Scorecard(-0.85, {}, "flat")
@@ -26,7 +27,7 @@ def test_three_nights(spark):
     pred = spark.read.parquet(wh + "/predictions")
     counts = {r["run_id"]: r["count"] for r in pred.groupBy("run_id").count().collect()}
     assert counts == {"n1": r1.records_scored, "n2": r2.records_scored}  # the failed night published nothing
-    runs = {r["run_id"]: r for r in store.fold_runs(spark.read.parquet(wh + "/run_events")).collect()}
+    runs = {r["run_id"]: r for r in RunLog(spark, wh + "/run_events").runs().collect()}
     assert runs["n1"]["status"] == "validated" and runs["n3"]["status"] == "failed"
     assert runs["n2"]["psi_vs_previous"] == r2.psi and runs["n1"]["psi_vs_previous"] is None
     # PSI from the stored bin counts equals PSI recomputed from the published predictions
@@ -70,7 +71,7 @@ def test_rerun_of_a_night_replaces_its_partition(spark):
     pred = spark.read.parquet(wh + "/predictions")
     counts = {r["run_id"]: r["count"] for r in pred.groupBy("run_id").count().collect()}
     assert counts == {"r1": first.records_scored, "r2": again.records_scored}
-    state = lambda: {r["run_id"]: r for r in store.fold_runs(spark.read.parquet(wh + "/run_events")).collect()}["r2"]
+    state = lambda: {r["run_id"]: r for r in RunLog(spark, wh + "/run_events").runs().collect()}["r2"]
     good = state()
     assert good["status"] == "validated" and good["psi_vs_previous"] == again.psi
     with pytest.raises(quality.GateFailure):  # again, with a card that fails its gate
@@ -98,7 +99,7 @@ def test_guards_before_scoring(spark):
         nightly.run_nightly(spark, SF_SMALL, wh, "g", model_path=wh + "/model/gbt")
     with pytest.raises(quality.GateFailure, match="at least"):
         nightly.run_nightly(spark, SF_SMALL, wh, "g", min_rows=10**6)
-    assert store.fold_runs(spark.read.parquet(wh + "/run_events")).first()["status"] == "failed"
+    assert RunLog(spark, wh + "/run_events").runs().first()["status"] == "failed"
 
 
 def test_refused_rows_are_set_aside(spark):
@@ -133,5 +134,5 @@ def test_train_then_score_with_the_saved_model(spark):
     with contextlib.suppress(quality.GateFailure):
         r = nightly.run_nightly(spark, SF_SMALL, wh, "g1", model_path=paths["gbt"], model_version="gbt-v1")
         assert r.records_scored == r.records_read
-    runs = {x["run_id"]: x for x in store.fold_runs(spark.read.parquet(wh + "/run_events")).collect()}
+    runs = {x["run_id"]: x for x in RunLog(spark, wh + "/run_events").runs().collect()}
     assert runs["g1"]["model_version"] == "gbt-v1" and runs["g1"]["status"] in ("validated", "failed")
