@@ -546,6 +546,13 @@ oracle(
        (SELECT count(*) FROM (SELECT * FROM served EXCEPT ALL SELECT * FROM matrix)) AS serve_only""",
 )
 
+oracle(
+    "m11_parity_by_hash", "served",
+    """SELECT (SELECT count(*) FROM matrix) AS n_rows,
+       NOT EXISTS (SELECT * FROM matrix EXCEPT ALL SELECT * FROM served)
+       AND NOT EXISTS (SELECT * FROM served EXCEPT ALL SELECT * FROM matrix) AS equal""",
+)
+
 # scoring and gates
 oracle("m10_scored", "scored", "SELECT * FROM scored")
 oracle("m12_pandas_hook_scores", "scored", "SELECT * FROM scored")
@@ -583,6 +590,15 @@ oracle("v1_v6_gates", "gates", "SELECT * FROM gates")
 # store
 oracle("w14_run_summary", "summary", f"SELECT {all_r(SUMMARY_COLS, SUMMARY_DOUBLES)} FROM summary")
 oracle("w1_latest_scores", "latest", "SELECT * FROM latest")
+oracle(
+    "m11_latest_differences", "latest",
+    f"""SELECT {PRED_COLS}, CAST(sum(a) AS BIGINT) AS n_a, CAST(sum(b) AS BIGINT) AS n_b
+       FROM (SELECT {PRED_COLS}, 1 AS a, 0 AS b FROM latest UNION ALL
+             SELECT {PRED_COLS}, 0, 1 FROM (
+                 SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY scored_at DESC, run_id DESC) AS place FROM predictions
+                 WHERE run_id <> (SELECT max_by(run_id, scored_at) FROM predictions)) WHERE place = 1)
+       GROUP BY {PRED_COLS} HAVING sum(a) <> sum(b)""",
+)
 oracle("w1_latest_keyed", "latest", "SELECT * FROM latest")
 oracle("w8_keyed_lookup", "latest", "SELECT * FROM latest WHERE customer_id = '42'")
 oracle("w8_score_by_customer", "latest", "SELECT * FROM latest WHERE customer_id = '42'")

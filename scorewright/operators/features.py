@@ -156,15 +156,20 @@ def feature_matrix(
     return align(apply_encoders(engineer(customers), enc), feature_cols, keep)
 
 
-def parity(customers: DataFrame) -> DataFrame:
-    """Rows in the training matrix missing from the scoring matrix and the reverse (both must be 0).
+def parity_sides(customers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The training matrix and the scoring matrix of the same customers.
 
     The training side fits the vocabulary, stores it and looks codes up inline; the scoring side reads the stored
     vocabulary, gets the customers in another partitioning and applies every code by a join."""
     stored = cut_lineage(vocabulary(engineer(customers)), "vocabulary")
     train = feature_matrix(customers, encoders_from_table(stored))
     scattered = customers.drop(TARGET_COL).repartition(7, "n_transactions")
-    serve = feature_matrix(scattered, encoders_from_table(stored, inline_max=0))
+    return train, feature_matrix(scattered, encoders_from_table(stored, inline_max=0))
+
+
+def parity(customers: DataFrame) -> DataFrame:
+    """Rows in the training matrix missing from the scoring matrix and the reverse (both must be 0)."""
+    train, serve = parity_sides(customers)
     # EXCEPT ALL both ways in one shuffle: count each distinct row on both sides, then sum the surpluses.
     cols = train.columns
     tagged = train.select("*", F.lit(1).alias("t"), F.lit(0).alias("s")).unionByName(

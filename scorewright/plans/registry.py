@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from scorewright.config import CATEGORICAL_FEATURES, ID_COL, TARGET_COL, JobConfig
 from scorewright.functions.exprs import category_text, round_half_even
-from scorewright.operators import daily, etl, features as FE, keyed, model as M, monitor, quality, scoring, store
+from scorewright.operators import daily, etl, features as FE, keyed, model as M, monitor, multiset, quality, scoring, store
 from scorewright.operators.runlog import RunLog
 from scorewright.plans import history as H, runs as RN
 from scorewright.session import checkpoint_dir, cut_lineage
@@ -313,6 +313,26 @@ def q_m11(spark, sf_dir):
     return FE.parity(customers(spark, sf_dir))
 
 
+@query("m11_parity_by_hash")
+def q_m11_hash(spark, sf_dir):
+    """M11 by sums of row hashes: whether the training and the scoring matrix hold the same rows equally often."""
+    train, serve = FE.parity_sides(matrix_and_encoders(spark, sf_dir)[0])
+    t, s = multiset.fingerprint(train), multiset.fingerprint(serve.select(*train.columns))
+    same = (F.col("t.n") == F.col("s.n")) & (F.col("t.h1") == F.col("s.h1")) & (F.col("t.h2") == F.col("s.h2"))
+    one = t.withColumn("k", F.lit(1)).alias("t").join(s.withColumn("k", F.lit(1)).alias("s"), "k")  # a row a side
+    return one.select(F.col("t.n").alias("n_rows"), same.alias("equal"))
+
+
+@query("m11_latest_differences")
+def q_m11_diff(spark, sf_dir):
+    """Rows in which the latest scores differ before and after the newest run was taken back, found by ranges of row
+    hashes."""
+    h = history(spark, sf_dir)
+    newest = store.latest_completed(h.summary).first()["run_id"]
+    after = store.replace_run(h.latest, newest, h.predictions.limit(0), h.predictions)
+    return multiset.differences(h.latest, after, store.PREDICTION_COLUMNS)
+
+
 # ---------------------------------------------------------------- scoring
 
 
