@@ -565,7 +565,7 @@ for _name, _gone in (("w1_latest_after_rerun", "AND risk_tier = 'high'"), ("w1_l
     oracle(
         _name, "predictions",
         f"""SELECT {PRED_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY scored_at DESC, run_id DESC) AS rn
-            FROM predictions WHERE NOT (run_id = '{RUNS_[3].run_id}' {_gone})) WHERE rn = 1""",
+            FROM predictions WHERE NOT (run_id = '{RUNS_[4].run_id}' {_gone})) WHERE rn = 1""",
     )
 oracle(
     "x1_sampled_reference", "predictions",

@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LOOKUP_CUSTOMER = "42"  # W8 parameter
 PAGE, PAGE_SIZE = 2, 2  # W5 parameters
 HIST_RUN_A, HIST_RUN_B = RN.RUNS[0].run_id, RN.RUNS[3].run_id
+NEWEST_RUN = RN.RUNS[4].run_id
 
 
 def query(name: str):
@@ -406,18 +407,18 @@ def q_w1(spark, sf_dir):
 
 @query("w1_latest_after_rerun")
 def q_w1_rerun(spark, sf_dir):
-    """W1 kept up to date when a run is done again and no longer scores its high-tier customers: these fall back to
+    """W1 kept up to date when the newest run is done again and no longer scores its high-tier customers: these fall back to
     their newest score of another run."""
     pred = history(spark, sf_dir).predictions
-    again = pred.filter((F.col("run_id") == HIST_RUN_B) & (F.col("risk_tier") != "high"))
-    return store.replace_run(store.latest_scores(pred), HIST_RUN_B, again, pred)
+    again = pred.filter((F.col("run_id") == NEWEST_RUN) & (F.col("risk_tier") != "high"))
+    return store.replace_run(store.latest_scores(pred), NEWEST_RUN, again, pred)
 
 
 @query("w1_latest_after_withdrawal")
 def q_w1_back(spark, sf_dir):
-    """W1 kept up to date when a run is taken back as a whole."""
+    """W1 kept up to date when the newest run is taken back as a whole."""
     pred = history(spark, sf_dir).predictions
-    return store.replace_run(store.latest_scores(pred), HIST_RUN_B, pred.limit(0), pred)
+    return store.replace_run(store.latest_scores(pred), NEWEST_RUN, pred.limit(0), pred)
 
 
 @query("w8_score_by_customer")
@@ -426,14 +427,14 @@ def q_w8(spark, sf_dir):
 
 
 def keyed_latest(spark, sf_dir) -> DataFrame:
-    """The latest scores kept by key, a version a run as the nights pass; then the second run is done again without its
+    """The latest scores kept by key, a version a run as the nights pass; then the newest run is done again without its
     high-tier customers, and done well again."""
 
     def build():
         h = history(spark, sf_dir)
         runs = [r["run_id"] for r in h.runs.filter("validation_passed").orderBy("started_at", "run_id").select("run_id").collect()]
         mine = {r: h.predictions.filter(F.col("run_id") == r) for r in runs}
-        steps = [*mine.items(), (runs[1], mine[runs[1]].filter(F.col("risk_tier") != "high")), (runs[1], mine[runs[1]])]
+        steps = [*mine.items(), (runs[-1], mine[runs[-1]].filter(F.col("risk_tier") != "high")), (runs[-1], mine[runs[-1]])]
         path = None
         for run_id, published in steps:
             old, path = path, scratch(spark, "latest_keyed")
