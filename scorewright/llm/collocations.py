@@ -130,7 +130,7 @@ def active_slots(batch: pa.RecordBatch, first: np.ndarray, scan: int, shards: in
         own, due = slots(places.keys[k][at]), start[at].astype(np.int16)
         yield own[(due <= scan) & (scan < due + shards)]
         since = np.full(len(start), NEVER, np.uint8)
-        since[at] = first[own]
+        since[at] = np.maximum(first[own], start[at])  # a shared slot may be frequent before the phrase is counted
 
 
 def frequent_slots(shard, shards: int, longest: int, least: int, spark) -> np.ndarray:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from scorewright.llm import collocations as C
@@ -73,3 +74,58 @@ def test_parts_keep_pieces_whole(monkeypatch, size):
     assert b"".join(cut) == text and (size >= 50 or len(cut) > 3)
     pieces = lambda ws: [x.split() for x in b" ".join(ws).split(C.BORDER) if x.split()]
     assert pieces([w for x in cut for w in C.pieces(x)]) == pieces(C.pieces(text))
+
+
+def test_every_phrase_is_counted_for_a_whole_cycle():
+    """Where what shares their slots made "a b" and "b c" frequent before the word a was, "a b c" starts with a."""
+    memo = C.WordHashes()
+    words = [b"a", b"b", b"c", C.BORDER]
+    batch = C.encoded_rows([("en", 0, C.hashed(words, memo).tobytes())])
+    places = C.Places(C.hashed(words, memo), C.salts(["en"], [4]))
+    places.longer()
+    places.longer()
+    first = np.full(1 << C.SLOT_BITS, C.NEVER, np.uint8)
+    first[C.slots(places.keys[0][:3])] = [4, 1, 1]
+    first[C.slots(places.keys[1][:2])] = 2
+    whole = C.slots(places.keys[2])[0]
+    counted = []
+    for scan in range(12):
+        known = np.where(first <= scan, first, C.NEVER).astype(np.uint8)
+        counted += [scan] * sum((x == whole).sum() for x in C.active_slots(batch, known, scan, 4, 5))
+    assert counted == [4, 5, 6, 7]
+
+
+def test_frequent_slots_miss_nothing_in_a_small_table(monkeypatch):
+    """Of the phrases that occur often enough none is lost where rare ones share slots."""
+    bits, least, shards, draw = 10, 6, 4, random.Random(5)
+    table = 1 << bits
+    monkeypatch.setattr(C, "SLOT_BITS", bits)
+    monkeypatch.setattr(C, "slots", lambda keys: ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64))
+    monkeypatch.setattr(C, "count_slots", lambda rows, found, limit, result: result(sum((np.bincount(x, minlength=table) for b in rows for x in found(b)), np.zeros(table, np.int64))))
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+        def destroy(self):
+            pass
+
+    class Session:
+        sparkContext = type("Context", (), {"broadcast": staticmethod(Shared)})
+
+    memo, f, parts = C.WordHashes(), Counter(), [[] for _ in range(shards)]
+    for _ in range(150):
+        words = [b"%d" % int(draw.paretovariate(0.7)) for _ in range(draw.randint(1, 9))]
+        parts[draw.randrange(shards)].append(("en", 0, C.hashed([*words, C.BORDER], memo).tobytes()))
+        f.update(tuple(words[i : i + k]) for k in range(1, 6) for i in range(len(words) - k + 1))
+    batches = [[C.encoded_rows(p)] for p in parts]
+    frequent = C.frequent_slots(lambda i: batches[i], shards, 5, least, Session())
+
+    def slot(words):
+        places = C.Places(C.hashed(list(words), memo), C.salts(["en"], [len(words)]))
+        for _ in words[1:]:
+            places.longer()
+        return C.slots(places.keys[-1])[0]
+
+    often = [w for w, n in f.items() if n >= least]
+    assert len(often) > 20 and not [w for w in often if not frequent[slot(w)]]
