@@ -195,7 +195,7 @@ def train_gbt(train_val: DataFrame, cfg: JobConfig = JobConfig()):
         featureSubsetStrategy="0.8",
         seed=cfg.seed,
         maxMemoryInMB=1024,
-        cacheNodeIds=True,
+        cacheNodeIds=False,  # a walk down at most max_depth nodes is cheaper than ids written and joined at each level
         checkpointInterval=10,
     )
     if val.isEmpty():

@@ -50,3 +50,22 @@ def test_best_round():
     assert M.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == (2, True)
     assert M.best_round([3.0, 2.0, 2.5, 1.9, 2.0], 2) == (4, False)
     assert M.best_round([3.0, 2.0, 1.0], 1) == (3, False)
+
+
+def test_no_table_of_node_ids_is_kept_beside_the_rows(spark, monkeypatch):
+    """The trees are those of a fit that keeps one, which costs a pass over it at every level."""
+    from pyspark.ml.classification import GBTClassifier
+
+    fit, kept, trees = GBTClassifier.fit, [], []
+
+    def both(self, rows):
+        kept.append(self.getCacheNodeIds())
+        for cached in (True, False):
+            model = fit(self.copy().setCacheNodeIds(cached), rows)
+            trees.append(model.toDebugString.split("\n", 1)[1])
+        return model
+
+    monkeypatch.setattr(GBTClassifier, "fit", both)
+    M.train_gbt(_frame(spark), JobConfig(n_trees=8, learning_rate=0.1, max_depth=3))
+    assert kept == [False]
+    assert trees[0] == trees[1] and trees[0].count("Tree ") == 8
