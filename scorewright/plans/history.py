@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ class History:
     gates: DataFrame  # one row per run
     stats: DataFrame  # one row per run
     predictions: DataFrame  # rows of passed runs (the stored table)
-    latest: DataFrame  # latest score per customer, merged run by run as the job does
+    passed: DataFrame  # parameters of the runs whose gate passed
     pairs: DataFrame  # run_id -> ref_run_id
     psi_breakdown: DataFrame
     psi: DataFrame
@@ -43,6 +44,15 @@ class History:
     runs: DataFrame  # folded run table
     summary: DataFrame  # run summary view
 
+    @cached_property
+    def latest(self) -> DataFrame:
+        """Latest score per customer, merged run by run as the job does, when the first query asks for it: the run
+        queries need none of these shuffles of all customers."""
+        latest = self.predictions.limit(0)
+        for r in self.passed.orderBy("started_at", "run_id").select("run_id").collect():  # a merge a run, as nights pass
+            latest = cut_lineage(store.merge_latest(latest, self.predictions.filter(F.col("run_id") == r["run_id"])), "latest")
+        return latest
+
 
 def event(df: DataFrame, seq: int, name: str, fields: dict[str, Column], attempt: int = 1) -> DataFrame:
     cols = [
@@ -124,8 +134,4 @@ def build(
     )
     events = cut_lineage(events, "run_events")  # a few rows a run; every run query starts from them
     folded = cut_lineage(store.fold_runs(events), "runs")
-    latest = pred.limit(0)
-    for r in passed.orderBy("started_at", "run_id").select("run_id").collect():  # a merge a run, as nights pass
-        latest = cut_lineage(store.merge_latest(latest, pred.filter(F.col("run_id") == r["run_id"])), "latest")
-    return History(scored, gates, stats, pred, latest, pairs, breakdown, psi, events, folded, store.run_summary(folded))
-
+    return History(scored, gates, stats, pred, passed, pairs, breakdown, psi, events, folded, store.run_summary(folded))
