@@ -8,9 +8,12 @@ tells nothing of its first token, so the prefix is extended until the tokens bey
 with the rare ones, are e + 1. The number of classes follows from the size of the sets, by size windows that any two
 partners share.
 
-Equal sets are one node. Nodes that share an index entry are candidates and are verified on their whole sets. An entry
-with many nodes has a pivot in each round; what is linked to it needs no comparison with what is linked to it too, and
-pairs that are already connected need none at all, so a crowd of near copies costs a few rounds of one pair a node.
+Equal sets are one node. Entries that the same nodes have are one entry. Nodes that share an entry are candidates. Each
+node has a bitmap, in which every token turns over one bit: where two bitmaps differ the sets differ too, in as many
+tokens at least. Candidates whose bitmaps differ in more bits than partners' sets may differ in tokens are dropped, the
+others are verified on their whole sets. An entry with many nodes has a pivot in each round; what is linked to it needs
+no comparison with what is linked to it too, and pairs that are already connected need none at all, so a crowd of near
+copies costs a few rounds of one pair a node. Pairs just below the similarity are met bitmap by bitmap.
 """
 
 from __future__ import annotations
@@ -30,12 +33,18 @@ from scorewright.llm.components import components
 from scorewright.llm.slots import count_slots, slots
 
 SPACE = re.compile(rb"[\t-\r ]")  # fixed: what ends a word
+INSIDE = np.array([not SPACE.match(bytes([b])) for b in range(256)])  # fixed: bytes of words
+FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)  # fixed: masks of the first bytes of eight
+LONG_WORD = 64  # bytes from which a word is hashed by itself
 PART = 4 << 20  # bytes of a text that are split into words at once
-WORDS_KEPT = 600_000  # hashes of words that a task keeps
+WORDS_KEPT = 600_000  # hashes of long words that a task keeps
 STEP = np.uint64(0xD6E8FEB86659FD93)  # fixed: an odd multiplier
 LEVELS = 4  # levels of the order by factor of two of a token's count
 FREQUENT = 6 * LEVELS  # tokens of about 64 documents and more are indexed by two
 CLASS_TOKENS = 6  # tokens of the smallest set of a window for each class
+BITMAP_BITS = 1024
+NODES_KEPT = 1_000_000  # nodes whose entries a task knows it has passed on
+BROADCAST_NODES = 200_000
 CROWD = 32  # nodes from which an index entry gets further pivots
 PIVOT_ROUNDS = 6
 
@@ -46,6 +55,30 @@ class WordHashes(dict):
         return h
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * STEP
+    return h ^ (h >> np.uint64(29))
+
+
+def part_hashes(text: bytes, memo: WordHashes) -> np.ndarray:
+    """Hashes of the words, eight bytes of every word at a time."""
+    text = text.lower()
+    inside = np.zeros(len(text) + 2, bool)
+    inside[1:-1] = INSIDE[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    at, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(text) + 1, "<u8", text + bytes(8), 0, (1,))  # the eight bytes from each byte on
+    h = mixed(size.astype(np.uint64) * STEP ^ eight[at] & FIRST_BYTES[np.minimum(size, 8)])
+    left, done = np.flatnonzero(size > 8), 8
+    while len(left) and done < LONG_WORD:
+        rest = size[left] - done
+        h[left] = mixed(h[left] ^ eight[at[left] + done] & FIRST_BYTES[np.minimum(rest, 8)])
+        left, done = left[rest > 8], done + 8
+    for i in left.tolist():
+        h[i] = memo[text[at[i] : at[i] + size[i]]]
+    return h
+
+
 def word_hashes(text: bytes, memo: WordHashes) -> np.ndarray:
     """Hashes of the words; a long text is split part by part."""
     found, at = [], 0
@@ -54,8 +87,7 @@ def word_hashes(text: bytes, memo: WordHashes) -> np.ndarray:
         end = cut.start() if cut else len(text)
         if len(memo) > WORDS_KEPT:
             memo.clear()
-        words = text[at:end].lower().split()
-        found.append(np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)))
+        found.append(part_hashes(text[at:end], memo))
         at = max(end, at + 1)
     return np.concatenate(found) if len(found) > 1 else found[0]
 
@@ -69,7 +101,14 @@ def tokens(text: str, shingle: int, memo: WordHashes) -> np.ndarray:
     out = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
         out = out * STEP + h[i : len(h) - k + 1 + i]
-    return np.unique(out)
+    out.sort()
+    return out[np.append(True, out[1:] != out[:-1])]
+
+
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """The parity of the tokens of each bit, as 64-bit numbers."""
+    odd = np.bincount((found >> np.uint64(32)).astype(np.int64) % BITMAP_BITS, minlength=BITMAP_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def most_missing(n: int, percent: int) -> int:
@@ -121,96 +160,134 @@ def token_levels(docs: DataFrame, shingle: int) -> np.ndarray:
     def found(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         each = [tokens(text, shingle, memo) for text in texts(batch)]
         if each:
-            yield slots(np.concatenate(each))
+            yield np.sort(slots(np.concatenate(each)))  # in order of memory
 
     return count_slots(docs, found, 65535, lambda n: np.floor(LEVELS * np.log2(np.maximum(n, 1))))
 
 
 def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """doc_id, node (a 64-bit hash of the set, null if empty), n (its size), plain (whether its entries are single
-    tokens alone) and entries for every row."""
+    """doc_id, node (a 64-bit hash of the set, null if empty), n (its size) and entries for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(token_levels(docs.select("text"), shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, memo = shared.value, WordHashes()
         for batch in batches:
-            nodes, sizes, plain, entries = [], [], [], []
+            nodes, sizes, entries = [], [], []
             for text in texts(batch):
                 found = tokens(text, shingle, memo)
                 order = levels[slots(found)]
                 sizes.append(len(found))
                 nodes.append(node_of(found))
-                plain.append(bool((order < FREQUENT).sum() > most_missing(len(found), percent)))
                 entries.append(signatures(found, order, percent) if len(found) else found)
-            ends = np.cumsum([0, *map(len, entries)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(entries) if entries else np.zeros(0, np.uint64)).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(plain, pa.bool_()), lists], ["doc_id", "node", "n", "plain", "entries"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists_of(entries)], ["doc_id", "node", "n", "entries"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, node long, n long, plain boolean, entries array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, node long, n long, entries array<long>")
 
 
 def node_of(found: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64)) if len(found) else None
 
 
+def lists_of(each: list[np.ndarray]) -> pa.ListArray:
+    """A list of 64-bit numbers a row."""
+    ends = np.cumsum([0, *map(len, each)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(each) if each else np.zeros(0, np.uint64)).view(np.int64)))
+
+
+def marked(keys: DataFrame, name: str) -> np.ndarray:
+    """Whether the slots of the column ``name`` have a key, as bits: 2 MB, whatever the input."""
+
+    def found(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield np.sort(slots(batch.column(name).to_numpy().view(np.uint64)))
+
+    return np.packbits(count_slots(keys.select(name), found, 1, lambda n: np.minimum(n, 1)))
+
+
+def is_marked(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = slots(keys)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def shared_entries(rows: DataFrame) -> DataFrame:
-    """entry, node and pivot (the entry's least node) for the index entries that several nodes have. Entries are
-    reduced to their least and greatest node per task first, so neither copies nor frequent entries gather."""
-    index = rows.select("node", "n", "plain", F.explode("entries").alias("entry"))
-    ends = index.groupBy("entry").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
-    several = ends.where("pivot != top").select("entry", "pivot")
-    return stored(index.join(several, "entry").dropDuplicates(["entry", "node"]), "index")
+    """entry, node and pivot (the entry's least node) for the index entries that several nodes have; of entries that the
+    same nodes have, one. Entries are reduced to their least and greatest node per task first, so neither copies nor
+    frequent entries gather. Only entries of the slots of shared ones are dealt out with their nodes."""
+    ends = rows.select("node", F.explode("entries").alias("entry")).groupBy("entry").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
+    several = stored(ends.where("pivot != top").select("entry", "pivot"), "several")
+    shared = rows.sparkSession.sparkContext.broadcast(marked(several, "entry"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed: set[int] = set()
+        for batch in batches:
+            if len(passed) > NODES_KEPT:
+                passed.clear()
+            nodes, lists = batch.column("node").to_numpy(zero_copy_only=False), batch.column("entries")
+            fresh = [i for i, node in enumerate(nodes.tolist()) if not (node in passed or passed.add(node))]
+            lists = lists.take(pa.array(fresh, pa.int64()))
+            entries = lists.flatten().to_numpy()
+            node = np.repeat(nodes[fresh], np.diff(lists.offsets.to_numpy()))
+            chosen = is_marked(shared.value, entries.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(entries[chosen], pa.int64()), pa.array(node[chosen], pa.int64())], ["entry", "node"])
+
+    index = rows.where(F.col("node").isNotNull()).select("node", "entries").mapInArrow(run, "entry long, node long")
+    index = stored(index.join(several, "entry").dropDuplicates(["entry", "node"]), "entries")
+    alike = [F.count("*").alias("nodes"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    one = index.groupBy("entry", "pivot").agg(*alike).groupBy("pivot", "nodes", "x", "y").agg(F.min("entry").alias("entry"))
+    out = stored(index.join(one.select("entry"), "entry"), "index")
+    discard(several)
+    discard(index)
+    return out
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """node and tokens for the nodes ``wanted``. One document of each is read again: its doc_id is marked in a table
-    of fixed size, and of what else has a marked slot, if anything, the surplus is harmless."""
+    """node, n, bits and tokens for the nodes ``wanted``. One document of each is read again: its doc_id is marked in a
+    table of fixed size, and of what else has a marked slot, if anything, the surplus is harmless."""
     one = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.xxhash64("doc_id")).alias("mark"))
-
-    def marks(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield slots(batch.column("mark").to_numpy().view(np.uint64))
-
-    table = count_slots(one.select("mark"), marks, 1, lambda n: np.minimum(n, 1))
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(table))  # 2 MB, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(marked(one, "mark"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            at = slots(batch.column("mark").to_numpy().view(np.uint64))
-            chosen = np.flatnonzero(shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+            chosen = np.flatnonzero(is_marked(shared.value, batch.column("mark").to_numpy().view(np.uint64)))
             found = [x for x in (tokens(text, shingle, memo) for text in texts(batch.take(pa.array(chosen)))) if len(x)]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(list(map(node_of, found)), pa.int64()), lists], ["node", "tokens"])
+            sizes = pa.array(list(map(len, found)), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(map(node_of, found)), pa.int64()), sizes, lists_of(list(map(bitmap, found))), lists_of(found)], ["node", "n", "bits", "tokens"])
+
+    again = docs.select(F.xxhash64("doc_id").alias("mark"), "text").mapInArrow(run, "node long, n long, bits array<long>, tokens array<long>")
+    return stored(again.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "bits", "tokens"))), "sets")
 
-    again = docs.select(F.xxhash64("doc_id").alias("mark"), "text").mapInArrow(run, "node long, tokens array<long>")
-    return stored(again.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+
+def could_link(n: str, n2: str, bits: str, bits2: str, percent: int) -> Column:
+    """Whether two sets may be partners by their sizes and bitmaps: they differ in as many tokens as bits at least."""
+    differ = sum((F.bit_count(F.col(bits)[i].bitwiseXOR(F.col(bits2)[i])) for i in range(BITMAP_BITS // 64)), F.lit(0))
+    both = F.col(n) + F.col(n2)
+    return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & ((100 + percent) * (both - differ) >= 2 * percent * both)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets have a Jaccard similarity of ``percent`` or more."""
-    side = lambda node, name: sets.select(F.col("node").alias(node), F.col("tokens").alias(name), F.size("tokens").cast("long").alias(f"n_{name}"))
-    both = pairs.join(side("u", "a"), "u").where("u != v").join(side("v", "b"), "v")
-    both = both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    common = F.size(F.array_intersect("a", "b")).cast("long")
-    return both.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("u", "v")
+    side = lambda of, node, n, c, kept: of.select(F.col("node").alias(node), F.col("n").alias(n), F.col(c).alias(kept))
+    near = pairs.where("u != v").join(side(sets, "u", "n", "bits", "bits"), "u").join(side(sets, "v", "n2", "bits", "bits2"), "v")
+    near = stored(near.where(could_link("n", "n2", "bits", "bits2", percent)).select("u", "v"), "near")
+    few = near.count() <= BROADCAST_NODES
 
+    def of(end: str) -> DataFrame:
+        """The sets at one end of the pairs; the ids go to the sets if they are few."""
+        ids = near.select(F.col(end).alias("node")).distinct()
+        return sets.join(F.broadcast(ids), "node", "left_semi") if few else sets
 
-def could_link(n: str, n2: str, plain: Column, shared: Column, percent: int) -> Column:
-    """Whether two sets may be partners by their sizes and, where both have single tokens as entries, by the number
-    of shared ones: what is common is in both prefixes, or beyond the prefix that ends first."""
-    part = lambda c: F.ceil(F.col(c) * percent / 100)
-    least = F.ceil((F.col(n) + F.col(n2)) * percent / (100 + percent)) - F.greatest(part(n), part(n2)) + 1
-    return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & (~plain | (shared >= least))
+    both = near.join(side(of("u"), "u", "n_a", "tokens", "a"), "u").join(side(of("v"), "v", "n_b", "tokens", "b"), "v")
+    common = F.size(F.array_intersect("a", "b")).cast("long")
+    return both.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("u", "v")
 
 
 def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the nodes that have partners: root is the least node they are connected to.
 
     First each node is compared with the pivot of its entries. Entries of more than CROWD nodes that are not all
-    connected then get up to PIVOT_ROUNDS further pivots, by a hash of node and round. What is left are the pairs of an
-    entry that are not connected yet. Each is met at its least common entry alone and compared if it could link.
+    connected then get up to PIVOT_ROUNDS further pivots, by a hash of node and round, while these bring links. What is
+    left are the pairs of an entry that are not connected yet. Those that could link are compared, at one common entry.
     """
     pair = lambda a, b: (F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
     found = stored(verified(index.select(*pair("node", "pivot")).distinct(), sets, percent), "links")
@@ -234,14 +311,17 @@ def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             break
         chosen = crowds.groupBy("entry").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")).alias("x"))
         chosen = chosen.select("entry", F.col("x.node").alias("other"), F.col("x.root").alias("other_root"))
+        before = roots
         roots = join_in(crowds.join(chosen, "entry").where("root != other_root").select(*pair("node", "other")))
-    rest = unsettled(2).select("entry", "node", "root", "n", "plain")
-    rest = rest.join(rest.groupBy("node").agg(F.collect_set("entry").alias("own")), "node")
-    other = rest.toDF("node2", "entry2", "root2", "n2", "plain2", "own2")
-    common = F.array_intersect("own", "own2")
-    once = (F.col("root") < F.col("root2")) & (F.array_min(common) == F.col("entry"))
-    may = could_link("n", "n2", F.col("plain") & F.col("plain2"), F.size(common), percent)
-    return join_in(rest.join(other, (F.col("entry") == F.col("entry2")) & once & may).select(*pair("node", "node2")))
+        if roots is before:
+            break
+    rest = unsettled(2).select("entry", "node", "root")
+    rest = rest.join(rest.groupBy("node").agg(F.collect_set(F.hash("entry")).alias("own")), "node")
+    rest = stored(rest.join(sets.select("node", "n", "bits"), "node"), "rest")
+    other = rest.select(*(F.col(c).alias(f"{c}2") for c in rest.columns))
+    once = F.array_min(F.array_intersect("own", "own2")) == F.hash("entry")
+    may = (F.col("root") < F.col("root2")) & could_link("n", "n2", "bits", "bits2", percent) & once
+    return join_in(rest.join(other, (F.col("entry") == F.col("entry2")) & may).select(*pair("node", "node2")))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
