@@ -242,7 +242,8 @@ def shared_entries(rows: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """node, n, bits and tokens for the nodes ``wanted``. One document of each is read again: its doc_id is marked in a
-    table of fixed size, and of what else has a marked slot, if anything, the surplus is harmless."""
+    table of fixed size, and of what else has a marked slot, if anything, the surplus is harmless. Only nodes that are
+    read several times are shuffled."""
     one = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.xxhash64("doc_id")).alias("mark"))
     shared = docs.sparkSession.sparkContext.broadcast(marked(one, "mark"))
 
@@ -255,7 +256,12 @@ def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -
             yield pa.RecordBatch.from_arrays([pa.array(list(map(node_of, found)), pa.int64()), sizes, lists_of(list(map(bitmap, found))), lists_of(found)], ["node", "n", "bits", "tokens"])
 
     again = docs.select(F.xxhash64("doc_id").alias("mark"), "text").mapInArrow(run, "node long, n long, bits array<long>, tokens array<long>")
-    return stored(again.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "bits", "tokens"))), "sets")
+    found = stored(again, "sets")
+    several = stored(found.groupBy("node").agg(F.count("*").alias("rows")).where("rows > 1").select("node"), "several")
+    if several.isEmpty():
+        return found
+    one = found.join(several, "node", "left_semi").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "bits", "tokens")))
+    return found.join(several, "node", "left_anti").unionByName(one)
 
 
 def could_link(n: str, n2: str, bits: str, bits2: str, percent: int) -> Column:

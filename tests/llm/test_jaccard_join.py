@@ -95,3 +95,34 @@ def test_long_texts_are_split_whole(monkeypatch):
     whole = J.tokens(text, 5, J.WordHashes())
     monkeypatch.setattr(J, "PART", 17)
     assert np.array_equal(J.tokens(text, 5, J.WordHashes()), whole) and len(whole) == 10
+
+
+def test_bitmaps_drop_what_is_just_below_the_similarity(spark):
+    """Candidates are sifted before sets are shipped: no partner is lost, and few others are kept."""
+    draw = random.Random(4)
+    base = [f"w{i}" for i in range(250)]
+    texts = near_copies(draw, base, 120, 8) + ["one two", "one three"]
+    sets = [J.tokens(x, 5, J.WordHashes()) for x in texts]
+    schema = "node long, n long, bits array<long>"
+    rows = spark.createDataFrame([(i, len(x), J.bitmap(x).tolist()) for i, x in enumerate(sets)], schema)
+    both = rows.crossJoin(rows.toDF("node2", "n2", "bits2")).where("node < node2")
+    kept = {(r.node, r.node2) for r in both.where(J.could_link("n", "n2", "bits", "bits2", 80)).select("node", "node2").collect()}
+    common = {(i, j): len(np.intersect1d(sets[i], sets[j])) for j in range(len(sets)) for i in range(j)}
+    partners = {(i, j) for (i, j), c in common.items() if 100 * c >= 80 * (len(sets[i]) + len(sets[j]) - c)}
+    assert partners <= kept
+    assert len(common) > 3 * len(partners) and len(kept) < 1.5 * len(partners)
+
+
+def test_entries_of_the_same_nodes_are_one(spark):
+    schema = "node long, entries array<long>"
+    rows = [(1, [10, 11, 12, 13]), (2, [10, 11, 12]), (1, [10, 11, 12, 13]), (3, [12, 14]), (None, []), (4, [14, 15]), (5, [16])]
+    index = J.shared_entries(spark.createDataFrame(rows, schema))
+    assert sorted(map(tuple, index.select("entry", "node", "pivot").collect())) == [(10, 1, 1), (10, 2, 1), (12, 1, 1), (12, 2, 1), (12, 3, 1), (14, 3, 3), (14, 4, 3)]
+
+
+def test_repeated_rows_have_one_set(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text), (3, text + " x")], SCHEMA)
+    rows = J.prints(docs, 5, 80).select("doc_id", "node", "n")
+    sets = J.sets_of(docs, rows, rows.select("node").distinct(), 5)
+    assert sorted(r.n for r in sets.collect()) == [26, 27]
