@@ -242,8 +242,8 @@ def shared_entries(rows: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """node, n, bits and tokens for the nodes ``wanted``. One document of each is read again: its doc_id is marked in a
-    table of fixed size, and of what else has a marked slot, if anything, the surplus is harmless. Only nodes that are
-    read several times are shuffled."""
+    table of fixed size, and of what else has a marked slot, if anything, the surplus is harmless. A node may
+    have several rows, see one_each."""
     one = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.xxhash64("doc_id")).alias("mark"))
     shared = docs.sparkSession.sparkContext.broadcast(marked(one, "mark"))
 
@@ -256,12 +256,12 @@ def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -
             yield pa.RecordBatch.from_arrays([pa.array(list(map(node_of, found)), pa.int64()), sizes, lists_of(list(map(bitmap, found))), lists_of(found)], ["node", "n", "bits", "tokens"])
 
     again = docs.select(F.xxhash64("doc_id").alias("mark"), "text").mapInArrow(run, "node long, n long, bits array<long>, tokens array<long>")
-    found = stored(again, "sets")
-    several = stored(found.groupBy("node").agg(F.count("*").alias("rows")).where("rows > 1").select("node"), "several")
-    if several.isEmpty():
-        return found
-    one = found.join(several, "node", "left_semi").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "bits", "tokens")))
-    return found.join(several, "node", "left_anti").unionByName(one)
+    return stored(again, "sets")
+
+
+def one_each(sets: DataFrame, *columns: str) -> DataFrame:
+    """One row a node, dealt by node as the joins want it."""
+    return sets.groupBy("node").agg(*(F.first(c).alias(c) for c in columns))
 
 
 def could_link(n: str, n2: str, bits: str, bits2: str, percent: int) -> Column:
@@ -271,17 +271,17 @@ def could_link(n: str, n2: str, bits: str, bits2: str, percent: int) -> Column:
     return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & ((100 + percent) * (both - differ) >= 2 * percent * both)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets have a Jaccard similarity of ``percent`` or more."""
     side = lambda of, node, n, c, kept: of.select(F.col("node").alias(node), F.col("n").alias(n), F.col(c).alias(kept))
-    near = pairs.where("u != v").join(side(sets, "u", "n", "bits", "bits"), "u").join(side(sets, "v", "n2", "bits", "bits2"), "v")
+    near = pairs.where("u != v").join(side(sketches, "u", "n", "bits", "bits"), "u").join(side(sketches, "v", "n2", "bits", "bits2"), "v")
     near = stored(near.where(could_link("n", "n2", "bits", "bits2", percent)).select("u", "v"), "near")
     few = near.count() <= BROADCAST_NODES
 
     def of(end: str) -> DataFrame:
         """The sets at one end of the pairs; the ids go to the sets if they are few."""
         ids = near.select(F.col(end).alias("node")).distinct()
-        return sets.join(F.broadcast(ids), "node", "left_semi") if few else sets
+        return one_each(sets.join(F.broadcast(ids), "node", "left_semi") if few else sets, "n", "tokens")
 
     both = near.join(side(of("u"), "u", "n_a", "tokens", "a"), "u").join(side(of("v"), "v", "n_b", "tokens", "b"), "v")
     common = F.size(F.array_intersect("a", "b")).cast("long")
@@ -296,7 +296,8 @@ def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left are the pairs of an entry that are not connected yet. Those that could link are compared, at one common entry.
     """
     pair = lambda a, b: (F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-    found = stored(verified(index.select(*pair("node", "pivot")).distinct(), sets, percent), "links")
+    sketches = stored(one_each(sets, "n", "bits"), "sketches")
+    found = stored(verified(index.select(*pair("node", "pivot")).distinct(), sketches, sets, percent), "links")
     roots = stored(components(found), "roots")
 
     def unsettled(least: int) -> DataFrame:
@@ -307,7 +308,7 @@ def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return stored(rows.join(apart, "entry"), "unsettled")
 
     def join_in(pairs: DataFrame) -> DataFrame:
-        more = stored(verified(pairs.distinct(), sets, percent), "links")
+        more = stored(verified(pairs.distinct(), sketches, sets, percent), "links")
         star = roots.where("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
         return roots if more.isEmpty() else stored(components(star.unionByName(more)), "roots")
 
@@ -323,7 +324,7 @@ def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             break
     rest = unsettled(2).select("entry", "node", "root")
     rest = rest.join(rest.groupBy("node").agg(F.collect_set(F.hash("entry")).alias("own")), "node")
-    rest = stored(rest.join(sets.select("node", "n", "bits"), "node"), "rest")
+    rest = stored(rest.join(sketches, "node"), "rest")
     other = rest.select(*(F.col(c).alias(f"{c}2") for c in rest.columns))
     once = F.array_min(F.array_intersect("own", "own2")) == F.hash("entry")
     may = (F.col("root") < F.col("root2")) & could_link("n", "n2", "bits", "bits2", percent) & once
