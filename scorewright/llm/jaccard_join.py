@@ -11,9 +11,10 @@ partners share.
 Equal sets are one node. Entries that the same nodes have are one entry. Nodes that share an entry are candidates. Each
 node has a bitmap, in which every token turns over one bit: where two bitmaps differ the sets differ too, in as many
 tokens at least. Candidates whose bitmaps differ in more bits than partners' sets may differ in tokens are dropped, the
-others are verified on their whole sets. An entry with many nodes has a pivot in each round; what is linked to it needs
-no comparison with what is linked to it too, and pairs that are already connected need none at all, so a crowd of near
-copies costs a few rounds of one pair a node. Pairs just below the similarity are met bitmap by bitmap.
+others are verified on their whole sets, which are made for them alone. Every entry has a pivot, which is compared with
+all its nodes; what is linked to it needs no comparison with what is linked to it too, and pairs that are already
+connected need none at all. An entry with many nodes that are not connected gets further pivots while these bring links,
+so a crowd of near copies costs a few rounds of one pair a node. Pairs just below the similarity are met bitmap by bitmap.
 """
 
 from __future__ import annotations
@@ -44,9 +45,10 @@ FREQUENT = 6 * LEVELS  # tokens of about 64 documents and more are indexed by tw
 CLASS_TOKENS = 6  # tokens of the smallest set of a window for each class
 BITMAP_BITS = 1024
 NODES_KEPT = 1_000_000  # nodes whose entries a task knows it has passed on
-BROADCAST_NODES = 200_000
+BROADCAST_PAIRS = 1_000_000
 CROWD = 32  # nodes from which an index entry gets further pivots
 PIVOT_ROUNDS = 6
+FEW_LINKS = 20  # a round that brings a link for fewer than one node in so many is the last one
 
 
 class WordHashes(dict):
@@ -166,23 +168,25 @@ def token_levels(docs: DataFrame, shingle: int) -> np.ndarray:
 
 
 def prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """doc_id, node (a 64-bit hash of the set, null if empty), n (its size) and entries for every row."""
+    """doc_id, node (a 64-bit hash of the set, null if empty), n (its size), bits and entries for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(token_levels(docs.select("text"), shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, memo = shared.value, WordHashes()
         for batch in batches:
-            nodes, sizes, entries = [], [], []
+            nodes, sizes, bits, entries = [], [], [], []
             for text in texts(batch):
                 found = tokens(text, shingle, memo)
                 order = levels[slots(found)]
                 sizes.append(len(found))
                 nodes.append(node_of(found))
+                bits.append(bitmap(found))
                 entries.append(signatures(found, order, percent) if len(found) else found)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists_of(entries)], ["doc_id", "node", "n", "entries"])
+            columns = [batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists_of(bits), lists_of(entries)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "bits", "entries"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, node long, n long, entries array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, node long, n long, bits array<long>, entries array<long>")
 
 
 def node_of(found: np.ndarray) -> int | None:
@@ -240,23 +244,34 @@ def shared_entries(rows: DataFrame) -> DataFrame:
     return out
 
 
-def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """node, n, bits and tokens for the nodes ``wanted``. One document of each is read again: its doc_id is marked in a
-    table of fixed size, and of what else has a marked slot, if anything, the surplus is harmless. A node may
-    have several rows, see one_each."""
+def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, shingle: int, few: bool = True) -> DataFrame:
+    """node, n and tokens for the nodes ``wanted``, and for others, if anything. One document of each is read again, by
+    its doc_id: ``few`` ids are joined, more are marked in a table of fixed size, whose surplus is harmless."""
     one = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.xxhash64("doc_id")).alias("mark"))
-    shared = docs.sparkSession.sparkContext.broadcast(marked(one, "mark"))
+    again = docs.select(F.xxhash64("doc_id").alias("mark"), "text")
+    again = again.join(F.broadcast(one.select("mark")), "mark", "left_semi") if few else again
+    shared = None if few else docs.sparkSession.sparkContext.broadcast(marked(one, "mark"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
+        passed: set[int] = set()
         for batch in batches:
-            chosen = np.flatnonzero(is_marked(shared.value, batch.column("mark").to_numpy().view(np.uint64)))
-            found = [x for x in (tokens(text, shingle, memo) for text in texts(batch.take(pa.array(chosen)))) if len(x)]
-            sizes = pa.array(list(map(len, found)), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(list(map(node_of, found)), pa.int64()), sizes, lists_of(list(map(bitmap, found))), lists_of(found)], ["node", "n", "bits", "tokens"])
-
-    again = docs.select(F.xxhash64("doc_id").alias("mark"), "text").mapInArrow(run, "node long, n long, bits array<long>, tokens array<long>")
-    return stored(again, "sets")
+            if len(passed) > NODES_KEPT:
+                passed.clear()
+            if shared is not None:
+                batch = batch.take(pa.array(np.flatnonzero(is_marked(shared.value, batch.column("mark").to_numpy().view(np.uint64)))))
+            found = [x for x in (tokens(text, shingle, memo) for text in texts(batch)) if len(x)]
+            nodes = list(map(node_of, found))
+            fresh = [i for i, node in enumerate(nodes) if not (node in passed or passed.add(node))]
+            found = [found[i] for i in fresh]
+            yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in fresh], pa.int64()), pa.array(list(map(len, found)), pa.int64()), lists_of(found)], ["node", "n", "tokens"])
+
+    sets = stored(again.mapInArrow(run, "node long, n long, tokens array<long>"), "sets")
+    if sets.groupBy("node").count().where("count > 1").isEmpty():
+        return sets
+    single = stored(one_each(sets, "n", "tokens"), "sets")  # rows that are repeated in other tasks
+    discard(sets)
+    return single
 
 
 def one_each(sets: DataFrame, *columns: str) -> DataFrame:
@@ -271,64 +286,69 @@ def could_link(n: str, n2: str, bits: str, bits2: str, percent: int) -> Column:
     return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & ((100 + percent) * (both - differ) >= 2 * percent * both)
 
 
-def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets have a Jaccard similarity of ``percent`` or more."""
+def verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets have a Jaccard similarity of ``percent`` or more. Sets are made for the pairs that the
+    bitmaps leave. A set leaves its task once for each of its pairs as v, and once as u, which may have very many pairs."""
     side = lambda of, node, n, c, kept: of.select(F.col("node").alias(node), F.col("n").alias(n), F.col(c).alias(kept))
     near = pairs.where("u != v").join(side(sketches, "u", "n", "bits", "bits"), "u").join(side(sketches, "v", "n2", "bits", "bits2"), "v")
     near = stored(near.where(could_link("n", "n2", "bits", "bits2", percent)).select("u", "v"), "near")
-    few = near.count() <= BROADCAST_NODES
-
-    def of(end: str) -> DataFrame:
-        """The sets at one end of the pairs; the ids go to the sets if they are few."""
-        ids = near.select(F.col(end).alias("node")).distinct()
-        return one_each(sets.join(F.broadcast(ids), "node", "left_semi") if few else sets, "n", "tokens")
-
-    both = near.join(side(of("u"), "u", "n_a", "tokens", "a"), "u").join(side(of("v"), "v", "n_b", "tokens", "b"), "v")
+    left = near.count()
+    if not left:
+        return near
+    few = left <= BROADCAST_PAIRS
+    sent = F.broadcast if few else lambda ids: ids
+    sets = sets_of(docs, rows, near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), shingle, few)
+    a = side(sets, "u", "n_a", "tokens", "a").join(sent(near.select("u").distinct()), "u", "left_semi")
+    b = side(sets, "v", "n_b", "tokens", "b").join(sent(near), "v")
     common = F.size(F.array_intersect("a", "b")).cast("long")
-    return both.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("u", "v")
+    links = stored(b.join(a, "u").where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("u", "v"), "links")
+    discard(sets)
+    return links
 
 
-def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked(docs: DataFrame, rows: DataFrame, index: DataFrame, sketches: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(node, root) of the nodes that have partners: root is the least node they are connected to.
 
-    First each node is compared with the pivot of its entries. Entries of more than CROWD nodes that are not all
-    connected then get up to PIVOT_ROUNDS further pivots, by a hash of node and round, while these bring links. What is
-    left are the pairs of an entry that are not connected yet. Those that could link are compared, at one common entry.
+    First each node is compared with the pivot of its entries, which is done with then. Entries of CROWD further nodes or
+    more that are not all connected get up to PIVOT_ROUNDS further pivots, by a hash of node and round, while these bring
+    links. What is left are the pairs of an entry that are not connected yet. Those that could link are compared, at one
+    common entry.
     """
-    pair = lambda a, b: (F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-    sketches = stored(one_each(sets, "n", "bits"), "sketches")
-    found = stored(verified(index.select(*pair("node", "pivot")).distinct(), sketches, sets, percent), "links")
-    roots = stored(components(found), "roots")
+    check = lambda pairs: verified(pairs.distinct(), sketches, docs, rows, shingle, percent)
+    roots = stored(components(check(index.select(F.col("pivot").alias("u"), F.col("node").alias("v")))), "roots")
+    others = index.where("node != pivot").select("entry", "node")
 
     def unsettled(least: int) -> DataFrame:
         """The index with roots, for entries of ``least`` nodes or more that are not all connected."""
-        rows = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        apart = rows.groupBy("entry").agg(F.count("*").alias("nodes"), F.min("root").alias("low"), F.max("root").alias("high"))
+        rooted = others.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rooted.groupBy("entry").agg(F.count("*").alias("nodes"), F.min("root").alias("low"), F.max("root").alias("high"))
         apart = apart.where((F.col("nodes") >= least) & (F.col("low") != F.col("high"))).select("entry")
-        return stored(rows.join(apart, "entry"), "unsettled")
+        return stored(rooted.join(apart, "entry"), "unsettled")
 
-    def join_in(pairs: DataFrame) -> DataFrame:
-        more = stored(verified(pairs.distinct(), sketches, sets, percent), "links")
+    def join_in(more: DataFrame) -> DataFrame:
         star = roots.where("node != root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-        return roots if more.isEmpty() else stored(components(star.unionByName(more)), "roots")
+        return stored(components(star.unionByName(more)), "roots")
 
     for turn in range(PIVOT_ROUNDS):
         crowds = unsettled(CROWD)
         if crowds.isEmpty():
             break
         chosen = crowds.groupBy("entry").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")).alias("x"))
-        chosen = chosen.select("entry", F.col("x.node").alias("other"), F.col("x.root").alias("other_root"))
-        before = roots
-        roots = join_in(crowds.join(chosen, "entry").where("root != other_root").select(*pair("node", "other")))
-        if roots is before:
+        chosen = chosen.select("entry", F.col("x.node").alias("u"), F.col("x.root").alias("other_root"))
+        more = check(crowds.join(chosen, "entry").where("root != other_root").select("u", F.col("node").alias("v")))
+        brought = more.count()
+        if brought:
+            roots = join_in(more)
+        if FEW_LINKS * brought < crowds.select("node").distinct().count():
             break
     rest = unsettled(2).select("entry", "node", "root")
-    rest = rest.join(rest.groupBy("node").agg(F.collect_set(F.hash("entry")).alias("own")), "node")
+    rest = rest.join(rest.groupBy("node").agg(F.collect_set("entry").alias("own")), "node")
     rest = stored(rest.join(sketches, "node"), "rest")
-    other = rest.select(*(F.col(c).alias(f"{c}2") for c in rest.columns))
-    once = F.array_min(F.array_intersect("own", "own2")) == F.hash("entry")
-    may = (F.col("root") < F.col("root2")) & could_link("n", "n2", "bits", "bits2", percent) & once
-    return join_in(rest.join(other, (F.col("entry") == F.col("entry2")) & may).select(*pair("node", "node2")))
+    once = F.array_min(F.array_intersect("l.own", "r.own")) == F.col("l.entry")
+    may = (F.col("l.root") < F.col("r.root")) & could_link("l.n", "r.n", "l.bits", "r.bits", percent) & once
+    met = rest.alias("l").join(rest.alias("r"), (F.col("l.entry") == F.col("r.entry")) & may)  # both sides are one shuffle
+    more = check(met.select(F.col("l.node").alias("u"), F.col("r.node").alias("v")))
+    return roots if more.isEmpty() else join_in(more)
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
@@ -348,10 +368,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, tex
     with shuffles_end_with_jobs(spark):
         whole = stored(prints(content, shingle, percent), "prints")
         rows, index = stored(whole.select("doc_id", "node", "n"), "rows"), shared_entries(whole)
+        single = one_each(whole.where(F.col("node").isNotNull()), "n", "bits")
+        sketches = stored(single.join(index.select("node").distinct(), "node", "left_semi"), "sketches")
         discard(whole)
-        sets = sets_of(content, rows, index.select("node").distinct(), shingle)
-        roots = linked(index, sets, percent)
-        discard(sets)
+        roots = linked(content, rows, index, sketches, shingle, percent)
         nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("first"))
         nodes = stored(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first"), "nodes")
     least = nodes.groupBy("root").agg(F.min("first").alias("component_id"))

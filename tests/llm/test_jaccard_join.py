@@ -126,3 +126,28 @@ def test_repeated_rows_have_one_set(spark):
     rows = J.prints(docs, 5, 80).select("doc_id", "node", "n")
     sets = J.sets_of(docs, rows, rows.select("node").distinct(), 5)
     assert sorted(r.n for r in J.one_each(sets, "n").collect()) == [26, 27]
+
+
+def test_what_the_bitmaps_settle_costs_no_sets_and_no_second_look(spark, monkeypatch):
+    """Two texts that share an entry but not enough are compared once, by bitmaps; sets are made for likely pairs alone."""
+    texts = [" ".join([*(f"g{g}w{i}" for i in range(21)), *(f"g{g}t{t}o{i}" for i in range(4))]) for g in range(10) for t in range(2)]
+    texts += [" ".join([*(f"hw{i}" for i in range(24)), f"o{t}"]) for t in range(2)]
+    rows, written, real = list(enumerate(texts)), {}, J.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(J, "stored", stored)
+    assert found(J.jaccard_components(spark.createDataFrame(rows, SCHEMA))) == brute(rows, 5, 80)
+    assert written["index"] >= 22 and written["sets"] == 2 and written["rest"] == 0
+
+
+def test_pairs_beyond_what_is_broadcast(spark, monkeypatch):
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = [*enumerate(near_copies(draw, base, 50, 4)), (7, " ".join(base)), (7, " ".join(base)), (None, "w1 w2")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    monkeypatch.setattr(J, "BROADCAST_PAIRS", 0)
+    assert found(J.jaccard_components(df)) == brute(rows, 5, 80)
