@@ -342,11 +342,12 @@ def linked(docs: DataFrame, rows: DataFrame, index: DataFrame, sketches: DataFra
         if FEW_LINKS * brought < crowds.select("node").distinct().count():
             break
     rest = unsettled(2).select("entry", "node", "root")
-    rest = rest.join(rest.groupBy("node").agg(F.collect_set("entry").alias("own")), "node")
-    rest = stored(rest.join(sketches, "node"), "rest")
+    about = rest.groupBy("node").agg(F.collect_set("entry").alias("own")).join(sketches, "node")
+    rest = stored(rest.join(about, "node"), "rest")
     once = F.array_min(F.array_intersect("l.own", "r.own")) == F.col("l.entry")
     may = (F.col("l.root") < F.col("r.root")) & could_link("l.n", "r.n", "l.bits", "r.bits", percent) & once
-    met = rest.alias("l").join(rest.alias("r"), (F.col("l.entry") == F.col("r.entry")) & may)  # both sides are one shuffle
+    met = rest.alias("l").hint("merge")  # files are far smaller than their rows; both sides are one shuffle
+    met = met.join(rest.alias("r"), (F.col("l.entry") == F.col("r.entry")) & may)
     more = check(met.select(F.col("l.node").alias("u"), F.col("r.node").alias("v")))
     return roots if more.isEmpty() else join_in(more)
 
